@@ -19,20 +19,26 @@ def value_counts_by(df: DataFrame, keys, value: str, **counts: Column) -> DataFr
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs)
 
 
-def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 128) -> DataFrame:
+def text_position(col: Column) -> Column:
+    """A number that never decreases in the binary order of text: its first six bytes."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+
+
+def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 128, position: Column | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive, by ascending value) and ``total_<c>`` for each column in ``sums``.
 
-    ``counted`` has one row per key and value. ``keys`` names few groups, such as
-    the columns of a table; their number bounds the broadcast of the cuts.
+    ``counted`` has one row per key and value. ``keys`` names few groups, such as the
+    columns of a table. ``position`` is a number that follows the order of ``value``,
+    needed when that is text.
     """
     keys, sums = list(keys), list(sums)
+    v = F.col(value).cast("double") if position is None else position
     cut_points = [i / buckets for i in range(1, buckets)]
     cuts = counted.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(F.col(value).cast("double"), cut_points)).alias("_cuts")
+        F.array_distinct(F.percentile_approx(v, cut_points)).alias("_cuts")
     )
-    # rows of `cuts` are one per key group; the planner checks the size before it broadcasts
-    with_cuts = counted.join(cuts, keys) if keys else counted.crossJoin(F.broadcast(cuts))
-    v = F.col(value).cast("double")
+    # without keys there is exactly one row of cuts; otherwise the planner checks the size of that side
+    with_cuts = counted.join(cuts, keys) if keys else counted.join(F.broadcast(cuts))
     bucketed = with_cuts.withColumn("_b", F.size(F.filter("_cuts", lambda c: c <= v))).drop("_cuts")
 
     totals = bucketed.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

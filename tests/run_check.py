@@ -10,7 +10,7 @@ from shelfline.session import build_session  # noqa: E402
 from tests.compare import connect, difference  # noqa: E402
 
 sf, prefixes = sys.argv[1], tuple(sys.argv[2:])
-spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
 spark.sparkContext.setLogLevel("ERROR")
 con, oracle, failed = connect(sf), entry.oracle_sql(), []
 for name, fn in entry.queries().items():
