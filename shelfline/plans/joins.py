@@ -91,7 +91,8 @@ def _(spark, sf):
 
 
 @query("j10_missing_keys", ctes=GRID, sql="""SELECT e.store_id, e.product_id, CAST(e.d AS DATE) AS dt
-FROM (SELECT store_id, product_id, unnest(range(min(d)::TIMESTAMP, max(d)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d FROM base GROUP BY ALL) e
+FROM (SELECT store_id, product_id, unnest(range(lo::TIMESTAMP, hi::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d
+      FROM (SELECT store_id, product_id, min(d) AS lo, max(d) AS hi FROM base GROUP BY store_id, product_id)) e
 ANTI JOIN base b ON b.store_id = e.store_id AND b.product_id = e.product_id AND b.d = e.d""")
 def _(spark, sf):
     return joins.missing_keys(tables.daily(spark, sf), ["store_id", "product_id"])
