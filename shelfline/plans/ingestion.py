@@ -12,7 +12,7 @@ from shelfline.plans.catalog import BRONZE, DAILY, GRID, POS, query, rounded
 from shelfline.session import scratch_path
 from shelfline.sources import files, runlog, tables
 
-FIXED_TS = F.lit("2024-02-03 00:00:00").cast("timestamp_ntz")
+FIXED_TS = "2024-02-03 00:00:00"
 
 
 @query("flagship_store_stockouts", ctes=BRONZE + """, good AS (
@@ -142,7 +142,7 @@ def _(spark, sf):
     rows = tables.daily(spark, sf).select("store_id", "product_id", "dt")
     name = F.concat(F.lit("eval_"), F.col("store_id").cast("string"), F.lit(".parquet"))
     hashes = rows.select(name.alias("filename")).distinct().withColumn("sha256", F.sha2("filename", 256))
-    return ingest.add_lineage(rows, "b7", FIXED_TS, F.concat(F.lit("/raw/"), name), hashes)
+    return ingest.add_lineage(rows, "b7", F.lit(FIXED_TS).cast("timestamp_ntz"), F.concat(F.lit("/raw/"), name), hashes)
 
 
 @query("in3_record_hash", ctes=GRID, sql="""SELECT store_id, product_id,

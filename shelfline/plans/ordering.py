@@ -185,8 +185,8 @@ def cycles_sql(options) -> str:
   sum(expired) AS expired, least(count(*) FILTER (WHERE lost > 0), 3) * 50.0 AS em FROM cyc3 GROUP BY ALL)"""
 
 
-COMPARE_SQL = """SELECT policy_name, round(sum(lost_cost), 6) AS lost_cost, round(sum(waste_cost), 6) AS waste_cost, round(sum(holding_cost), 6) AS holding_cost, sum(em)::DOUBLE AS emergency_cost,
-round(sum(expired), 6) AS expired_units, round((1 - sum(lost) / sum(demand)) * 100, 6) AS service_level_pct, round(sum(lost_cost) + sum(waste_cost) + sum(holding_cost) + sum(em), 6) AS total_cost FROM per_store GROUP BY ALL"""
+COMPARE_SQL = """SELECT policy_name, round(sum(lost_cost), 2) AS lost_cost, round(sum(waste_cost), 2) AS waste_cost, round(sum(holding_cost), 2) AS holding_cost, sum(em)::DOUBLE AS emergency_cost,
+round(sum(expired), 2) AS expired_units, round((1 - sum(lost) / sum(demand)) * 100, 2) AS service_level_pct, round(sum(lost_cost) + sum(waste_cost) + sum(holding_cost) + sum(em), 2) AS total_cost FROM per_store GROUP BY ALL"""
 POLICY_CYCLES = cycles_sql(ec.policy_options())
 
 
@@ -196,12 +196,12 @@ def policy_cycles(spark, sf, options=None):
 
 @query("ec7_policy_compare", ctes=POLICY_CYCLES, sql=COMPARE_SQL)
 def _(spark, sf):
-    return rounded(ec.policy_compare(policy_cycles(spark, sf)), 6)
+    return rounded(ec.policy_compare(policy_cycles(spark, sf)), 2)
 
 
 @query("ec8_tradeoff_curve", ctes=cycles_sql(ec.tradeoff_options()), sql=COMPARE_SQL)
 def _(spark, sf):
-    return rounded(ec.policy_compare(policy_cycles(spark, sf, ec.tradeoff_options())), 6)
+    return rounded(ec.policy_compare(policy_cycles(spark, sf, ec.tradeoff_options())), 2)
 
 
 @query("kp8_lost_sales_cost", ctes=RECOVERED + ", " + economics_sql("ops"), sql="""SELECT store_id, product_id, event_date, round(sum(CASE WHEN stockout_flag = 1 THEN recovered_demand - observed_sales ELSE 0 END * unit_margin), 6) AS lost_sales_cost

@@ -1 +1,94 @@
-"""Placeholder."""
+"""Velocity queries: batch forms, streams over the event file, and replay."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfline.plans.catalog import POS, query, rounded
+from shelfline.session import scratch_path
+from shelfline.sources import tables
+from shelfline.streaming import velocity as v
+
+VEL = POS + """, spread AS (SELECT store_id, product_id, transaction_id, units_sold, time_bucket(INTERVAL 10 MINUTE, timestamp) - INTERVAL 10 MINUTE * i AS window_start
+  FROM pos CROSS JOIN (SELECT unnest(range(12)) AS i)
+), vel AS (SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, store_id, product_id, count(transaction_id) AS transaction_count, round(avg(units_sold), 6) AS avg_units_per_tx FROM spread GROUP BY ALL
+), flags AS (SELECT *, CASE WHEN transaction_count = 0 THEN 'CRITICAL_STOCKOUT' WHEN transaction_count < 3 THEN 'WARNING_LOW_VELOCITY' ELSE 'NORMAL' END AS anomaly_flag FROM vel)"""
+
+
+def pos_stream(spark, sf):
+    """The event file as a stream of sales."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    raw = v.read_pos_stream(spark, sf, schema, pattern="events.parquet")
+    product = F.lit(865)
+    for event, number in tables.PRODUCT_OF_EVENT.items():
+        product = F.when(F.col("event_type") == event, number).otherwise(product)
+    return raw.select(F.col("ts").alias("timestamp"), F.floor(F.col("user_id") / 10 + 1).cast("int").alias("store_id"), product.alias("product_id"),
+                      F.col("event_id").alias("transaction_id"), F.col("value").alias("units_sold"))
+
+
+@query("st1_watermark_append", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags WHERE window_end <= (SELECT time_bucket(INTERVAL 1 MICROSECOND, max(timestamp)) - INTERVAL 15 MINUTE FROM pos)")
+def _(spark, sf):
+    """Append mode emits the windows that the watermark has closed."""
+    base = scratch_path(spark, "append")
+    return rounded(v.run_update(v.velocity(v.with_event_time(pos_stream(spark, sf))), base + "/out", base + "/ckpt", "append").drop("batch_id"))
+
+
+@query("st2_sliding_windows", ctes=VEL, sql="SELECT window_start, window_end, store_id, product_id, transaction_count FROM vel")
+def _(spark, sf):
+    return v.velocity(tables.pos(spark, sf)).drop("avg_units_per_tx")
+
+
+@query("st3_velocity", ctes=VEL, sql="SELECT * FROM vel")
+def _(spark, sf):
+    return rounded(v.velocity_batch(tables.pos(spark, sf)))
+
+
+@query("st4_anomaly_flag", ctes=VEL, sql="SELECT anomaly_flag, store_id, count(*) AS n FROM flags GROUP BY ALL")
+def _(spark, sf):
+    return v.flagged(v.velocity_batch(tables.pos(spark, sf))).groupBy("anomaly_flag", "store_id").agg(F.count("*").alias("n"))
+
+
+@query("st5_alerts", ctes=VEL, sql="SELECT * FROM flags WHERE anomaly_flag <> 'NORMAL'")
+def _(spark, sf):
+    return rounded(v.alerts(v.velocity_batch(tables.pos(spark, sf))))
+
+
+@query("st6_update_stream", ctes=VEL, sql="SELECT * FROM flags WHERE anomaly_flag <> 'NORMAL'")
+def _(spark, sf):
+    """Source, watermark, windows, flag, filter and sink as a running stream in update mode."""
+    base = scratch_path(spark, "update")
+    emitted = v.run_update(v.alerts(v.velocity(v.with_event_time(pos_stream(spark, sf)))), base + "/out", base + "/ckpt")
+    return rounded(v.last_update(emitted))
+
+
+@query("io8_pos_stream", ctes=POS, sql="SELECT store_id, product_id, count(*) AS n, round(sum(units_sold), 4) AS units FROM pos GROUP BY ALL")
+def _(spark, sf):
+    """The streaming source, one file per trigger, summed per series after the run."""
+    base = scratch_path(spark, "source")
+    emitted = v.run_update(pos_stream(spark, sf), base + "/out", base + "/ckpt", "append")
+    return rounded(emitted.groupBy("store_id", "product_id").agg(F.count("*").alias("n"), F.sum("units_sold").alias("units")), 4)
+
+
+@query("io9_alert_sink", ctes=VEL, sql="SELECT anomaly_flag, count(*) AS n FROM flags WHERE anomaly_flag <> 'NORMAL' GROUP BY ALL")
+def _(spark, sf):
+    base = scratch_path(spark, "sink")
+    stream = v.alerts(v.velocity(v.with_event_time(pos_stream(spark, sf))))
+    v.write_alerts(stream, base + "/out", base + "/ckpt").awaitTermination()
+    return spark.read.option("basePath", base + "/out").parquet(base + "/out/batch_id=*").groupBy("anomaly_flag").agg(F.count("*").alias("n"))
+
+
+@query("st7_zero_velocity", ctes=VEL, sql="""SELECT s.store_id, s.product_id, g.window_start, g.window_start + INTERVAL 2 HOUR AS window_end, CAST(0 AS BIGINT) AS transaction_count, 'CRITICAL_STOCKOUT' AS anomaly_flag
+FROM (SELECT DISTINCT store_id, product_id FROM pos) s CROSS JOIN (SELECT unnest(range(min(window_start), max(window_start) + INTERVAL 10 MINUTE, INTERVAL 10 MINUTE)) AS window_start FROM vel) g
+ANTI JOIN vel ON vel.store_id = s.store_id AND vel.product_id = s.product_id AND vel.window_start = g.window_start""")
+def _(spark, sf):
+    return v.zero_velocity(tables.pos(spark, sf))
+
+
+@query("st8_replay", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags")
+def _(spark, sf):
+    """History replayed in event-time slices gives the batch result."""
+    base = scratch_path(spark, "replay")
+    history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    v.replay_slices(history, base + "/in", ["2024-01-10", "2024-01-20"])
+    stream = v.velocity(v.with_event_time(v.read_pos_stream(spark, base + "/in", history.schema)))
+    return rounded(v.last_update(v.run_update(stream, base + "/out", base + "/ckpt")))
