@@ -72,3 +72,13 @@ def reliability(scored: DataFrame, label: str = "stockout_flag", score: str = "s
     b = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
     return scored.groupBy(b.alias("bin")).agg(
         F.count("*").alias("n"), F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("observed_rate"))
+
+
+def coefficients(model: PipelineModel, spark) -> DataFrame:
+    """Coefficient of each input slot of the logistic model; one row per hour, product and plain feature."""
+    hours, products = model.stages[0].labelsArray
+    names = [f"hour={h}" for h in hours] + ["hour=other"] + [f"product={p}" for p in products] + ["product=other"]
+    values = model.stages[-1].coefficients.toArray()
+    plain = ["weekend", "discount", "prev_out", "day_out"]
+    slots = names + plain if len(names) + len(plain) == len(values) else [f"slot {i}" for i in range(len(values))]
+    return spark.createDataFrame([(n, float(v)) for n, v in zip(slots, values)], "feature string, coefficient double")

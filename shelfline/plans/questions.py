@@ -1 +1,244 @@
-"""Placeholder."""
+"""The catalogue of business questions, each composed of operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfline.functions import catalogue
+from shelfline.operators import aggregates as ag
+from shelfline.operators import drift, features, islands, kpi, orders, recommend, risk, rules
+from shelfline.operators import economics as ec
+from shelfline.operators import forecast as fc
+from shelfline.plans.catalog import BRONZE, HOURLY, INCIDENTS, query, rounded
+from shelfline.plans.cleaning import checked, hourly
+from shelfline.plans.contracts import report
+from shelfline.plans.ingestion import UNIFORM  # noqa: F401
+from shelfline.plans.kpis import CUT, DRIFT, EVALUATED, FVA, RECOVERED, RUNS, SCORED, drift_windows, evaluated, recovered, runs, scored, with_baseline
+from shelfline.plans.modelling import CATS, STATUS_SQL, DRIFT_COLS, drift_frames, drift_sql
+from shelfline.plans.ordering import (COMPARE_SQL, POLICY_CYCLES, PRICED, RECS, cycles_sql, economics_sql, policy_cycles, priced, products, recommendation_inputs,
+                                      recommendations)
+from shelfline.sources import tables
+
+WEEK = "CAST(date_trunc('week', event_date) AS DATE)"
+COST = RECOVERED + ", " + economics_sql("ops")
+
+
+def lost_cost(spark, sf, by):
+    rec = recovered(spark, sf).withColumn("week", F.trunc("event_date", "week"))
+    return kpi.kpi_lost_sales_cost(rec, ec.product_economics(products(spark, sf)), by)
+
+
+@query("q_e1_lost_revenue", ctes=COST, sql=f"""SELECT {WEEK} AS week, round(sum(CASE WHEN stockout_flag = 1 THEN (recovered_demand - observed_sales) * unit_margin ELSE 0 END), 4) AS lost_sales_cost
+FROM recovered JOIN econ USING (product_id) GROUP BY ALL""")
+def _(spark, sf):
+    """Lost revenue of the network per week."""
+    return rounded(lost_cost(spark, sf, ["week"]), 4)
+
+
+@query("q_e2_worst_stores", ctes=HOURLY, sql="""SELECT city_id, store_id, round((1 - avg(stockout_flag)) * 100, 6) AS availability_pct FROM ops GROUP BY ALL ORDER BY (1 - avg(stockout_flag)), store_id LIMIT 10""")
+def _(spark, sf):
+    """The ten stores with the lowest availability."""
+    k = kpi.kpi_availability(hourly(spark, sf, True), ["city_id", "store_id"])
+    return rounded(ag.listing(k, ["availability_pct", "store_id"], 10))
+
+
+@query("q_e3_waste_cost", ctes=POLICY_CYCLES, sql="SELECT policy_name, category, round(sum(waste_cost), 2) AS waste_cost FROM cyc3 GROUP BY ALL")
+def _(spark, sf):
+    """Waste cost per policy and perishability class."""
+    c = policy_cycles(spark, sf).withColumn("category", ec.category_of(F.col("product_id")))
+    return rounded(c.groupBy("policy_name", "category").agg(F.sum("waste_cost").alias("waste_cost")), 2)
+
+
+@query("q_e4_service_level", ctes=HOURLY, sql="""SELECT city_id, round(sum(s * d) / nullif(sum(d), 0), 6) AS service_level_pct FROM (
+SELECT city_id, store_id, product_id, event_date, (1 - avg(stockout_flag)) * 100 AS s, sum(observed_sales) AS d FROM ops GROUP BY ALL) GROUP BY ALL""")
+def _(spark, sf):
+    """Demand-weighted service level by group of stores."""
+    k = kpi.daily_kpis(hourly(spark, sf, True))
+    return rounded(k.groupBy("city_id").agg(
+        (F.sum(F.col("availability_pct") * F.col("observed_demand")) / F.nullif(F.sum("observed_demand"), F.lit(0.0))).alias("service_level_pct")))
+
+
+@query("q_e5_tradeoff", ctes=cycles_sql(ec.tradeoff_options()), sql=f"SELECT policy_name, service_level_pct, total_cost FROM ({COMPARE_SQL})")
+def _(spark, sf):
+    """Service level against total cost over the order quantile."""
+    return rounded(ec.policy_compare(policy_cycles(spark, sf, ec.tradeoff_options())).select("policy_name", "service_level_pct", "total_cost"), 2)
+
+
+@query("q_e6_trend", ctes=HOURLY, sql=f"""SELECT week, round(v, 6) AS availability_pct, round(p, 6) AS previous, round(v - p, 6) AS delta, round((v - p) / nullif(p, 0) * 100, 6) AS delta_pct FROM (
+SELECT *, lag(v) OVER (ORDER BY week) AS p FROM (SELECT {WEEK} AS week, (count(*) - sum(stockout_flag)) / count(*)::DOUBLE * 100 AS v FROM ops GROUP BY ALL))""")
+def _(spark, sf):
+    """Availability week over week."""
+    h = hourly(spark, sf, True).withColumn("week", F.trunc("event_date", "week"))
+    return rounded(features.period_delta(kpi.kpi_availability(h, ["week"]), "availability_pct", "week"))
+
+
+@query("q_s1_at_risk_soon", ctes=SCORED, sql=f"""SELECT store_id, product_id, event_timestamp, p AS stockout_probability FROM scored WHERE event_date = DATE '{CUT}' AND hour_of_day < 14 AND p >= 0.5
+ORDER BY p DESC, store_id, product_id, event_timestamp LIMIT 50""")
+def _(spark, sf):
+    """The 50 riskiest products of the next eight hours."""
+    s = scored(spark, sf).filter((F.col("event_date") == F.lit(CUT).cast("date")) & (F.col("hour_of_day") < 14) & (F.col("stockout_probability") >= 0.5))
+    return ag.listing(s.select("store_id", "product_id", "event_timestamp", "stockout_probability"), [F.desc("stockout_probability"), "store_id", "product_id", "event_timestamp"], 50)
+
+
+@query("q_s2_actions", ctes=RECS, sql="SELECT store_id, action_type, urgency, reason_code, count(*) AS n FROM rec2 GROUP BY ALL")
+def _(spark, sf):
+    """Recommended actions per store."""
+    return recommendations(spark, sf).groupBy("store_id", "action_type", "urgency", "reason_code").agg(F.count("*").alias("n"))
+
+
+@query("q_s3_incidents_today", ctes=INCIDENTS, sql="""SELECT store_id, count(*) AS incidents, CAST(sum(duration_hours) AS BIGINT) AS total_hours FROM incidents_day WHERE event_date = (SELECT max(d) FROM base) GROUP BY ALL""")
+def _(spark, sf):
+    """Incidents and their hours on the last day."""
+    d = tables.daily(spark, sf)
+    last = d.where(F.col("dt") == tables.pos(spark, sf).agg(F.date_format(F.max("timestamp"), "yyyy-MM-dd")).scalar())
+    return islands.incidents_from_daily(last, span_days=False).groupBy("store_id").agg(F.count("*").alias("incidents"), F.sum("duration_hours").alias("total_hours"))
+
+
+@query("q_s4_stockouts_by_hour", ctes=HOURLY, sql="SELECT store_id, hour_of_day, CAST(sum(stockout_flag) AS BIGINT) AS stockout_hours FROM ops GROUP BY ALL")
+def _(spark, sf):
+    return kpi.kpi_stockout_hours(hourly(spark, sf, True), ["store_id", "hour_of_day"])
+
+
+@query("q_s5_lost_yesterday", ctes=RECOVERED, sql="""SELECT store_id, round(coalesce(sum(recovered_demand - observed_sales) FILTER (WHERE stockout_flag = 1), 0), 6) AS lost_demand FROM recovered
+WHERE event_date = (SELECT max(d) - 1 FROM base) GROUP BY ALL""")
+def _(spark, sf):
+    """Lost demand per store on the day before the last."""
+    yesterday = tables.pos(spark, sf).agg(F.date_sub(F.to_date(F.max("timestamp")), 1)).scalar()
+    return rounded(kpi.kpi_lost_demand(recovered(spark, sf).where(F.col("event_date") == yesterday), ["store_id"]))
+
+
+@query("q_s6_markdown_now", ctes=RECS + """, opts AS (SELECT r.store_id, r.product_id, r.dt, m, least(s.stock, CAST(floor(80 * (1.0::DOUBLE + m / 100.0::DOUBLE * 2.2)) AS BIGINT)) AS cleared, unit_price, unit_cost
+  FROM rec2 r JOIN econ USING (product_id) JOIN (SELECT store_id, product_id, d AS dt, CAST(ceil(sale_amount) AS BIGINT) AS stock FROM base) s ON s.store_id = r.store_id AND s.product_id = r.product_id AND s.dt = r.dt
+  CROSS JOIN (SELECT unnest(range(0, 55, 5))::INTEGER AS m) WHERE r.due
+), netted AS (SELECT *, cleared * (unit_price * (1.0::DOUBLE - m / 100.0::DOUBLE)) - cleared * unit_cost AS net FROM opts)""",
+       sql="SELECT store_id, product_id, CAST(dt AS DATE) AS dt, m AS best_markdown_pct, round(net, 4) AS net_recovery FROM netted QUALIFY row_number() OVER (PARTITION BY store_id, product_id, dt ORDER BY net DESC, m) = 1")
+def _(spark, sf):
+    """Products close to expiry with their best markdown; the day's sales stand for the stock."""
+    due = recommendation_inputs(spark, sf).filter("markdown_due").select("store_id", "product_id", "dt")
+    stock = tables.daily(spark, sf).select("store_id", "product_id", F.to_date("dt").alias("dt"), F.ceil("sale_amount").alias("stock"))
+    items = due.join(stock, ["store_id", "product_id", "dt"]).join(ec.product_economics(products(spark, sf)).select("product_id", "unit_price", "unit_cost"), "product_id")
+    return rounded(orders.best_markdown(items, "stock", "unit_price", "unit_cost").select("store_id", "product_id", "dt", "best_markdown_pct", "net_recovery"), 4)
+
+
+@query("q_p1_true_demand", ctes=RECOVERED, sql="SELECT product_id, round(sum(observed_sales), 4) AS observed_demand, round(sum(recovered_demand), 4) AS true_demand FROM recovered GROUP BY ALL")
+def _(spark, sf):
+    return rounded(recovered(spark, sf).groupBy("product_id").agg(F.sum("observed_sales").alias("observed_demand"), F.sum("recovered_demand").alias("true_demand")), 4)
+
+
+@query("q_p2_most_incidents", ctes=INCIDENTS, sql="SELECT store_id, product_id, count(*) AS incident_count FROM incidents_day GROUP BY ALL ORDER BY incident_count DESC, store_id, product_id LIMIT 20")
+def _(spark, sf):
+    """The 20 products with the most incidents."""
+    k = kpi.kpi_incident_count(islands.incidents_from_daily(tables.daily(spark, sf), span_days=False), ["store_id", "product_id"])
+    return ag.listing(k, [F.desc("incident_count"), "store_id", "product_id"], 20)
+
+
+@query("q_p3_accuracy_by_category", ctes=EVALUATED, sql="""SELECT CASE WHEN product_id <= 289 THEN 'highly_perishable' WHEN product_id <= 577 THEN 'moderately_perishable' ELSE 'longer_life' END AS category,
+round(sum(abs(q50 - actual)) / sum(abs(actual)) * 100, 6) AS wape, round(sum(q50 - actual) / sum(actual) * 100, 6) AS bias FROM evaluated GROUP BY ALL""")
+def _(spark, sf):
+    e = evaluated(spark, sf, horizons=(24,)).withColumn("category", ec.category_of(F.col("product_id")))
+    return rounded(fc.forecast_metrics(e, "actual", "forecast_median", ["category"]).select("category", "wape", "bias"))
+
+
+@query("q_p4_censored_share", ctes=RECOVERED, sql="SELECT product_id, round(sum(recovered_demand - observed_sales) / nullif(sum(observed_sales), 0) * 100, 6) AS censored_pct FROM recovered GROUP BY ALL")
+def _(spark, sf):
+    return rounded(recovered(spark, sf).groupBy("product_id").agg((F.sum(kpi.lost()) / F.nullif(F.sum("observed_sales"), F.lit(0.0)) * 100.0).alias("censored_pct")))
+
+
+@query("q_p5_order_quantity", ctes=PRICED + """, cat2 AS (SELECT *, product_id % 865 + 1 AS pid FROM nv)""", sql="""SELECT store_id, product_id, CASE WHEN q > 0 THEN least(greatest(q::DOUBLE, CASE WHEN pid <= 289 THEN 1.0 WHEN pid <= 577 THEN 2.0 ELSE 5.0 END),
+CASE WHEN pid <= 289 THEN 50.0 WHEN pid <= 577 THEN 100.0 ELSE 200.0 END)::DOUBLE ELSE 0.0::DOUBLE END AS order_qty FROM cat2""")
+def _(spark, sf):
+    """The newsvendor quantity within the category's order limits."""
+    out = orders.optimal_order(priced(spark, sf)).withColumn("category", ec.category_of(F.col("product_id") % 865 + 1))
+    return ec.constrain_order(out, "optimal_order_qty").select("store_id", "product_id", "order_qty")
+
+
+@query("q_p6_stockout_probability", ctes=SCORED, sql=f"""SELECT store_id, product_id, horizon, round(max(p), 4) AS stockout_probability FROM (SELECT *, hour_of_day - 6 AS ahead FROM scored WHERE event_date = DATE '{CUT}')
+CROSS JOIN (SELECT unnest([4, 8, 12, 24]) AS horizon) WHERE ahead < horizon GROUP BY ALL""")
+def _(spark, sf):
+    """Highest probability within the next 4, 8, 12 and 24 hours."""
+    s = scored(spark, sf).filter(F.col("event_date") == F.lit(CUT).cast("date"))
+    near = s.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in (4, 8, 12, 24)]))).filter(F.col("hour_of_day") - 6 < F.col("horizon"))
+    return near.groupBy("store_id", "product_id", "horizon").agg(F.max("stockout_probability").alias("stockout_probability"))
+
+
+@query("q_p7_fill_rate", ctes=RECOVERED, sql="SELECT product_id, round(sum(observed_sales) / nullif(sum(recovered_demand), 0) * 100, 6) AS fill_rate_pct FROM recovered WHERE event_date > (SELECT max(d) - 30 FROM base) GROUP BY ALL")
+def _(spark, sf):
+    """Fill rate of the last thirty days."""
+    first = tables.pos(spark, sf).agg(F.date_sub(F.to_date(F.max("timestamp")), 30)).scalar()
+    return rounded(kpi.kpi_fill_rate(recovered(spark, sf).where(F.col("event_date") > first), ["product_id"]))
+
+
+@query("q_p8_spoilage_cost", ctes=POLICY_CYCLES, sql="""SELECT store_id, product_id, round(sum(waste_cost), 2) AS waste_cost FROM cyc3 WHERE policy_name = 'conservative_95' AND dt > (SELECT max(d) - 7 FROM base)
+GROUP BY ALL ORDER BY sum(waste_cost) DESC, store_id, product_id LIMIT 20""")
+def _(spark, sf):
+    """The 20 products with the highest spoilage cost of the last week."""
+    first = tables.pos(spark, sf).agg(F.date_sub(F.to_date(F.max("timestamp")), 7)).scalar()
+    c = policy_cycles(spark, sf, [("conservative_95", 0.90)]).where(F.col("dt") > first)
+    k = c.groupBy("store_id", "product_id").agg(F.sum("waste_cost").alias("waste_cost"))
+    return rounded(ag.listing(k, [F.desc("waste_cost"), "store_id", "product_id"], 20), 2)
+
+
+@query("q_d1_run_sla", ctes=RUNS, sql="""SELECT CASE WHEN date_diff('second', max(ended_at), TIMESTAMP '2003-01-01') / 3600.0 <= 4 THEN 'PASS' ELSE 'FAIL' END AS status,
+round(date_diff('second', max(ended_at), TIMESTAMP '2003-01-01') / 3600.0, 6) AS value, 'freshness_hours' AS metric FROM runs WHERE status = 'SUCCESS'""")
+def _(spark, sf):
+    fresh = kpi.kpi_freshness(runs(spark, sf), F.lit("2003-01-01").cast("timestamp_ntz"))
+    return rounded(rules.sla(fresh, {"freshness_hours": ("<=", 4.0)}).select("status", "value", "metric"))
+
+
+@query("q_d2_rejections", ctes=BRONZE, sql="SELECT count(*) AS initial_rows, count(*) FILTER (WHERE NOT is_valid) AS quarantined_rows, round(avg((NOT is_valid)::INT) * 100, 6) AS rejection_rate_pct FROM checked")
+def _(spark, sf):
+    from shelfline.operators import clean
+
+    return rounded(clean.load_stats(checked(spark, sf)).select("initial_rows", "quarantined_rows", "rejection_rate_pct"))
+
+
+@query("q_d3_contract_violations", ctes=BRONZE, sql="SELECT rule, violations FROM (" + report([
+    ("non_negative:sale_amount", "error", "sale_amount < 0", "0.0"), ("not_null:sale_amount", "error", "sale_amount IS NULL", "0.0"),
+    ("array_length:hours_sale", "error", "hours_sale IS NULL OR len(hours_sale) <> 24", "0.0"),
+    ("not_null:hours_stock_status", "error", "hours_stock_status IS NULL", "0.0"),
+    ("array_length:hours_stock_status", "error", "hours_stock_status IS NULL OR len(hours_stock_status) <> 24", "0.0")], "bronze")
+    + ") WHERE NOT passed UNION ALL SELECT 'unique_key:store_id,product_id,dt', count(*) FROM (SELECT count(*) AS n FROM bronze GROUP BY store_id, product_id, dt) WHERE n > 1")
+def _(spark, sf):
+    """Rules of the daily contract that fail."""
+    return rules.validate(tables.bronze(spark, sf), rules.daily_contract()).filter("NOT passed").select("rule", "violations")
+
+
+@query("q_d4_drift", ctes=CATS + drift_sql("base_all", "cur_all"), sql=f"SELECT drift_status, count(*) AS features FROM (SELECT {STATUS_SQL} FROM pv JOIN psi USING (feature)) GROUP BY ALL")
+def _(spark, sf):
+    base, cur = drift_frames(spark, sf)
+    return drift.dataset_drift(base, cur, DRIFT_COLS, ["l_returnflag"]).groupBy("drift_status").agg(F.count("*").alias("features"))
+
+
+@query("q_d4_model_drift", ctes=DRIFT, sql="""SELECT drift_status, count(*) AS days FROM (SELECT CASE WHEN current_wape > training_wape * 1.2 OR current_bias NOT BETWEEN -10 AND 10 THEN 'DRIFTED' ELSE 'STABLE' END AS drift_status
+FROM roll CROSS JOIN trained) GROUP BY ALL""")
+def _(spark, sf):
+    return kpi.kpi_drift_status(drift_windows(spark, sf)).groupBy("drift_status").agg(F.count("*").alias("days"))
+
+
+@query("q_d5_fva", ctes=FVA, sql="""SELECT round((b - m) / b * 100, 6) AS fva_pct FROM (SELECT sum(abs(actual - naive_forecast)) / sum(abs(actual)) * 100 AS b, sum(abs(actual - q50)) / sum(abs(actual)) * 100 AS m FROM naive)""")
+def _(spark, sf):
+    return rounded(kpi.kpi_fva(with_baseline(spark, sf), "actual", "forecast_median", "naive_forecast").select("fva_pct"))
+
+
+@query("q_d6_pr_auc")
+def _(spark, sf):
+    """PR-AUC of the logistic risk model."""
+    from shelfline.plans.modelling import logistic_scores
+
+    return kpi.kpi_pr_auc(logistic_scores(spark, sf), "stockout_flag", "stockout_probability")
+
+
+@query("q_d7_calibration", ctes=EVALUATED, sql="""SELECT quantile, round(avg((actual <= f)::INT) * 100, 6) AS coverage_pct FROM (SELECT actual, unnest([0.1::DOUBLE, 0.25, 0.5, 0.75, 0.9]) AS quantile, unnest([q10, q25, q50, q75, q90]) AS f FROM evaluated) GROUP BY ALL""")
+def _(spark, sf):
+    """Share of actual values at or below each forecast quantile."""
+    pairs = F.array(*[F.struct(F.lit(q).alias("quantile"), F.col(c).alias("f")) for c, q in fc.QUANTILES.items()])
+    rows = evaluated(spark, sf, horizons=(24,)).select("actual", F.inline(pairs))
+    return rounded(kpi.kpi_p90_coverage(rows, "actual", "f", ["quantile"]).withColumnRenamed("p90_coverage_pct", "coverage_pct"))
+
+
+@query("q_d8_risk_features")
+def _(spark, sf):
+    """Coefficients of the logistic risk model, per input slot."""
+    rows = risk.risk_features(hourly(spark, sf, True))
+    model = risk.risk_model(rows.filter(F.col("event_date") < F.lit(CUT).cast("date")))
+    return risk.coefficients(model, spark)
