@@ -1 +1,5 @@
-"""DataFrame-to-DataFrame operators. They stay lazy: the caller decides on the action."""
+"""DataFrame-to-DataFrame operators.
+
+They are lazy, except those that store an intermediate table in the shared folder
+(value counts, categories) so that a large input is read once.
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators.ranks import exact_quantiles, melt, running_totals, text_position, value_counts_by
+from shelfline.session import materialize
 
 # Bins, edge widening, floor of a share, thresholds.
 BINS = 10
@@ -35,7 +36,8 @@ def counted_values(base: DataFrame, cur: DataFrame, numeric=(), categorical=())
 
         counts = value_counts_by(texts(base, 0).unionByName(texts(cur, 1)), ["feature"], "value", nb=F.count_if(F.col("cur") == 0), nc=F.count_if(F.col("cur") == 1))
         coded = running_totals(counts.withColumn("one", F.lit(1)), ["feature"], "value", ["one"], position=text_position(F.col("value")))
-        parts.append(coded.select("feature", (F.col("cum_one") - 1).cast("double").alias("value"), "nb", "nc"))
+        codes = coded.select("feature", (F.col("cum_one") - 1).cast("double").alias("value"), "nb", "nc")
+        parts.append(materialize(codes, "codes"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -50,7 +52,8 @@ def psi(counted: DataFrame, bins: int = BINS) -> DataFrame:
     v, e = F.col("value"), F.col("quantiles")
     low, high = F.get(e, F.lit(0)) - EDGE, F.get(e, F.lit(bins)) + EDGE
     inner = F.slice(e, 2, bins - 1)
-    binned = counted.join(edges, "feature").withColumn(
+    # one row of edges per feature: bounded by the number of columns
+    binned = counted.join(F.broadcast(edges), "feature").withColumn(
         "bin", F.when((v >= low) & (v <= high), F.size(F.filter(inner, lambda x: x <= v))))
     per_bin = binned.groupBy("feature", "bin").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc"))
     totals = per_bin.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
@@ -61,7 +64,7 @@ def psi(counted: DataFrame, bins: int = BINS) -> DataFrame:
 
     b, c = share("nb", "tb"), share("nc", "tc")
     term = F.when(F.col("bin").isNotNull(), (c - b) * F.ln(c / b))
-    return per_bin.join(totals, "feature").groupBy("feature").agg(
+    return per_bin.join(F.broadcast(totals), "feature").groupBy("feature").agg(
         F.round(F.coalesce(F.sum(term), F.lit(0.0)), 4).alias("psi"))
 
 

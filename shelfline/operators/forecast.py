@@ -11,8 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions import calendar as cal
 from shelfline.functions import scores
+from shelfline.functions.arrays import as_array, open_slots
 from shelfline.functions.text import hash_uniform
+from shelfline.operators.reshape import explode_hourly
 
 CELL = ["store_id", "product_id", "hour_of_day", "is_weekend"]
 # Forecast quantiles and horizons in hours.
@@ -134,3 +137,39 @@ def weekend_of(dt: Column) -> Column:
 
 def union_by_name(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def recover_daily(daily: DataFrame) -> DataFrame:
+    """Demand recovery on the daily arrays: adds ``hours_recovered`` for the trading hours.
+
+    Same rule as ``recover_demand``, but each aggregate and the join see one row per
+    day with its arrays instead of sixteen hourly rows. The profile has two rows per
+    series (weekday, weekend), and its fallbacks are rolled up from it.
+    """
+    slots = range(cal.CLOSE_HOUR - cal.OPEN_HOUR)
+    rows = daily.withColumn("_wk", weekend_of(F.to_date("dt"))).withColumns({
+        "_s": open_slots(as_array(daily, "hours_sale")), "_o": open_slots(as_array(daily, "hours_stock_status", "int"))})
+    known = [F.expr(f"sum(_s[{i}]) FILTER (WHERE _o[{i}] = 0) AS s{i}") for i in slots]
+    counts = [F.expr(f"count_if(_o[{i}] = 0) AS n{i}") for i in slots]
+
+    def roll_up(df, keys, sums, ns):
+        return df.groupBy(*keys).agg(*[F.expr(f"sum({sums}[{i}]) AS s{i}") for i in slots], *[F.expr(f"sum({ns}[{i}]) AS n{i}") for i in slots])
+
+    def as_arrays(df, keys, sums, ns):
+        return df.selectExpr(*keys, f"array({', '.join(f's{i}' for i in slots)}) AS {sums}", f"array({', '.join(f'n{i}' for i in slots)}) AS {ns}")
+
+    series = ["store_id", "product_id"]
+    fine = as_arrays(rows.groupBy(*series, "_wk").agg(*known, *counts), [*series, "_wk"], "s0", "n0")
+    mid = as_arrays(roll_up(fine, series, "s0", "n0"), series, "s1", "n1")
+    coarse = as_arrays(roll_up(mid, ["product_id"], "s1", "n1"), ["product_id"], "s2", "n2")
+    mean = lambda i: f"s{i}[j] / nullif(n{i}[j], 0)"
+    profile = fine.join(mid, series).join(coarse, "product_id").selectExpr(
+        *series, "_wk", f"transform(sequence(0, {len(slots) - 1}), j -> coalesce({mean(0)}, {mean(1)}, {mean(2)})) AS _e")
+    fill = "transform(_s, (x, j) -> IF(_o[j] = 1, greatest(x, coalesce(_e[j], x)), x))"
+    return rows.join(profile, [*series, "_wk"], "left").withColumn("hours_recovered", F.expr(fill)).drop("_wk", "_s", "_o", "_e")
+
+
+def explode_recovered(daily: DataFrame) -> DataFrame:
+    """The hourly table of the trading hours with ``recovered_demand``, from ``recover_daily``."""
+    hourly = explode_hourly(daily, operational=True)
+    return hourly.withColumn("recovered_demand", F.get("hours_recovered", F.col("hour_of_day") - cal.OPEN_HOUR)).drop("hours_recovered")

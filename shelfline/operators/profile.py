@@ -105,7 +105,7 @@ def profile_dates(df: DataFrame, date_col: str = "dt", series=("store_id", "prod
     d = F.to_date(date_col)
     span = df.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"), F.countDistinct(d).alias("n_unique_dates"))
     days = df.select(*series, d.alias("d")).distinct().groupBy(*series).agg(F.count("*").alias("days"))
-    hist = value_counts_by(days, [], "days")
+    hist = days.groupBy("days").agg(F.count("*").alias("n"))
     stats = hist.agg(
         F.sum("n").alias("total_series"), F.min("days").alias("min_days"), F.max("days").alias("max_days"),
         (F.sum(F.col("days") * F.col("n")) / F.sum("n")).alias("mean_days"),

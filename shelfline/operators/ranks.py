@@ -12,11 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.session import materialize
+
 
 def value_counts_by(df: DataFrame, keys, value: str, **counts: Column) -> DataFrame:
-    """One row per key and distinct value; copies of a value are combined before the shuffle."""
+    """One row per key and distinct value, stored in the shared folder.
+
+    Copies of a value are combined before the shuffle. The operators below read the
+    counts several times; storing them means that the table itself is read once.
+    """
     aggs = [c.alias(name) for name, c in counts.items()] or [F.count("*").alias("n")]
-    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs)
+    return materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs), "counts")
 
 
 def text_position(col: Column) -> Column:
@@ -24,6 +30,44 @@ def text_position(col: Column) -> Column:
     return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
 
 
+def with_bucket(counted: DataFrame, keys, v: Column, buckets: int) -> DataFrame:
+    """Add ``_b``: how many of the group's ascending cuts are at most the value.
+
+    The cut is found by a binary search in plain expressions. That stays in generated
+    code, where a lambda over the array would not, and looks at seven cuts, not at 127.
+    The cuts are one short array per group. ``keys`` name the columns of a table, so
+    there are as many rows as features and the broadcast is bounded by the schema.
+    """
+    points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = counted.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(v, points)).alias("_cuts"))
+    if keys:
+        out = counted.join(F.broadcast(cuts), keys)
+        search = F.col("_cuts")
+    else:
+        out, search = counted, cuts.scalar()
+    # one projection per step of the search, so that no step repeats the one before
+    step, out = 1 << (buckets - 1).bit_length() - 1, out.withColumn("_b", F.lit(0))
+    while step:
+        out = out.withColumn("_b", F.col("_b") + F.when(v >= F.get(search, F.col("_b") + (step - 1)), step).otherwise(0))
+        step //= 2
+    return out.drop("_cuts")
+
+
+def bucket_offsets(bucketed: DataFrame, keys, sums) -> DataFrame:
+    """Per bucket: ``_o_<c>``, the sum of all buckets before, ``_t_<c>``, its own, and ``total_<c>``.
+
+    At most (buckets x groups) rows, which bounds its windows and its broadcast.
+    """
+    totals = bucketed.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    return totals.select(
+        *keys, "_b", *[F.col(f"_t_{c}") for c in sums],
+        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(whole).alias(f"total_{c}") for c in sums],
+    )
+
+
 def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 128, position: Column | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive, by ascending value) and ``total_<c>`` for each column in ``sums``.
 
@@ -33,26 +77,12 @@ def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 12
     """
     keys, sums = list(keys), list(sums)
     v = F.col(value).cast("double") if position is None else position
-    cut_points = [i / buckets for i in range(1, buckets)]
-    cuts = counted.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(v, cut_points)).alias("_cuts")
-    )
-    # without keys there is exactly one row of cuts; otherwise the planner checks the size of that side
-    with_cuts = counted.join(cuts, keys) if keys else counted.join(F.broadcast(cuts))
-    bucketed = with_cuts.withColumn("_b", F.size(F.filter("_cuts", lambda c: c <= v))).drop("_cuts")
-
-    totals = bucketed.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    offsets = totals.select(
-        *keys, "_b",
-        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
-        *[F.sum(f"_t_{c}").over(whole).alias(f"total_{c}") for c in sums],
-    )
+    bucketed = with_bucket(counted, keys, v, buckets)
+    offsets = bucket_offsets(bucketed, keys, sums).drop(*[f"_t_{c}" for c in sums])
     within = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.withColumns({f"_l_{c}": F.sum(c).over(within) for c in sums})
     return (
-        local.join(offsets, [*keys, "_b"])
+        local.join(F.broadcast(offsets), [*keys, "_b"])
         .withColumns({f"cum_{c}": F.col(f"_l_{c}") + F.col(f"_o_{c}") for c in sums})
         .drop("_b", *[f"_l_{c}" for c in sums], *[f"_o_{c}" for c in sums])
     )
@@ -61,16 +91,24 @@ def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 12
 def exact_quantiles(counted: DataFrame, keys, value: str, probs, count: str = "n", buckets: int = 128) -> DataFrame:
     """``quantiles``: the linearly interpolated quantiles of each group, as an array.
 
-    ``counted`` comes from ``value_counts_by``.
+    ``counted`` comes from ``value_counts_by``. The bucket totals tell which buckets hold
+    a wanted rank, at most two per quantile; only their rows are sorted.
     """
-    run = running_totals(counted, keys, value, [count], buckets)
-    first, last = F.col(f"cum_{count}") - F.col(count), F.col(f"cum_{count}")
+    keys, probs = list(keys), [float(p) for p in probs]
+    bucketed = with_bucket(counted, keys, F.col(value).cast("double"), buckets)
+    offsets = bucket_offsets(bucketed, keys, [count])
+    wanted = F.lit(False)
+    pos = [(F.col(f"total_{count}") - 1) * F.lit(p) for p in probs]
+    holds = lambda rank: (F.col(f"_o_{count}") <= rank) & (rank < F.col(f"_o_{count}") + F.col(f"_t_{count}"))
+    for p in pos:
+        wanted = wanted | holds(F.floor(p)) | holds(F.ceil(p))
+    near = bucketed.join(F.broadcast(offsets.filter(wanted)), [*keys, "_b"])
+    within = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = near.withColumn("_last", F.sum(count).over(within) + F.col(f"_o_{count}")).withColumn("_first", F.col("_last") - F.col(count))
     aggs = []
-    for i, p in enumerate(probs):
-        pos = (F.col(f"total_{count}") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        at = lambda rank: F.max(F.when((first <= rank) & (rank < last), F.col(value).cast("double")))
-        aggs += [at(lo).alias(f"_lo{i}"), at(hi).alias(f"_hi{i}"), F.max(pos - lo).alias(f"_f{i}")]
+    for i, p in enumerate(pos):
+        at = lambda rank: F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_last")), F.col(value).cast("double")))
+        aggs += [at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}"), F.max(p - F.floor(p)).alias(f"_f{i}")]
     out = run.groupBy(*keys).agg(*aggs)
     points = [
         F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}") for i in range(len(probs))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import features, forecast as fc, islands, kpi
 from shelfline.plans.catalog import BRONZE, HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import hourly
+from shelfline.session import materialize
 from shelfline.sources import tables
 
 CUT = "2024-01-22"
@@ -23,12 +24,19 @@ WEEK = "CAST(date_trunc('week', event_date) AS DATE)"
 
 
 def recovered(spark, sf):
-    return fc.recover_demand(hourly(spark, sf, True))
+    """Trading hours with recovered demand."""
+    return fc.explode_recovered(fc.recover_daily(tables.daily(spark, sf)))
+
+
+def stored_recovered(spark, sf):
+    """The same, stored: for queries that read it as training and as evaluation rows."""
+    cols = ["store_id", "product_id", "event_date", "event_timestamp", "hour_of_day", "is_weekend", "stockout_flag", "observed_sales", "recovered_demand"]
+    return materialize(recovered(spark, sf).select(*cols), "recovered")
 
 
 def evaluated(spark, sf, horizons=fc.HORIZONS):
     """Hours of the evaluation window with the quantile forecast from the hours before it."""
-    rec = recovered(spark, sf)
+    rec = stored_recovered(spark, sf)
     cut = F.lit(CUT).cast("date")
     cells = fc.forecast_quantiles(rec.filter(F.col("event_date") < cut), horizons=horizons)
     return rec.filter(F.col("event_date") >= cut).withColumn("actual", F.col("recovered_demand")).join(cells, fc.CELL)
@@ -108,7 +116,7 @@ FVA = EVALUATED + """, naive AS (SELECT e.*, p.recovered_demand AS naive_forecas
 
 def with_baseline(spark, sf):
     """Forecast and seasonal-naive value of each evaluated hour."""
-    rec = recovered(spark, sf)
+    rec = stored_recovered(spark, sf)
     based = features.naive_forecast(rec, 7, "recovered_demand", ["store_id", "product_id", "hour_of_day"], "event_date")
     cut = F.lit(CUT).cast("date")
     cells = fc.forecast_quantiles(rec.filter(F.col("event_date") < cut), horizons=(24,))
@@ -191,7 +199,7 @@ DRIFT = EVALUATED + """, per_day AS (SELECT event_date, sum(abs(actual - q50)) A
 
 def drift_windows(spark, sf):
     """Rolling seven-day WAPE and bias of the evaluation window beside the WAPE of the training window."""
-    rec = recovered(spark, sf)
+    rec = stored_recovered(spark, sf)
     cut = F.lit(CUT).cast("date")
     train = rec.filter(F.col("event_date") < cut)
     cells = fc.forecast_quantiles(train, horizons=(24,))

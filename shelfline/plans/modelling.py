@@ -113,6 +113,13 @@ def _(spark, sf):
 
 @query("fc1_recover_demand", ctes=RECOVERED, sql="SELECT store_id, product_id, event_timestamp, stockout_flag, round(observed_sales, 6) AS observed_sales, round(recovered_demand, 6) AS recovered_demand FROM recovered")
 def _(spark, sf):
+    rec = fc.recover_demand(hourly(spark, sf, True))
+    return rounded(rec.select("store_id", "product_id", "event_timestamp", "stockout_flag", "observed_sales", "recovered_demand"))
+
+
+@query("fc1_recover_demand_from_arrays", ctes=RECOVERED, sql="SELECT store_id, product_id, event_timestamp, stockout_flag, round(observed_sales, 6) AS observed_sales, round(recovered_demand, 6) AS recovered_demand FROM recovered")
+def _(spark, sf):
+    """The same recovery on the daily arrays."""
     return rounded(recovered(spark, sf).select("store_id", "product_id", "event_timestamp", "stockout_flag", "observed_sales", "recovered_demand"))
 
 

@@ -19,11 +19,7 @@ def pos_stream(spark, sf):
     """The event file as a stream of sales."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     raw = v.read_pos_stream(spark, sf, schema, pattern="events.parquet")
-    product = F.lit(865)
-    for event, number in tables.PRODUCT_OF_EVENT.items():
-        product = F.when(F.col("event_type") == event, number).otherwise(product)
-    return raw.select(F.col("ts").alias("timestamp"), F.floor(F.col("user_id") / 10 + 1).cast("int").alias("store_id"), product.alias("product_id"),
-                      F.col("event_id").alias("transaction_id"), F.col("value").alias("units_sold"))
+    return raw.selectExpr(*tables.POS_COLUMNS)
 
 
 @query("st1_watermark_append", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags WHERE window_end <= (SELECT time_bucket(INTERVAL 1 MICROSECOND, max(timestamp)) - INTERVAL 15 MINUTE FROM pos)")

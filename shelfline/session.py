@@ -27,6 +27,8 @@ def build_session(app_name: str = "shelfline", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # call-site capture costs several round trips to the JVM per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

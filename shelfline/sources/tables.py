@@ -21,22 +21,20 @@ from shelfline.functions.text import record_hash
 PRODUCT_OF_EVENT = {"click": 101, "view": 230, "signup": 345, "purchase": 512, "error": 704}
 
 
+POS_COLUMNS = [
+    "ts AS timestamp", "int(user_id DIV 10 + 1) AS store_id",
+    "CASE event_type " + " ".join(f"WHEN '{e}' THEN {n}" for e, n in PRODUCT_OF_EVENT.items()) + " ELSE 865 END AS product_id",
+    "event_id AS transaction_id", "value AS units_sold",
+]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-of-sale rows."""
-    product = F.lit(865)
-    for event, number in PRODUCT_OF_EVENT.items():
-        product = F.when(F.col("event_type") == event, number).otherwise(product)
-    return table(spark, sf_dir, "events").select(
-        F.col("ts").alias("timestamp"),
-        F.floor(F.col("user_id") / 10 + 1).cast("int").alias("store_id"),
-        product.alias("product_id"),
-        F.col("event_id").alias("transaction_id"),
-        F.col("value").alias("units_sold"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*POS_COLUMNS)
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,63 +44,51 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     combined before the shuffle, so a hot store adds no more than one row per map
     task and day. A slot without a sale counts as stocked out.
     """
-    hour = F.hour("timestamp")
-    slots = [F.round(F.sum(F.when(hour == h, F.col("units_sold"))), 4).alias(f"h{h}") for h in range(SLOTS)]
+    slots = range(SLOTS)
     folded = (
         pos(spark, sf_dir)
-        .withColumn("d", F.to_date("timestamp"))
+        .selectExpr("*", "to_date(timestamp) AS d", "hour(timestamp) AS h")
         .groupBy("store_id", "product_id", "d")
-        .agg(F.round(F.sum("units_sold"), 4).alias("sale_amount"), *slots)
+        .agg(
+            F.expr("round(sum(units_sold), 4) AS sale_amount"),
+            *[F.expr(f"round(sum(units_sold) FILTER (WHERE h = {h}), 4) AS h{h}") for h in slots],
+        )
     )
-    n = F.dayofmonth("d")
-    store, product = F.col("store_id"), F.col("product_id")
-    return folded.select(
-        ((store - 1) % 18 + 1).alias("city_id"),
-        "store_id",
-        "product_id",
-        (product % 3).alias("management_group_id"),
-        (product % 5).alias("first_category_id"),
-        (product % 7).alias("second_category_id"),
-        (product % 11).alias("third_category_id"),
-        F.date_format("d", "yyyy-MM-dd").alias("dt"),
-        "sale_amount",
-        F.array(*[F.coalesce(F.col(f"h{h}"), F.lit(0.0)) for h in range(SLOTS)]).alias("hours_sale"),
-        sum(F.col(f"h{h}").isNull().cast("int") for h in range(6, 22)).alias("stock_hour6_22_cnt"),
-        F.array(*[F.col(f"h{h}").isNull().cast("int") for h in range(SLOTS)]).alias("hours_stock_status"),
-        F.round(F.lit(1.0) - ((store + product + n) % 4) * F.lit(0.1), 1).alias("discount"),
-        n.isin(1, 15).cast("int").alias("holiday_flag"),
-        ((product + n) % 5 == 0).cast("int").alias("activity_flag"),
-        ((n * 7) % 30 / F.lit(10.0)).alias("precpt"),
-        (n.cast("double") - 2).alias("avg_temperature"),
-        (30 + (n * 3) % 60).cast("double").alias("avg_humidity"),
-        ((n % 6) / F.lit(2.0)).alias("avg_wind_level"),
+    return folded.selectExpr(
+        "(store_id - 1) % 18 + 1 AS city_id", "store_id", "product_id",
+        "product_id % 3 AS management_group_id", "product_id % 5 AS first_category_id",
+        "product_id % 7 AS second_category_id", "product_id % 11 AS third_category_id",
+        "date_format(d, 'yyyy-MM-dd') AS dt", "sale_amount",
+        "array(" + ", ".join(f"coalesce(h{h}, 0D)" for h in slots) + ") AS hours_sale",
+        " + ".join(f"int(h{h} IS NULL)" for h in range(6, 22)) + " AS stock_hour6_22_cnt",
+        "array(" + ", ".join(f"int(h{h} IS NULL)" for h in slots) + ") AS hours_stock_status",
+        "round(1D - ((store_id + product_id + day(d)) % 4) * 0.1D, 1) AS discount",
+        "int(day(d) IN (1, 15)) AS holiday_flag", "int((product_id + day(d)) % 5 = 0) AS activity_flag",
+        "(day(d) * 7) % 30 / 10D AS precpt", "double(day(d)) - 2 AS avg_temperature",
+        "double(30 + (day(d) * 3) % 60) AS avg_humidity", "(day(d) % 6) / 2D AS avg_wind_level",
     )
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily rows with lineage, repeated deliveries and injected defects."""
-    n = F.dayofmonth(F.to_date("dt"))
-    mix = F.col("store_id") + F.col("product_id") + n
-    copies = F.when(mix % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    copy = F.col("copy")
     return (
         daily(spark, sf_dir)
-        .withColumn("copy", F.explode(copies))
-        .withColumn("hours_sale", F.when(mix % 13 == 0, F.slice("hours_sale", 1, 23)).otherwise(F.col("hours_sale")))
-        .withColumn("hours_stock_status", F.when(mix % 23 != 0, F.col("hours_stock_status")))
-        .withColumn(
-            "sale_amount",
-            F.when(mix % 17 == 0, F.lit(-1.0)).when(mix % 19 != 0, F.col("sale_amount") + copy),
-        )
-        .withColumn("source_file", F.concat(F.when(n <= 20, "train").otherwise("eval"), F.lit("-"), copy.cast("string"), F.lit(".parquet")))
-        .withColumn("source_file_hash", F.sha2("source_file", 256))
-        .withColumn("source_split", F.when(n <= 20, "train").otherwise("eval"))
-        .withColumn("ingestion_batch_id", F.concat(F.lit("batch-"), copy.cast("string")))
+        .selectExpr("*", "day(to_date(dt)) AS n", "store_id + product_id + day(to_date(dt)) AS mix")
+        .selectExpr("*", "explode(IF(mix % 5 = 0, array(0, 1), array(0))) AS copy")
         # every second pair of deliveries carries the same load time, so the file hash decides
-        .withColumn("ingested_at", F.when((copy == 1) & (mix % 2 == 0), "2024-02-02T00:00:00").otherwise("2024-02-01T00:00:00"))
-        .withColumn("schema_version", F.lit("1.0"))
+        .selectExpr(
+            "* EXCEPT (hours_sale, hours_stock_status, sale_amount)",
+            "IF(mix % 13 = 0, slice(hours_sale, 1, 23), hours_sale) AS hours_sale",
+            "IF(mix % 23 <> 0, hours_stock_status, NULL) AS hours_stock_status",
+            "CASE WHEN mix % 17 = 0 THEN -1D WHEN mix % 19 <> 0 THEN sale_amount + copy END AS sale_amount",
+            "concat(IF(n <= 20, 'train', 'eval'), '-', copy, '.parquet') AS source_file",
+            "sha2(concat(IF(n <= 20, 'train', 'eval'), '-', copy, '.parquet'), 256) AS source_file_hash",
+            "IF(n <= 20, 'train', 'eval') AS source_split", "concat('batch-', copy) AS ingestion_batch_id",
+            "IF(copy = 1 AND mix % 2 = 0, '2024-02-02T00:00:00', '2024-02-01T00:00:00') AS ingested_at",
+            "'1.0' AS schema_version",
+        )
+        .drop("copy", "mix", "n")
         .withColumn("record_hash", record_hash(F.col("store_id"), F.col("product_id"), F.col("dt")))
-        .drop("copy")
     )
 
 
