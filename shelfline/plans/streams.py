@@ -85,6 +85,5 @@ def _(spark, sf):
     """History replayed in event-time slices gives the batch result."""
     base = scratch_path(spark, "replay")
     history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    v.replay_slices(history, base + "/in", ["2024-01-10", "2024-01-20"])
-    stream = v.velocity(v.with_event_time(v.read_pos_stream(spark, base + "/in", history.schema)))
-    return rounded(v.last_update(v.run_update(stream, base + "/out", base + "/ckpt")))
+    emitted = v.replay(history, base, ["2024-01-10", "2024-01-20"], lambda raw: v.velocity(v.with_event_time(raw)))
+    return rounded(v.last_update(emitted))
