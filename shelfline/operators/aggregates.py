@@ -61,8 +61,10 @@ def latest_n(df: DataFrame, n: int, order=("date_key", "time_key"), tie=()) -> D
     return listing(df, [*[F.col(c).desc() for c in order], *tie], n)
 
 
-def action_queue(recs: DataFrame) -> DataFrame:
-    return recs.filter("recommendation_status = 'OPEN'").orderBy(F.desc("urgency_score"))
+def action_queue(recs: DataFrame, tie=()) -> DataFrame:
+    """Open actions by urgency. The tie columns order equal scores and let a range sort
+    spread a score that very many rows share."""
+    return recs.filter("recommendation_status = 'OPEN'").orderBy(F.desc("urgency_score"), *tie)
 
 
 def top_duplicates(df: DataFrame, keys, n: int = 10) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import hash_uniform, record_hash, source_split
+from shelfline.session import small_side
 
 # Columns a bronze batch must have.
 REQUIRED = ["city_id", "store_id", "product_id", "dt", "sale_amount", "hours_sale", "hours_stock_status"]
@@ -27,7 +28,8 @@ def add_lineage(df: DataFrame, batch_id: str, ts: Column, path: Column, hashes:
     if hashes is None:
         return out
     names = hashes.select(F.col("filename").alias("source_file"), F.col("sha256").alias("source_file_hash"))
-    return out.join(names, "source_file", "left")
+    # one file may hold a large part of all rows, so the rows should not be shuffled by file
+    return out.join(small_side(names), "source_file", "left")
 
 
 def bronze_checks(df: DataFrame, required=REQUIRED) -> DataFrame:

@@ -2,84 +2,89 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.operators.forecast import forecast_metrics
-from shelfline.operators.ranks import melt
+from shelfline.session import materialize, shuffle_width
 
-CATEGORICAL = ["store_id", "product_id", "store_cluster", "volume_band"]
+IDS = ["store_id", "product_id"]
+BANDS = ["store_cluster", "volume_band"]
 NUMERIC = ["discount_factor", "year", "month", "day", "hour"]
 # Trees, learning rate, depth, seed.
 TREES, RATE, DEPTH, SEED = 100, 0.1, 6, 42
 
 
-def feature_stages(categorical=tuple(CATEGORICAL), numeric=tuple(NUMERIC)) -> list:
-    """Index categories by frequency (unseen ones get their own index) and assemble."""
-    index = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_i" for c in categorical], handleInvalid="keep")
-    return [index, VectorAssembler(inputCols=[f"{c}_i" for c in categorical] + list(numeric), outputCol="features")]
+@dataclass
+class DemandModel:
+    """A fitted model: the mean sales per id, the overall mean, feature stages and trees."""
 
+    encodings: dict[str, DataFrame]
+    overall: DataFrame
+    stages: PipelineModel
+    trees: GBTRegressionModel
 
-def train(df: DataFrame, target: str = "observed_sales", trees: int = TREES, max_bins: int = 64,
-          categorical=tuple(CATEGORICAL), numeric=tuple(NUMERIC)) -> PipelineModel:
-    """Gradient-boosted regression over all rows.
 
-    Categories enter as ordered indexes, so ``max_bins`` limits the split candidates
-    and not the number of stores. Node ids are cached and checkpointed where the
-    session names a checkpoint folder.
-    """
-    gbt = GBTRegressor(labelCol=target, maxIter=trees, stepSize=RATE, maxDepth=DEPTH, seed=SEED, maxBins=max_bins, checkpointInterval=10, cacheNodeIds=True)
-    index, assemble = feature_stages(categorical, numeric)
-    plain = assemble.copy().setOutputCol("raw")
-    # the assembled vector carries category metadata; dropping it keeps the indexes ordinal
-    prepared = Pipeline(stages=[index, plain]).fit(df)
-    ready = as_ordinal(prepared.transform(df))
-    return PipelineModel([prepared, gbt.fit(ready.select("features", target))])
+def mean_encoding(df: DataFrame, col: str, target: str) -> DataFrame:
+    """Mean target per id as a stored table. Ids grow with the data, so they are encoded by
+    an aggregate and a join; a label index would gather them all on the driver."""
+    return materialize(df.groupBy(col).agg(F.avg(target).alias(f"{col}_mean")), "encoding")
+
 
+def encode(df: DataFrame, encodings: dict[str, DataFrame], overall: DataFrame) -> DataFrame:
+    """Add the encoded ids; an unseen id gets the overall mean."""
+    out = df.join(F.broadcast(overall))  # one row
+    for col, table in encodings.items():
+        out = out.join(table, col, "left").withColumn(f"{col}_mean", F.coalesce(f"{col}_mean", "_overall"))
+    return out.drop("_overall")
 
-def as_ordinal(df: DataFrame) -> DataFrame:
-    """The raw vector without its attribute metadata."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    return df.withColumn("features", array_to_vector(vector_to_array("raw")))
+def train(df: DataFrame, target: str = "observed_sales", trees: int = TREES, max_bins: int = 64) -> DemandModel:
+    """Gradient-boosted regression over all rows, two low-cardinality categories indexed."""
+    overall = materialize(df.agg(F.avg(target).alias("_overall")), "overall")
+    encodings = {c: mean_encoding(df, c, target) for c in IDS}
+    index = StringIndexer(inputCols=BANDS, outputCols=[f"{c}_i" for c in BANDS], handleInvalid="keep")
+    assemble = VectorAssembler(inputCols=[f"{c}_mean" for c in IDS] + [f"{c}_i" for c in BANDS] + NUMERIC, outputCol="features")
+    encoded = encode(df, encodings, overall)
+    stages = Pipeline(stages=[index, assemble]).fit(encoded)
+    # every level of every tree reads the rows again, so the joins are done once
+    ready = materialize(stages.transform(encoded).select("features", target), "features")
+    gbt = GBTRegressor(labelCol=target, maxIter=trees, stepSize=RATE, maxDepth=DEPTH, seed=SEED, maxBins=max_bins, checkpointInterval=10)
+    return DemandModel(encodings, overall, stages, gbt.fit(ready))
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: DemandModel, df: DataFrame) -> DataFrame:
     """``forecasted_demand``, never below zero, beside the input columns."""
-    prepared, gbt = model.stages
-    out = gbt.transform(as_ordinal(prepared.transform(df)))
+    ready = model.stages.transform(encode(df, model.encodings, model.overall))
+    out = model.trees.transform(ready)
     return out.withColumn("forecasted_demand", F.greatest(F.lit(0.0), F.col("prediction"))).select(*df.columns, "forecasted_demand")
 
 
-def feature_importance(model: PipelineModel, spark, names=tuple(CATEGORICAL + NUMERIC)) -> DataFrame:
+def feature_importance(model: DemandModel, spark) -> DataFrame:
     """Gain importances of the trees, one row per feature."""
-    values = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, importance double")
+    values = model.trees.featureImportances.toArray()
+    return spark.createDataFrame([(n, float(v)) for n, v in zip(IDS + BANDS + NUMERIC, values)], "feature string, importance double")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features, target: str = "observed_sales", seed: int = SEED) -> DataFrame:
+def permutation_importance(model: DemandModel, df: DataFrame, features, target: str = "observed_sales", seed: int = SEED) -> DataFrame:
     """Rise of the RMSE when a feature's values are exchanged between rows.
 
-    Each row takes the value of the next row in a hash order within a hash bucket, so
-    the shuffle stays distributed and is the same on every run.
+    Each row takes the value of the next row in a hash order within a hash bucket; there
+    is a bucket per shuffle partition, so the exchange stays distributed.
     """
     base = forecast_metrics(score(model, df), target, "forecasted_demand").select(F.col("rmse").alias("base_rmse"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(64))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(shuffle_width(df.sparkSession)))
     w = Window.partitionBy("_b").orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
     parts = []
     for f in features:
         mixed = df.withColumn("_b", bucket).withColumn("_v", F.coalesce(F.lead(f).over(w), F.col(f))).withColumn(f, F.col("_v")).drop("_v", "_b")
         m = forecast_metrics(score(model, mixed), target, "forecasted_demand")
         parts.append(m.select(F.lit(f).alias("feature"), "rmse"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = reduce(DataFrame.unionByName, parts)
     return out.join(F.broadcast(base)).select("feature", (F.col("rmse") - F.col("base_rmse")).alias("rmse_increase"))  # base is one row
-
-
-def describe_features(df: DataFrame, numeric=tuple(NUMERIC)) -> DataFrame:
-    rows = melt(df, numeric)
-    return rows.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"))

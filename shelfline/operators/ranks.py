@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.session import materialize
+from shelfline.session import materialize, shuffle_width
 
 
 def value_counts_by(df: DataFrame, keys, value: str, **counts: Column) -> DataFrame:
@@ -30,6 +30,11 @@ def text_position(col: Column) -> Column:
     return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
 
 
+def bucket_count(df: DataFrame) -> int:
+    """As many buckets as the session has shuffle partitions, within what the sketch resolves."""
+    return max(128, min(4096, shuffle_width(df.sparkSession)))
+
+
 def with_bucket(counted: DataFrame, keys, v: Column, buckets: int) -> DataFrame:
     """Add ``_b``: how many of the group's ascending cuts are at most the value.
 
@@ -68,7 +73,7 @@ def bucket_offsets(bucketed: DataFrame, keys, sums) -> DataFrame:
     )
 
 
-def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 128, position: Column | None = None) -> DataFrame:
+def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int | None = None, position: Column | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive, by ascending value) and ``total_<c>`` for each column in ``sums``.
 
     ``counted`` has one row per key and value. ``keys`` names few groups, such as the
@@ -76,6 +81,7 @@ def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 12
     needed when that is text.
     """
     keys, sums = list(keys), list(sums)
+    buckets = buckets or bucket_count(counted)
     v = F.col(value).cast("double") if position is None else position
     bucketed = with_bucket(counted, keys, v, buckets)
     offsets = bucket_offsets(bucketed, keys, sums).drop(*[f"_t_{c}" for c in sums])
@@ -88,13 +94,14 @@ def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int = 12
     )
 
 
-def exact_quantiles(counted: DataFrame, keys, value: str, probs, count: str = "n", buckets: int = 128) -> DataFrame:
+def exact_quantiles(counted: DataFrame, keys, value: str, probs, count: str = "n", buckets: int | None = None) -> DataFrame:
     """``quantiles``: the linearly interpolated quantiles of each group, as an array.
 
     ``counted`` comes from ``value_counts_by``. The bucket totals tell which buckets hold
     a wanted rank, at most two per quantile; only their rows are sorted.
     """
     keys, probs = list(keys), [float(p) for p in probs]
+    buckets = buckets or bucket_count(counted)
     bucketed = with_bucket(counted, keys, F.col(value).cast("double"), buckets)
     offsets = bucket_offsets(bucketed, keys, [count])
     wanted = F.lit(False)

@@ -87,7 +87,7 @@ FROM risk WHERE action_type <> 'monitor'""")
 def _(spark, sf):
     status = F.when(F.col("action_type") == "monitor", "DONE").otherwise("OPEN")
     r = risks(spark, sf).select("store_id", F.col("p").alias("urgency_score"), "action_type", status.alias("recommendation_status"))
-    return rounded(ag.action_queue(r))
+    return rounded(ag.action_queue(r, ["store_id"]))
 
 
 @query("so4_top_duplicates", sql="SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1 ORDER BY n DESC, l_orderkey, l_linenumber LIMIT 10")

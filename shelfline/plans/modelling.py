@@ -58,9 +58,7 @@ def demand_model(spark, sf):
     train, test = split_features(spark, sf)
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        train = train.persist()
         _FITTED[key] = models.train(train)
-        train.unpersist()
     return _FITTED[key], test
 
 

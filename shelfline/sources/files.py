@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import source_split
+from shelfline.session import small_side
 
 
 def read_raw(spark: SparkSession, path: str, schema=None, pattern: str = "*.parquet") -> DataFrame:
@@ -41,7 +42,8 @@ def write_bronze(df: DataFrame, path: str, batch_id: str, ingestion_date: str) -
     """Append a batch partitioned by split and date, leaving out files it already holds.
 
     The files of the batch that are stored are found from the partition of that date
-    with two columns read; the anti join is on that short list.
+    with two columns read. That list is counted before it is broadcast: one file may hold
+    a large part of the batch, so the rows should not be shuffled by file.
     """
     spark = df.sparkSession
     new = df.withColumn("ingestion_date", F.lit(ingestion_date).cast("date")).withColumn("ingestion_batch_id", F.lit(batch_id))
@@ -52,7 +54,7 @@ def write_bronze(df: DataFrame, path: str, batch_id: str, ingestion_date: str) -
             .filter(F.col("ingestion_batch_id") == batch_id)
             .select("ingestion_batch_id", "source_file").distinct()
         )
-        new = new.join(done, ["ingestion_batch_id", "source_file"], "left_anti")
+        new = new.join(small_side(done), ["ingestion_batch_id", "source_file"], "left_anti")
     new.write.partitionBy("source_split", "ingestion_date").mode("append").parquet(path)
     return new
 
