@@ -204,10 +204,10 @@ def _(spark, sf):
     return rounded(ec.policy_compare(policy_cycles(spark, sf, ec.tradeoff_options())), 2)
 
 
-@query("kp8_lost_sales_cost", ctes=RECOVERED + ", " + economics_sql("ops"), sql="""SELECT store_id, product_id, event_date, round(sum(CASE WHEN stockout_flag = 1 THEN recovered_demand - observed_sales ELSE 0 END * unit_margin), 6) AS lost_sales_cost
+@query("kp8_lost_sales_cost", ctes=RECOVERED + ", " + economics_sql("ops"), sql="""SELECT store_id, product_id, event_date, round(sum(CASE WHEN stockout_flag = 1 THEN recovered_demand - observed_sales ELSE 0 END * unit_margin), 8) AS lost_sales_cost
 FROM recovered JOIN econ USING (product_id) GROUP BY ALL""")
 def _(spark, sf):
-    return rounded(kpi.kpi_lost_sales_cost(recovered(spark, sf), ec.product_economics(products(spark, sf)), ["store_id", "product_id", "event_date"]))
+    return rounded(kpi.kpi_lost_sales_cost(recovered(spark, sf), ec.product_economics(products(spark, sf)), ["store_id", "product_id", "event_date"]), 8)
 
 
 @query("kp9_waste_cost", ctes=POLICY_CYCLES, sql="SELECT policy_name, store_id, product_id, dt, round(sum(waste_cost), 8) AS waste_cost FROM cyc3 GROUP BY ALL")
