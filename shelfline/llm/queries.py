@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import exact_dedup, line_dedup, mixing, sharding, warc
+from shelfline.llm import exact_dedup, line_dedup, mixing, sharding, simhash, warc
 from shelfline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chunk_recipes": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op3_ring_shards": lambda spark, sf: sharding.ring_shards(table(spark, sf, "documents")),
+    "op4_gray_simhash": lambda spark, sf: simhash.near_duplicates(table(spark, sf, "documents")),
     "op6_chunked_warc": lambda spark, sf: warc.archived_pages(table(spark, sf, "pages")),
     "op9_fair_mix": lambda spark, sf: mixing.fair_mix(table(spark, sf, "documents")),
     "op10_bloom_lines": lambda spark, sf: line_dedup.line_digest(table(spark, sf, "documents")),
