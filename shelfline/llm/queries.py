@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, sharding, simhash, warc
+from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, warc
 from shelfline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mtree_search": lambda spark, sf: mtree.top_inner_products(table(spark, sf, "embeddings")),
     "op2_chunk_recipes": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op3_ring_shards": lambda spark, sf: sharding.ring_shards(table(spark, sf, "documents")),
     "op4_gray_simhash": lambda spark, sf: simhash.near_duplicates(table(spark, sf, "documents")),
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_mtree_search": mtree.SQL,
     "op2_chunk_recipes": exact_dedup.SQL,
     "op6_chunked_warc": warc.SQL,
     "op9_fair_mix": mixing.SQL,
