@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, warc
+from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, toxicity, warc
 from shelfline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ring_shards": lambda spark, sf: sharding.ring_shards(table(spark, sf, "documents")),
     "op4_gray_simhash": lambda spark, sf: simhash.near_duplicates(table(spark, sf, "documents")),
     "op6_chunked_warc": lambda spark, sf: warc.archived_pages(table(spark, sf, "pages")),
+    "op7_weak_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op8_trie_bpe": lambda spark, sf: bpe.token_digest(table(spark, sf, "documents"), VOCABULARY),
     "op9_fair_mix": lambda spark, sf: mixing.fair_mix(table(spark, sf, "documents")),
     "op10_bloom_lines": lambda spark, sf: line_dedup.line_digest(table(spark, sf, "documents")),
