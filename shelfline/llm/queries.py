@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, toxicity, warc
+from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, substring_dedup, toxicity, warc
 from shelfline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chunk_recipes": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op3_ring_shards": lambda spark, sf: sharding.ring_shards(table(spark, sf, "documents")),
     "op4_gray_simhash": lambda spark, sf: simhash.near_duplicates(table(spark, sf, "documents")),
+    "op5_block_anchors": lambda spark, sf: substring_dedup.passage_digest(table(spark, sf, "documents")),
     "op6_chunked_warc": lambda spark, sf: warc.archived_pages(table(spark, sf, "pages")),
     "op7_weak_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op8_trie_bpe": lambda spark, sf: bpe.token_digest(table(spark, sf, "documents"), VOCABULARY),
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_mtree_search": mtree.SQL,
     "op2_chunk_recipes": exact_dedup.SQL,
+    "op5_block_anchors": substring_dedup.SQL,
     "op6_chunked_warc": warc.SQL,
     "op9_fair_mix": mixing.SQL,
     "op10_bloom_lines": line_dedup.SQL,
