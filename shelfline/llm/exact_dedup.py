@@ -60,11 +60,19 @@ def _renumbered(cut: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns; of rows with equal doc_id and text one stays."""
-    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    """The documents that stay, with their own columns; of rows with equal doc_id and text one stays.
+
+    The texts are shuffled once, to meet the ids that stay; only rows that repeat such an id are compared in full.
+    """
+    kept = (
+        exact_duplicates(docs).groupBy(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("kept_rows")).filter("kept")
+    )
+    kept = store(kept, "kept")
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(normalised(), 256) == F.col("kept_sha"))
-    once = docs.join(kept, same, "left_semi")
-    return once.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    once = docs.join(kept.filter("kept_rows = 1").hint("shuffle_hash"), same, "left_semi")
+    again = docs.join(kept.filter("kept_rows > 1").hint("shuffle_hash"), same).dropDuplicates(["kept_id", "kept_sha"])
+    return once.unionByName(again.select(*[docs[c] for c in docs.columns]))
 
 
 SQL = r"""

@@ -104,7 +104,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         .agg(F.max(F.expr("taken div size")).cast("int").alias("mix_times"))
     )
     return (
-        docs.join(times, F.col("doc_id").eqNullSafe(F.col("mix_doc_id")))
+        docs.join(times.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("mix_doc_id")))
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
         .select(*[docs[c] for c in docs.columns])
     )

@@ -275,9 +275,12 @@ def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
-    """The documents whose doc_id is the smallest of its component, with their own columns; null doc_ids stay if the component has no other."""
+    """The documents whose doc_id is the smallest of its component, with their own columns.
+
+    Rows that share a doc_id stay or go together; null doc_ids stay when a component has no other.
+    """
     kept = near_duplicates(docs, most).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def brute_force(rows: list[tuple[int, str | None]], most: int = 4) -> list[tuple[int, str, int]]:
