@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.operators.ranks import running_totals, value_counts_by
+from shelfline.session import materialize
+
 from shelfline.operators.ranks import exact_quantiles, value_counts_by
 
 
@@ -57,6 +60,17 @@ def listing(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def ranking(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
+    """All rows with ``place``: 1 plus the number of rows with a better value, none for NULL.
+
+    Places come from running totals over the distinct values, so no single task orders the whole table.
+    """
+    rows = materialize(df, "ranked")
+    run = running_totals(value_counts_by(rows, [], value), [], value, ["n"])
+    place = F.col("total_n") - F.col("cum_n") if descending else F.col("cum_n") - F.col("n")
+    return rows.join(run.select(value, (place + 1).cast("int").alias("place")), value, "left").select(*df.columns, "place")
+
+
 def latest_n(df: DataFrame, n: int, order=("date_key", "time_key"), tie=()) -> DataFrame:
     return listing(df, [*[F.col(c).desc() for c in order], *tie], n)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.ranks import exact_quantiles, melt, running_totals, text_position, value_counts_by
+from shelfline.operators.ranks import exact_quantiles, melt, running_totals, text_ranks, value_counts_by
 from shelfline.session import materialize
 
 # Bins, edge widening, floor of a share, thresholds.
@@ -35,8 +35,7 @@ def counted_values(base: DataFrame, cur: DataFrame, numeric=(), categorical=())
             return df.select(F.inline(pairs)).withColumn("cur", F.lit(flag))
 
         counts = value_counts_by(texts(base, 0).unionByName(texts(cur, 1)), ["feature"], "value", nb=F.count_if(F.col("cur") == 0), nc=F.count_if(F.col("cur") == 1))
-        coded = running_totals(counts.withColumn("one", F.lit(1)), ["feature"], "value", ["one"], position=text_position(F.col("value")))
-        codes = coded.select("feature", (F.col("cum_one") - 1).cast("double").alias("value"), "nb", "nc")
+        codes = text_ranks(counts, ["feature"], "value").select("feature", F.col("rank").cast("double").alias("value"), "nb", "nc")
         parts.append(materialize(codes, "codes"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -46,6 +45,7 @@ def psi(counted: DataFrame, bins: int = BINS) -> DataFrame:
 
     Bins follow the baseline quantiles; both end edges are widened, a value on an
     interior edge belongs to the upper bin, values outside count in the total only.
+    A feature without any baseline value has no edges and PSI 0.
     """
     probs = [i / bins for i in range(bins + 1)]
     edges = exact_quantiles(counted.filter("nb > 0"), ["feature"], "value", probs, count="nb")
@@ -54,7 +54,7 @@ def psi(counted: DataFrame, bins: int = BINS) -> DataFrame:
     # one comparison per inner edge stays in generated code
     index = sum((v >= F.get(e, F.lit(i))).cast("int") for i in range(1, bins))
     # one row of edges per feature: bounded by the number of columns
-    binned = counted.join(F.broadcast(edges), "feature").withColumn(
+    binned = counted.join(F.broadcast(edges), "feature", "left").withColumn(
         "bin", F.when((v >= low) & (v <= high), index))
     per_bin = binned.groupBy("feature", "bin").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc"))
     totals = per_bin.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
@@ -99,10 +99,16 @@ def drift_status(df: DataFrame) -> DataFrame:
 
 
 def dataset_drift(base: DataFrame, cur: DataFrame, numeric=(), categorical=()) -> DataFrame:
-    """One row per feature with KS statistic, p-value, PSI, status and retrain flag."""
+    """One row per feature with KS statistic, p-value, PSI, status and retrain flag.
+
+    A feature that is wholly NULL on one side has nothing to compare: KS and PSI 0, p-value 1.
+    """
     counted = counted_values(base, cur, numeric, categorical)
     ks = ks2(counted).withColumn("p_value", F.round(ks_pvalue(F.col("ks"), F.col("n_base"), F.col("n_cur")), 4))
-    joined = ks.join(psi(counted), "feature").select("feature", F.round("ks", 4).alias("ks"), "p_value", "psi")
+    features = base.sparkSession.createDataFrame([(c,) for c in [*numeric, *categorical]], "feature string")
+    value = lambda c, default: F.coalesce(F.col(c), F.lit(default)).alias(c)
+    joined = features.join(ks, "feature", "left").join(psi(counted), "feature", "left").select(
+        "feature", F.coalesce(F.round("ks", 4), F.lit(0.0)).alias("ks"), value("p_value", 1.0), value("psi", 0.0))
     return drift_status(joined)
 
 

@@ -131,6 +131,13 @@ def temporal_split(df: DataFrame, date_col: str, train=0.70, validation=0.15, em
     return df.withColumn("_d", d).join(ranked.select("_d", mark.alias("split")), "_d", "left").drop("_d")
 
 
+def cut_day(rows: DataFrame, date_col: str, train=0.70) -> Column:
+    """The first day after the first ``train`` share of the distinct days, as a scalar subquery."""
+    days = rows.select(F.to_date(date_col).alias("_d")).distinct()
+    ranked = days.select("_d", F.row_number().over(Window.orderBy("_d")).alias("_i"), F.count("*").over(Window.partitionBy()).alias("_n"))
+    return ranked.filter(F.col("_i") > F.ceil(F.col("_n") * train)).agg(F.min("_d")).scalar()
+
+
 def demand_features(fact: DataFrame) -> DataFrame:
     """Model columns: four categoricals, the discount, date parts and hour."""
     return fact.withColumns(cal.parts_from_key(F.col("date_key"), F.col("time_key")))

@@ -62,6 +62,19 @@ def forecast_quantiles(train: DataFrame, target: str = "recovered_demand", horiz
         F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon_hours"))
 
 
+def with_forecast(rows: DataFrame, train: DataFrame, target: str = "recovered_demand") -> DataFrame:
+    """``rows`` with the quantiles of their cell, or of (store, product, hour), or of the series.
+
+    Rows of a series without any training row stay, without a forecast.
+    """
+    out, names = rows, list(QUANTILES)
+    for i, keys in enumerate((CELL, CELL[:3], CELL[:2])):
+        # a series holds at most 16 rows for each calendar day, which bounds the built-in percentile
+        out = out.join(train.groupBy(*keys).agg(F.percentile(target, list(QUANTILES.values())).alias(f"_q{i}")), keys, "left")
+    q = F.coalesce(*[F.col(f"_q{i}") for i in range(3)])
+    return out.select(*rows.columns, *[F.get(q, F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+
 def with_errors(df: DataFrame, actual: str, forecast: str) -> DataFrame:
     miss = F.col(actual) - F.col(forecast)
     return df.withColumns({"absolute_error": F.abs(miss), "squared_error": miss * miss})

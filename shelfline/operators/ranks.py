@@ -25,14 +25,29 @@ def value_counts_by(df: DataFrame, keys, value: str, **counts: Column) -> DataFr
     return materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs), "counts")
 
 
-def text_position(col: Column) -> Column:
-    """A number that never decreases in the binary order of text: its first six bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def text_ranks(counted: DataFrame, keys, value: str) -> DataFrame:
+    """Add ``rank`` (from 0): the place of each distinct text of its group in binary order.
+
+    The rows are range-partitioned on the whole text, numbered in their partition, and moved up by
+    the sizes of the partitions before, so texts with a common beginning are spread like any others.
+    """
+    keys = list(keys)
+    placed = materialize(
+        counted.repartitionByRange(shuffle_width(counted.sparkSession), *keys, value).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    within = Window.partitionBy(*keys, "_part").orderBy(value)
+    return placed.join(offsets, [*keys, "_part"]).withColumn("rank", F.row_number().over(within) - 1 + F.col("_o")).drop("_part", "_o")
+
+
+#: distinct values that one bucket may hold on average
+BUCKET_ROWS = 50_000
 
 
-def bucket_count(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, within what the sketch resolves."""
-    return max(128, min(4096, shuffle_width(df.sparkSession)))
+def bucket_count(counted: DataFrame) -> int:
+    """Buckets of about BUCKET_ROWS stored value counts, and at least 128."""
+    return max(128, -(-counted.count() // BUCKET_ROWS))
 
 
 def with_bucket(counted: DataFrame, keys, v: Column, buckets: int) -> DataFrame:
@@ -44,7 +59,7 @@ def with_bucket(counted: DataFrame, keys, v: Column, buckets: int) -> DataFrame:
     there are as many rows as features and the broadcast is bounded by the schema.
     """
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counted.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(v, points)).alias("_cuts"))
+    cuts = counted.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(v, points, max(10000, 4 * buckets))).alias("_cuts"))
     if keys:
         out = counted.join(F.broadcast(cuts), keys)
         search = F.col("_cuts")
@@ -73,16 +88,15 @@ def bucket_offsets(bucketed: DataFrame, keys, sums) -> DataFrame:
     )
 
 
-def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int | None = None, position: Column | None = None) -> DataFrame:
+def running_totals(counted: DataFrame, keys, value: str, sums, buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive, by ascending value) and ``total_<c>`` for each column in ``sums``.
 
     ``counted`` has one row per key and value. ``keys`` names few groups, such as the
-    columns of a table. ``position`` is a number that follows the order of ``value``,
-    needed when that is text.
+    columns of a table.
     """
     keys, sums = list(keys), list(sums)
     buckets = buckets or bucket_count(counted)
-    v = F.col(value).cast("double") if position is None else position
+    v = F.col(value).cast("double")
     bucketed = with_bucket(counted, keys, v, buckets)
     offsets = bucket_offsets(bucketed, keys, sums).drop(*[f"_t_{c}" for c in sums])
     within = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

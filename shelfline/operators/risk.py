@@ -2,58 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from dataclasses import dataclass
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions import calendar as cal
+from shelfline.session import materialize
+
 RATE_KEYS = ["store_id", "product_id", "hour_of_day"]
 SCORE_DIGITS = 4  # fixed value: probabilities are stored with four decimals
 
 
-def stockout_rate(train: DataFrame, keys=RATE_KEYS) -> DataFrame:
-    """Share of stockout hours per key, at the stored precision."""
-    return train.groupBy(*keys).agg(F.round(F.avg("stockout_flag"), SCORE_DIGITS).alias("stockout_probability"))
-
+def score_by_rate(ops: DataFrame, cut: Column) -> DataFrame:
+    """Hours from the day ``cut`` on, scored with the stockout rate of the hours before it.
 
-def score_by_rate(ops: DataFrame, cut_date: str, keys=RATE_KEYS) -> DataFrame:
-    """Hours from ``cut_date`` on, scored with the rate of the hours before it."""
-    cut = F.lit(cut_date).cast("date")
-    rate = stockout_rate(ops.filter(F.col("event_date") < cut), keys)
-    return ops.filter(F.col("event_date") >= cut).join(rate, list(keys))
+    Levels: (store, product, hour), (product, hour), hour. Coarser ones are rolled up from the
+    finer ones; an hour that no level knows keeps its row without a probability.
+    """
+    counts = ops.where(F.col("event_date") < cut).groupBy(*RATE_KEYS).agg(F.sum("stockout_flag").alias("s0"), F.count("*").alias("n0"))
+    product = counts.groupBy("product_id", "hour_of_day").agg(F.sum("s0").alias("s1"), F.sum("n0").alias("n1"))
+    hour = product.groupBy("hour_of_day").agg(F.sum("s1").alias("s2"), F.sum("n1").alias("n2"))
+    rate = [F.round(F.col(f"s{i}") / F.col(f"n{i}"), SCORE_DIGITS) for i in range(3)]
+    rows = ops.where(F.col("event_date") >= cut).join(counts, RATE_KEYS, "left").join(product, ["product_id", "hour_of_day"], "left").join(hour, "hour_of_day", "left")
+    return rows.select(*[ops[c] for c in ops.columns], F.coalesce(*rate).alias("stockout_probability"))
 
 
-def risk_features(ops: DataFrame) -> DataFrame:
-    """The state of the hour before and of the same hour a day before, per series."""
-    w = Window.partitionBy("store_id", "product_id").orderBy("event_timestamp")
-    prev = F.coalesce(F.lag("stockout_flag", 1).over(w), F.lit(0)).cast("double")
-    day = F.coalesce(F.lag("stockout_flag", 16).over(w), F.lit(0)).cast("double")
-    return ops.withColumns({"prev_out": prev, "day_out": day, "weekend": F.col("is_weekend").cast("double"), "label": F.col("stockout_flag").cast("double")})
+HOURS = list(range(cal.OPEN_HOUR, cal.CLOSE_HOUR))
+PLAIN = ["weekend", "discount", "prev_out", "day_out", "product_rate"]
 
 
-def risk_model(train: DataFrame) -> PipelineModel:
-    """Logistic regression on hour, product, weekend, discount and lagged state.
+def risk_features(ops: DataFrame, cut: Column) -> DataFrame:
+    """The state one hour and one day before, and the stockout rate of the product, stored once.
 
-    Stores enter through their lagged state, not as a category: their number grows
-    with the data and a one-hot column each would grow the model with it.
+    States are looked up by time, so a missing hour or day gives 0 and not the state of another one. The rate of
+    a product comes from the training days of the other parity for a training row, and from all of them after the cut,
+    so no row knows its own label. Stores and products enter by such numbers: an index or a
+    column for each would grow with the data.
     """
-    index = StringIndexer(inputCols=["hour_of_day", "product_id"], outputCols=["hour_i", "product_i"], handleInvalid="keep")
-    onehot = OneHotEncoder(inputCols=["hour_i", "product_i"], outputCols=["hour_v", "product_v"], handleInvalid="keep")
-    vector = VectorAssembler(inputCols=["hour_v", "product_v", "weekend", "discount", "prev_out", "day_out"], outputCol="features")
-    fit = LogisticRegression(maxIter=25, regParam=0.001)
-    typed = train.withColumns({c: F.col(c).cast("string") for c in ("hour_of_day", "product_id")})
-    return Pipeline(stages=[index, onehot, vector, fit]).fit(typed)
-
-
-def risk_score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    typed = df.withColumns({"_h": F.col("hour_of_day"), "_p": F.col("product_id"),
-                            **{c: F.col(c).cast("string") for c in ("hour_of_day", "product_id")}})
-    p = F.round(F.get(vector_to_array("probability"), F.lit(1)), SCORE_DIGITS)
-    out = model.transform(typed).withColumn("stockout_probability", p)
-    return out.withColumns({"hour_of_day": F.col("_h"), "product_id": F.col("_p")}).select(*df.columns, "stockout_probability")
+    w = Window.partitionBy("store_id", "product_id").orderBy(F.unix_seconds(F.col("event_timestamp").cast("timestamp")))
+    ago = lambda s: F.coalesce(F.max("stockout_flag").over(w.rangeBetween(-s, -s)), F.lit(0)).cast("double")
+    odd, known = F.unix_date("event_date") % 2, F.col("event_date") < cut
+    rates = ops.where(known).groupBy("product_id").agg(
+        *[F.avg(F.when(odd == i, F.col("stockout_flag").cast("double"))).alias(f"_r{1 - i}") for i in (0, 1)],
+        F.avg(F.col("stockout_flag").cast("double")).alias("_r"))
+    out = ops.withColumns({"prev_out": ago(3600), "day_out": ago(86400), "weekend": F.col("is_weekend").cast("double"),
+                           "label": F.col("stockout_flag").cast("double"), "training": known})
+    rate = F.when(F.col("training") & (odd == 0), F.col("_r0")).when(F.col("training"), F.col("_r1")).otherwise(F.col("_r"))
+    out = out.join(rates, "product_id", "left").withColumn("product_rate", F.coalesce(rate, F.col("_r"), F.lit(0.5)))
+    return materialize(out.drop("_r0", "_r1", "_r"), "risk-features")
+
+
+@dataclass
+class RiskModel:
+    """A logistic regression as plain numbers."""
+
+    intercept: float
+    hours: list[float]
+    plain: list[float]
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Adds ``stockout_probability`` in plain expressions; no model object goes to the tasks."""
+        hour = F.coalesce(F.get(F.array(*[F.lit(x) for x in self.hours]), F.col("hour_of_day") - HOURS[0]), F.lit(0.0))
+        odds = sum((F.col(c) * F.lit(x) for c, x in zip(PLAIN, self.plain)), F.lit(self.intercept) + hour)
+        return rows.withColumn("stockout_probability", F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)), SCORE_DIGITS))
+
+
+def risk_model(train: DataFrame) -> RiskModel:
+    """Logistic regression on the trading hour and the plain features."""
+    slots = [(F.col("hour_of_day") == h).cast("double") for h in HOURS] + [F.col(c).cast("double") for c in PLAIN]
+    rows = train.select("label", array_to_vector(F.array(*slots)).alias("features"))
+    model = LogisticRegression(maxIter=25, regParam=0.001).fit(rows)
+    values = [float(x) for x in model.coefficients.toArray()]
+    return RiskModel(float(model.intercept), values[:len(HOURS)], values[len(HOURS):])
 
 
 def calibrate(scored: DataFrame, label: str = "stockout_flag", score: str = "stockout_probability") -> IsotonicRegressionModel:
@@ -74,11 +98,7 @@ def reliability(scored: DataFrame, label: str = "stockout_flag", score: str = "s
         F.count("*").alias("n"), F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("observed_rate"))
 
 
-def coefficients(model: PipelineModel, spark) -> DataFrame:
-    """Coefficient of each input slot of the logistic model; one row per hour, product and plain feature."""
-    hours, products = model.stages[0].labelsArray
-    names = [f"hour={h}" for h in hours] + ["hour=other"] + [f"product={p}" for p in products] + ["product=other"]
-    values = model.stages[-1].coefficients.toArray()
-    plain = ["weekend", "discount", "prev_out", "day_out"]
-    slots = names + plain if len(names) + len(plain) == len(values) else [f"slot {i}" for i in range(len(values))]
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(slots, values)], "feature string, coefficient double")
+def coefficients(model: RiskModel, spark) -> DataFrame:
+    """Coefficient of each input of the logistic model."""
+    rows = [(f"hour={h}", x) for h, x in zip(HOURS, model.hours)] + list(zip(PLAIN, model.plain))
+    return spark.createDataFrame(rows, "feature string, coefficient double")

@@ -49,7 +49,8 @@ HOURLY = GRID + """, hours AS (SELECT unnest(range(24))::INTEGER AS h), hourly A
          b.precpt, b.avg_temperature, b.avg_humidity, b.avg_wind_level
   FROM base b CROSS JOIN hours LEFT JOIN cells c
     ON c.store_id = b.store_id AND c.product_id = b.product_id AND c.d = b.d AND c.h = hours.h
-), ops AS (SELECT * FROM hourly WHERE is_operational_hour)"""
+), ops AS (SELECT * FROM hourly WHERE is_operational_hour
+), cutd AS (SELECT min(d) AS cut FROM (SELECT d, row_number() OVER (ORDER BY d) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT d FROM base)) WHERE i > ceil(n * 0.7))"""
 
 DAILY = HOURLY + """, daily AS (
   SELECT b.*, strftime(b.d, '%Y-%m-%d') AS dt, a.hours_sale, a.hours_stock_status, a.stock_hour6_22_cnt

@@ -10,7 +10,7 @@ from shelfline.operators import forecast as fc
 from shelfline.operators import gold, islands, rules
 from shelfline.plans.catalog import BRONZE, DAILY, GRID, HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import checked, hourly
-from shelfline.plans.kpis import EVALUATED, evaluated
+from shelfline.plans.kpis import EVALUATED, SCORED, evaluated, scored
 from shelfline.sources import runlog, tables
 
 SPLIT_TS = "2024-01-16"
@@ -86,16 +86,17 @@ def _(spark, sf):
     return gold.dim_date(tables.table(spark, sf, "orders"), "o_orderdate")
 
 
-@query("gd8_dim_reason_code", sql="""SELECT reason_key, reason_code, reason_group, n FROM (
-SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 9 WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 14 END AS reason_key, count(*) AS n FROM orders GROUP BY ALL)
-JOIN (SELECT unnest([1, 9, 14]) AS reason_key, unnest(['HIGH_STOCKOUT_RISK', 'EMERGENCY_REPLENISH', 'MONITOR_ONLY']) AS reason_code,
-unnest(['Replenish', 'Emergency', 'Monitor']) AS reason_group) USING (reason_key)""")
+REASONS = ", ".join(f"({i + 1}, '{code}', '{group}')" for i, (code, group, *_) in enumerate(gold.REASON_CODES))
+
+
+@query("gd8_dim_reason_code", sql=f"""SELECT r.reason_key, r.reason_code, r.reason_group, coalesce(o.n, 0) AS n FROM (VALUES {REASONS}) AS r(reason_key, reason_code, reason_group) LEFT JOIN (
+SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'EMERGENCY_REPLENISH' WHEN o_orderpriority = '2-HIGH' THEN 'HIGH_STOCKOUT_RISK' ELSE 'MONITOR_ONLY' END AS reason_code, count(*) AS n FROM orders GROUP BY ALL) o USING (reason_code)""")
 def _(spark, sf):
-    """Reason codes with the orders they would explain."""
+    """All reason codes with the orders they would explain."""
     p = F.col("o_orderpriority")
     code = F.when(p == "1-URGENT", "EMERGENCY_REPLENISH").when(p == "2-HIGH", "HIGH_STOCKOUT_RISK").otherwise("MONITOR_ONLY")
     n = tables.table(spark, sf, "orders").groupBy(code.alias("reason_code")).agg(F.count("*").alias("n"))
-    return n.join(gold.dim_reason_code(spark), "reason_code").select("reason_key", "reason_code", "reason_group", "n")
+    return gold.dim_reason_code(spark).join(n, "reason_code", "left").select("reason_key", "reason_code", "reason_group", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 @query("gd9_dim_weather_band", ctes=GRID, sql="""SELECT CASE WHEN avg_temperature < 5 THEN 'cold' WHEN avg_temperature < 15 THEN 'mild' WHEN avg_temperature < 25 THEN 'warm' ELSE 'hot' END AS temperature_band,
@@ -124,30 +125,23 @@ round(actual, 6) AS actual, round(abs(actual - q50), 6) AS absolute_error, round
 round(greatest(0.1 * (actual - q10), -0.9 * (actual - q10)), 6) AS pinball_loss_p10, round(greatest(0.5 * (actual - q50), -0.5 * (actual - q50)), 6) AS pinball_loss_p50,
 round(greatest(0.9 * (actual - q90), -0.1 * (actual - q90)), 6) AS pinball_loss_p90 FROM evaluated""")
 def _(spark, sf):
-    e = evaluated(spark, sf, horizons=(24,))
+    e = evaluated(spark, sf).withColumn("horizon_hours", F.lit(24))
     keys = ["store_id", "product_id", "event_timestamp", "horizon_hours"]
     f = e.select(*keys, F.col("forecast_q10").alias("forecast_p10"), F.col("forecast_median").alias("forecast_p50"), F.col("forecast_q90").alias("forecast_p90"), "actual")
     return rounded(gold.fact_forecast(f.drop("actual"), f.select(*keys, "actual"), keys))
 
 
-RATE = HOURLY + """, rate AS (SELECT store_id, product_id, hour_of_day, round(avg(stockout_flag), 4) AS p FROM ops WHERE event_date < DATE '2024-01-22' GROUP BY ALL)"""
-
-
-@query("gd12_fact_stockout_risk", ctes=RATE, sql="""SELECT o.store_id, o.product_id, o.event_timestamp, r.p AS stockout_probability, o.stockout_flag AS actual_stockout, 'r1' AS risk_run_id,
-CASE WHEN p < 0.25 THEN 'low' WHEN p < 0.5 THEN 'medium' WHEN p < 0.75 THEN 'high' ELSE 'critical' END AS risk_tier, p >= 0.5 AS is_alert
-FROM ops o JOIN rate r USING (store_id, product_id, hour_of_day) WHERE o.event_date >= DATE '2024-01-22'""")
+@query("gd12_fact_stockout_risk", ctes=SCORED, sql="""SELECT store_id, product_id, event_timestamp, p AS stockout_probability, stockout_flag AS actual_stockout, 'r1' AS risk_run_id,
+CASE WHEN p < 0.25 THEN 'low' WHEN p < 0.5 THEN 'medium' WHEN p < 0.75 THEN 'high' ELSE 'critical' END AS risk_tier, p >= 0.5 AS is_alert FROM scored""")
 def _(spark, sf):
-    from shelfline.operators.risk import score_by_rate
-
-    scored = score_by_rate(hourly(spark, sf, True), "2024-01-22")
-    return gold.fact_stockout_risk(scored.select("store_id", "product_id", "event_timestamp", "stockout_probability", F.col("stockout_flag").alias("actual_stockout")), "r1")
+    return gold.fact_stockout_risk(scored(spark, sf).select("store_id", "product_id", "event_timestamp", "stockout_probability", F.col("stockout_flag").alias("actual_stockout")), "r1")
 
 
 @query("gd14_fact_model_monitoring", ctes=EVALUATED, sql="""SELECT 'm1' AS monitoring_run_id, 'product' AS segment_type, product_id::VARCHAR AS segment_value, 'hourly_wape' AS metric_name,
 round(wape, 6) AS metric_value, 0.45::DOUBLE AS threshold, CASE WHEN wape <= 0.45 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM (SELECT product_id, sum(abs(actual - q50)) / sum(abs(actual)) AS wape FROM evaluated GROUP BY ALL)""")
 def _(spark, sf):
-    m = fc.forecast_metrics(evaluated(spark, sf, horizons=(24,)), "actual", "forecast_median", ["product_id"])
+    m = fc.forecast_metrics(evaluated(spark, sf), "actual", "forecast_median", ["product_id"])
     rows = m.select(F.lit("product").alias("segment_type"), F.col("product_id").cast("string").alias("segment_value"),
                     F.lit("hourly_wape").alias("metric"), (F.col("wape") / 100).alias("value"))
     return rounded(gold.fact_model_monitoring(rules.gate(rows, rules.QUALITY_GATES), "m1"))

@@ -10,16 +10,19 @@ from shelfline.plans.cleaning import hourly
 from shelfline.session import materialize
 from shelfline.sources import tables
 
-CUT = "2024-01-22"
 RECOVERED = HOURLY + """, l0 AS (SELECT store_id, product_id, hour_of_day, is_weekend, avg(observed_sales) AS m FROM ops WHERE stockout_flag = 0 GROUP BY ALL
 ), l1 AS (SELECT store_id, product_id, hour_of_day, avg(observed_sales) AS m FROM ops WHERE stockout_flag = 0 GROUP BY ALL
 ), l2 AS (SELECT product_id, hour_of_day, avg(observed_sales) AS m FROM ops WHERE stockout_flag = 0 GROUP BY ALL
 ), recovered AS (SELECT o.*, CASE WHEN stockout_flag = 1 THEN greatest(observed_sales, coalesce(l0.m, l1.m, l2.m, observed_sales)) ELSE observed_sales END AS recovered_demand
   FROM ops o LEFT JOIN l0 USING (store_id, product_id, hour_of_day, is_weekend) LEFT JOIN l1 USING (store_id, product_id, hour_of_day) LEFT JOIN l2 USING (product_id, hour_of_day))"""
-EVALUATED = RECOVERED + """, cells AS (SELECT store_id, product_id, hour_of_day, is_weekend, quantile_cont(recovered_demand, [0.1, 0.25, 0.5, 0.75, 0.9]) AS q
-  FROM recovered WHERE event_date < DATE '2024-01-22' GROUP BY ALL
-), evaluated AS (SELECT r.*, r.recovered_demand AS actual, q[1] AS q10, q[2] AS q25, q[3] AS q50, q[4] AS q75, q[5] AS q90
-  FROM recovered r JOIN cells USING (store_id, product_id, hour_of_day, is_weekend) WHERE r.event_date >= DATE '2024-01-22')""".replace("cells", "qcells")
+def _cells(name: str, keys: str) -> str:
+    return f"""{name} AS (SELECT {keys}, quantile_cont(recovered_demand, [0.1, 0.25, 0.5, 0.75, 0.9]) AS q FROM recovered WHERE event_date < (SELECT cut FROM cutd) GROUP BY ALL)"""
+
+
+EVALUATED = f"""{RECOVERED}, {_cells("qcells", "store_id, product_id, hour_of_day, is_weekend")}, {_cells("qhours", "store_id, product_id, hour_of_day")}, {_cells("qseries", "store_id, product_id")}
+, forecasts AS (SELECT r.*, r.recovered_demand AS actual, coalesce(c.q, h.q, s.q) AS q FROM recovered r LEFT JOIN qcells c USING (store_id, product_id, hour_of_day, is_weekend)
+  LEFT JOIN qhours h USING (store_id, product_id, hour_of_day) LEFT JOIN qseries s USING (store_id, product_id)
+), evaluated AS (SELECT *, q[1] AS q10, q[2] AS q25, q[3] AS q50, q[4] AS q75, q[5] AS q90 FROM forecasts WHERE event_date >= (SELECT cut FROM cutd) AND q IS NOT NULL)"""
 WEEK = "CAST(date_trunc('week', event_date) AS DATE)"
 
 
@@ -34,12 +37,21 @@ def stored_recovered(spark, sf):
     return materialize(recovered(spark, sf).select(*cols), "recovered")
 
 
-def evaluated(spark, sf, horizons=fc.HORIZONS):
+def cut(spark, sf):
+    """The first day of the evaluation window: after 70 % of the days."""
+    return features.cut_day(tables.pos(spark, sf), "timestamp")
+
+
+def evaluated(spark, sf):
     """Hours of the evaluation window with the quantile forecast from the hours before it."""
     rec = stored_recovered(spark, sf)
-    cut = F.lit(CUT).cast("date")
-    cells = fc.forecast_quantiles(rec.filter(F.col("event_date") < cut), horizons=horizons)
-    return rec.filter(F.col("event_date") >= cut).withColumn("actual", F.col("recovered_demand")).join(cells, fc.CELL)
+    rows = rec.where(F.col("event_date") >= cut(spark, sf)).withColumn("actual", F.col("recovered_demand"))
+    return fc.with_forecast(rows, rec.where(F.col("event_date") < cut(spark, sf))).filter("forecast_median IS NOT NULL")
+
+
+def per_horizon(df):
+    """The forecast is the same for every horizon, so horizons are attached to the finished figures."""
+    return df.withColumn("horizon_hours", F.explode(F.array(*[F.lit(h) for h in fc.HORIZONS])))
 
 
 G = ["store_id", "product_id", "event_date"]
@@ -90,23 +102,31 @@ def _(spark, sf):
     return rounded(kpi.kpi_fill_rate(recovered(spark, sf), G))
 
 
-H = ["store_id", "product_id", "horizon_hours"]
+H = ["store_id", "product_id"]
 HZ = "CROSS JOIN (SELECT unnest([1, 4, 8, 12, 24]) AS horizon_hours)"
 
 
 @query("kp12_wape", ctes=EVALUATED, sql=f"SELECT store_id, product_id, horizon_hours, round(coalesce(sum(abs(actual - q50)) / nullif(sum(abs(actual)), 0) * 100, 0), 6) AS wape FROM evaluated {HZ} GROUP BY ALL")
 def _(spark, sf):
-    return rounded(kpi.kpi_wape(evaluated(spark, sf), "actual", "forecast_median", H))
+    return rounded(per_horizon(kpi.kpi_wape(evaluated(spark, sf), "actual", "forecast_median", H)))
 
 
 @query("kp13_bias", ctes=EVALUATED, sql=f"SELECT store_id, product_id, horizon_hours, round(coalesce(sum(q50 - actual) / nullif(sum(actual), 0) * 100, 0), 6) + 0.0 AS bias FROM evaluated {HZ} GROUP BY ALL")
 def _(spark, sf):
-    return rounded(kpi.kpi_bias(evaluated(spark, sf), "actual", "forecast_median", H))
+    return rounded(per_horizon(kpi.kpi_bias(evaluated(spark, sf), "actual", "forecast_median", H)))
 
 
 @query("kp14_p90_coverage", ctes=EVALUATED, sql=f"SELECT store_id, product_id, horizon_hours, round(avg((actual <= q90)::INT) * 100, 6) AS p90_coverage_pct FROM evaluated {HZ} GROUP BY ALL")
 def _(spark, sf):
-    return rounded(kpi.kpi_p90_coverage(evaluated(spark, sf), "actual", "forecast_q90", H))
+    return rounded(per_horizon(kpi.kpi_p90_coverage(evaluated(spark, sf), "actual", "forecast_q90", H)))
+
+
+@query("kp14_unscored_hours", ctes=EVALUATED, sql="SELECT count(*) AS hours, count(*) FILTER (WHERE q IS NULL) AS unscored_hours FROM forecasts WHERE event_date >= (SELECT cut FROM cutd)")
+def _(spark, sf):
+    """Hours of the evaluation window, and those of series without any history, which no forecast KPI counts."""
+    rec = stored_recovered(spark, sf)
+    rows = fc.with_forecast(rec.where(F.col("event_date") >= cut(spark, sf)), rec.where(F.col("event_date") < cut(spark, sf)))
+    return rows.agg(F.count("*").alias("hours"), F.count_if(F.col("forecast_median").isNull()).alias("unscored_hours"))
 
 
 FVA = EVALUATED + """, naive AS (SELECT e.*, p.recovered_demand AS naive_forecast FROM evaluated e JOIN recovered p
@@ -118,9 +138,8 @@ def with_baseline(spark, sf):
     """Forecast and seasonal-naive value of each evaluated hour."""
     rec = stored_recovered(spark, sf)
     based = features.naive_forecast(rec, 7, "recovered_demand", ["store_id", "product_id", "hour_of_day"], "event_date")
-    cut = F.lit(CUT).cast("date")
-    cells = fc.forecast_quantiles(rec.filter(F.col("event_date") < cut), horizons=(24,))
-    return based.filter(F.col("event_date") >= cut).withColumn("actual", F.col("recovered_demand")).join(cells, fc.CELL)
+    rows = based.where(F.col("event_date") >= cut(spark, sf)).withColumn("actual", F.col("recovered_demand"))
+    return fc.with_forecast(rows, rec.where(F.col("event_date") < cut(spark, sf))).filter("forecast_median IS NOT NULL")
 
 
 @query("kp15_fva", ctes=FVA, sql="SELECT product_id, round(wape_baseline, 6) AS wape_baseline, round(wape_model, 6) AS wape_model, round((wape_baseline - wape_model) / wape_baseline * 100, 6) AS fva_pct FROM wapes")
@@ -128,14 +147,16 @@ def _(spark, sf):
     return rounded(kpi.kpi_fva(with_baseline(spark, sf), "actual", "forecast_median", "naive_forecast", ["product_id"]))
 
 
-SCORED = HOURLY + """, scored AS (SELECT o.*, r.p FROM ops o JOIN (SELECT store_id, product_id, hour_of_day, round(avg(stockout_flag), 4) AS p FROM ops
-  WHERE event_date < DATE '2024-01-22' GROUP BY ALL) r USING (store_id, product_id, hour_of_day) WHERE o.event_date >= DATE '2024-01-22')"""
+SCORED = HOURLY + """, rate0 AS (SELECT store_id, product_id, hour_of_day, sum(stockout_flag) AS s, count(*) AS n FROM ops WHERE event_date < (SELECT cut FROM cutd) GROUP BY ALL
+), rate1 AS (SELECT product_id, hour_of_day, sum(s) AS s, sum(n) AS n FROM rate0 GROUP BY ALL), rate2 AS (SELECT hour_of_day, sum(s) AS s, sum(n) AS n FROM rate1 GROUP BY ALL
+), scored AS (SELECT o.*, coalesce(round(a.s / a.n::DOUBLE, 4), round(b.s / b.n::DOUBLE, 4), round(c.s / c.n::DOUBLE, 4)) AS p FROM ops o LEFT JOIN rate0 a USING (store_id, product_id, hour_of_day)
+  LEFT JOIN rate1 b USING (product_id, hour_of_day) LEFT JOIN rate2 c USING (hour_of_day) WHERE o.event_date >= (SELECT cut FROM cutd))"""
 
 
 def scored(spark, sf):
     from shelfline.operators.risk import score_by_rate
 
-    return score_by_rate(hourly(spark, sf, True), CUT)
+    return score_by_rate(hourly(spark, sf, True), cut(spark, sf))
 
 
 @query("kp16_pr_auc", ctes=SCORED, sql="""SELECT round(sum(pos / total * cum_pos / cum_n), 6) AS pr_auc FROM (
@@ -194,18 +215,17 @@ def _(spark, sf):
 DRIFT = EVALUATED + """, per_day AS (SELECT event_date, sum(abs(actual - q50)) AS a, sum(q50 - actual) AS m, sum(actual) AS y FROM evaluated GROUP BY ALL
 ), roll AS (SELECT event_date, sum(a) OVER w / sum(y) OVER w * 100 AS current_wape, sum(m) OVER w / sum(y) OVER w * 100 AS current_bias FROM per_day
   WINDOW w AS (ORDER BY event_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
-), trained AS (SELECT sum(abs(recovered_demand - q[3])) / sum(abs(recovered_demand)) * 100 AS training_wape FROM recovered JOIN qcells USING (store_id, product_id, hour_of_day, is_weekend) WHERE event_date < DATE '2024-01-22')"""
+), trained AS (SELECT sum(abs(recovered_demand - q[3])) / sum(abs(recovered_demand)) * 100 AS training_wape FROM forecasts WHERE event_date < (SELECT cut FROM cutd))"""
 
 
 def drift_windows(spark, sf):
     """Rolling seven-day WAPE and bias of the evaluation window beside the WAPE of the training window."""
     rec = stored_recovered(spark, sf)
-    cut = F.lit(CUT).cast("date")
-    train = rec.filter(F.col("event_date") < cut)
-    cells = fc.forecast_quantiles(train, horizons=(24,))
+    train = rec.where(F.col("event_date") < cut(spark, sf))
+    rows = fc.with_forecast(rec, train).filter("forecast_median IS NOT NULL")
     y, f = F.col("recovered_demand"), F.col("forecast_median")
-    errors = rec.filter(F.col("event_date") >= cut).join(cells, fc.CELL).withColumns({"_abs": F.abs(y - f), "_miss": f - y, "_y": y})
-    trained = kpi.kpi_wape(train.join(cells, fc.CELL), "recovered_demand", "forecast_median").withColumnRenamed("wape", "training_wape")
+    errors = rows.where(F.col("event_date") >= cut(spark, sf)).withColumns({"_abs": F.abs(y - f), "_miss": f - y, "_y": y})
+    trained = kpi.kpi_wape(rows.where(F.col("event_date") < cut(spark, sf)), "recovered_demand", "forecast_median").withColumnRenamed("wape", "training_wape")
     return kpi.rolling_metrics(errors, "event_date").join(F.broadcast(trained))  # one row
 
 

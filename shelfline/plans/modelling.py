@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
 from shelfline.functions.text import hash_uniform
-from shelfline.operators import drift, features, gold, islands, joins
+from shelfline.operators import drift, features, gold, islands, joins, kpi
 from shelfline.operators import forecast as fc
 from shelfline.operators import models, risk
 from shelfline.plans.catalog import GRID, HOURLY, ORDER_DEMAND, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.plans.ingestion import UNIFORM
-from shelfline.plans.kpis import CUT, EVALUATED, FVA, RECOVERED, SCORED, evaluated, recovered, scored, with_baseline
+from shelfline.plans.kpis import EVALUATED, FVA, RECOVERED, SCORED, cut, evaluated, recovered, scored, with_baseline
 from shelfline.sources import tables
 
 
@@ -50,16 +50,10 @@ def split_features(spark, sf):
     return marked.filter("split = 'train'").drop("split"), marked.filter("split = 'test'").drop("split")
 
 
-_FITTED: dict = {}
-
-
 def demand_model(spark, sf):
-    """The fitted model and the held-out rows; one fit serves all queries of a session."""
+    """The fitted model and the held-out rows."""
     train, test = split_features(spark, sf)
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITTED:
-        _FITTED[key] = models.train(train)
-    return _FITTED[key], test
+    return models.train(train), test
 
 
 @query("ml4_boosted_trees")
@@ -73,7 +67,7 @@ def _(spark, sf):
 round(1 - sum((q50 - actual) ** 2) / (var_pop(actual) * count(*)), 6) AS r2, round(sum(abs(q50 - actual)) / sum(abs(actual)) * 100, 6) AS wape, round(sum(q50 - actual) / sum(actual) * 100, 6) AS bias
 FROM evaluated GROUP BY ALL""")
 def _(spark, sf):
-    return rounded(fc.forecast_metrics(evaluated(spark, sf, horizons=(24,)), "actual", "forecast_median", ["product_id"]))
+    return rounded(fc.forecast_metrics(evaluated(spark, sf), "actual", "forecast_median", ["product_id"]))
 
 
 @query("ml6_best_run", ctes=FVA, sql="""SELECT run_id, round(rmse, 6) AS rmse FROM (SELECT 'median' AS run_id, sqrt(avg((q50 - actual) ** 2)) AS rmse FROM naive
@@ -125,13 +119,13 @@ def _(spark, sf):
 round(q[4], 6) AS forecast_q75, round(q[5], 6) AS forecast_q90 FROM qcells CROSS JOIN (SELECT unnest([1, 4, 8, 12, 24]) AS horizon_hours)""")
 def _(spark, sf):
     rec = recovered(spark, sf)
-    return rounded(fc.forecast_quantiles(rec.filter(F.col("event_date") < F.lit(CUT).cast("date"))))
+    return rounded(fc.forecast_quantiles(rec.where(F.col("event_date") < cut(spark, sf))))
 
 
 @query("fc3_forecast_errors", ctes=EVALUATED, sql="""SELECT store_id, product_id, event_timestamp, round(abs(actual - q50), 6) AS absolute_error, round((actual - q50) ** 2, 6) AS squared_error,
 round(greatest(0.1 * (actual - q10), -0.9 * (actual - q10)), 6) AS pinball_loss_forecast_q10, round(greatest(0.9 * (actual - q90), -0.1 * (actual - q90)), 6) AS pinball_loss_forecast_q90 FROM evaluated""")
 def _(spark, sf):
-    e = fc.with_errors(evaluated(spark, sf, horizons=(24,)), "actual", "forecast_median")
+    e = fc.with_errors(evaluated(spark, sf), "actual", "forecast_median")
     e = fc.pinball_losses(e, "actual", forecast_q10=0.10, forecast_q90=0.90)
     return rounded(e.select("store_id", "product_id", "event_timestamp", "absolute_error", "squared_error", "pinball_loss_forecast_q10", "pinball_loss_forecast_q90"))
 
@@ -139,7 +133,7 @@ def _(spark, sf):
 @query("fc4_metrics_by_censoring", ctes=EVALUATED, sql="""SELECT CASE WHEN stockout_flag = 1 THEN 'censored' ELSE 'uncensored' END AS segment, count(*) AS n, round(avg(abs(q50 - actual)), 6) AS mae,
 round(sum(abs(q50 - actual)) / sum(abs(actual)) * 100, 6) AS wape FROM evaluated GROUP BY ALL""")
 def _(spark, sf):
-    m = fc.metrics_by_censoring(evaluated(spark, sf, horizons=(24,)), "actual", "forecast_median")
+    m = fc.metrics_by_censoring(evaluated(spark, sf), "actual", "forecast_median")
     return rounded(m.select("segment", "n", "mae", "wape"))
 
 
@@ -169,10 +163,8 @@ def _(spark, sf):
 
 
 def logistic_scores(spark, sf):
-    rows = risk.risk_features(hourly(spark, sf, True))
-    cut = F.lit(CUT).cast("date")
-    model = risk.risk_model(rows.filter(F.col("event_date") < cut))
-    return risk.risk_score(model, rows.filter(F.col("event_date") >= cut))
+    rows = risk.risk_features(hourly(spark, sf, True), cut(spark, sf))
+    return risk.risk_model(rows.filter("training")).score(rows.filter("NOT training"))
 
 
 @query("rk1_logistic_risk")
@@ -180,6 +172,16 @@ def _(spark, sf):
     return logistic_scores(spark, sf).select("store_id", "product_id", "event_timestamp", "stockout_flag", "stockout_probability")
 
 
+@query("rk1_logistic_checks", ctes=SCORED, sql="SELECT count(*) AS hours, count(*) AS within, avg(stockout_flag) < 1 AS better_than_rate FROM scored")
+def _(spark, sf):
+    """What holds for the logistic scores: every hour has one between 0 and 1, and they rank better than the base rate."""
+    rows = logistic_scores(spark, sf)
+    p = F.col("stockout_probability")
+    totals = rows.agg(F.count("*").alias("hours"), F.count_if((p >= 0) & (p <= 1)).alias("within"), F.avg("stockout_flag").alias("base"))
+    auc = kpi.kpi_pr_auc(rows, "stockout_flag", "stockout_probability")
+    return totals.join(F.broadcast(auc)).select("hours", "within", (F.col("pr_auc") > F.col("base")).alias("better_than_rate"))  # one row each
+
+
 @query("rk2_risk_tier", ctes=SCORED, sql="""SELECT CASE WHEN p < 0.25 THEN 'low' WHEN p < 0.5 THEN 'medium' WHEN p < 0.75 THEN 'high' ELSE 'critical' END AS risk_tier, p >= 0.5 AS is_alert, count(*) AS n FROM scored GROUP BY ALL""")
 def _(spark, sf):
     return gold.fact_stockout_risk(scored(spark, sf), "r").groupBy("risk_tier", "is_alert").agg(F.count("*").alias("n"))

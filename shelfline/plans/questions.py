@@ -13,7 +13,7 @@ from shelfline.plans.catalog import BRONZE, HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import checked, hourly
 from shelfline.plans.contracts import report
 from shelfline.plans.ingestion import UNIFORM  # noqa: F401
-from shelfline.plans.kpis import CUT, DRIFT, EVALUATED, FVA, RECOVERED, RUNS, SCORED, drift_windows, evaluated, recovered, runs, scored, with_baseline
+from shelfline.plans.kpis import DRIFT, EVALUATED, FVA, RECOVERED, RUNS, SCORED, cut, drift_windows, evaluated, recovered, runs, scored, with_baseline
 from shelfline.plans.modelling import CATS, STATUS_SQL, DRIFT_COLS, drift_frames, drift_sql
 from shelfline.plans.ordering import (COMPARE_SQL, POLICY_CYCLES, PRICED, RECS, cycles_sql, economics_sql, policy_cycles, priced, products, recommendation_inputs,
                                       recommendations)
@@ -23,6 +23,11 @@ WEEK = "CAST(date_trunc('week', event_date) AS DATE)"
 COST = RECOVERED + ", " + economics_sql("ops")
 
 
+def last_day(spark, sf):
+    """The day on which the data ends, as a scalar subquery."""
+    return tables.pos(spark, sf).agg(F.to_date(F.max("timestamp"))).scalar()
+
+
 def lost_cost(spark, sf, by):
     rec = recovered(spark, sf).withColumn("week", F.trunc("event_date", "week"))
     return kpi.kpi_lost_sales_cost(rec, ec.product_economics(products(spark, sf)), by)
@@ -35,11 +40,12 @@ def _(spark, sf):
     return rounded(lost_cost(spark, sf, ["week"]), 4)
 
 
-@query("q_e2_worst_stores", ctes=HOURLY, sql="""SELECT city_id, store_id, round((1 - avg(stockout_flag)) * 100, 6) AS availability_pct FROM ops GROUP BY ALL ORDER BY (1 - avg(stockout_flag)), store_id LIMIT 10""")
+@query("q_e2_worst_stores", ctes=HOURLY, sql="""SELECT city_id, store_id, availability_pct, rank() OVER (ORDER BY availability_pct)::INTEGER AS place FROM (
+SELECT city_id, store_id, round((1 - avg(stockout_flag)) * 100, 6) AS availability_pct FROM ops GROUP BY ALL)""")
 def _(spark, sf):
-    """The ten stores with the lowest availability."""
-    k = kpi.kpi_availability(hourly(spark, sf, True), ["city_id", "store_id"])
-    return rounded(ag.listing(k, ["availability_pct", "store_id"], 10))
+    """All stores, the lowest availability first."""
+    k = rounded(kpi.kpi_availability(hourly(spark, sf, True), ["city_id", "store_id"]))
+    return ag.ranking(k, "availability_pct")
 
 
 @query("q_e3_waste_cost", ctes=POLICY_CYCLES, sql="SELECT policy_name, category, round(sum(waste_cost), 2) AS waste_cost FROM cyc3 GROUP BY ALL")
@@ -72,12 +78,12 @@ def _(spark, sf):
     return rounded(features.period_delta(kpi.kpi_availability(h, ["week"]), "availability_pct", "week"))
 
 
-@query("q_s1_at_risk_soon", ctes=SCORED, sql=f"""SELECT store_id, product_id, event_timestamp, p AS stockout_probability FROM scored WHERE event_date = DATE '{CUT}' AND hour_of_day < 14 AND p >= 0.5
-ORDER BY p DESC, store_id, product_id, event_timestamp LIMIT 50""")
+@query("q_s1_at_risk_soon", ctes=SCORED, sql="""SELECT store_id, product_id, event_timestamp, p AS stockout_probability, rank() OVER (ORDER BY p DESC)::INTEGER AS place
+FROM scored WHERE event_date = (SELECT max(d) FROM base) AND hour_of_day < 14 AND p >= 0.5""")
 def _(spark, sf):
-    """The 50 riskiest products of the next eight hours."""
-    s = scored(spark, sf).filter((F.col("event_date") == F.lit(CUT).cast("date")) & (F.col("hour_of_day") < 14) & (F.col("stockout_probability") >= 0.5))
-    return ag.listing(s.select("store_id", "product_id", "event_timestamp", "stockout_probability"), [F.desc("stockout_probability"), "store_id", "product_id", "event_timestamp"], 50)
+    """All products at risk in the first eight trading hours of the last day, the riskiest first."""
+    s = scored(spark, sf).where((F.col("event_date") == last_day(spark, sf)) & (F.col("hour_of_day") < 14) & (F.col("stockout_probability") >= 0.5))
+    return ag.ranking(s.select("store_id", "product_id", "event_timestamp", "stockout_probability"), "stockout_probability", descending=True)
 
 
 @query("q_s2_actions", ctes=RECS, sql="SELECT store_id, action_type, urgency, reason_code, count(*) AS n FROM rec2 GROUP BY ALL")
@@ -125,17 +131,17 @@ def _(spark, sf):
     return rounded(recovered(spark, sf).groupBy("product_id").agg(F.sum("observed_sales").alias("observed_demand"), F.sum("recovered_demand").alias("true_demand")), 4)
 
 
-@query("q_p2_most_incidents", ctes=INCIDENTS, sql="SELECT store_id, product_id, count(*) AS incident_count FROM incidents_day GROUP BY ALL ORDER BY incident_count DESC, store_id, product_id LIMIT 20")
+@query("q_p2_most_incidents", ctes=INCIDENTS, sql="SELECT *, rank() OVER (ORDER BY incident_count DESC)::INTEGER AS place FROM (SELECT store_id, product_id, count(*) AS incident_count FROM incidents_day GROUP BY ALL)")
 def _(spark, sf):
-    """The 20 products with the most incidents."""
+    """All products of a store, those with the most incidents first."""
     k = kpi.kpi_incident_count(islands.incidents_from_daily(tables.daily(spark, sf), span_days=False), ["store_id", "product_id"])
-    return ag.listing(k, [F.desc("incident_count"), "store_id", "product_id"], 20)
+    return ag.ranking(k, "incident_count", descending=True)
 
 
 @query("q_p3_accuracy_by_category", ctes=EVALUATED, sql="""SELECT CASE WHEN product_id <= 289 THEN 'highly_perishable' WHEN product_id <= 577 THEN 'moderately_perishable' ELSE 'longer_life' END AS category,
 round(sum(abs(q50 - actual)) / sum(abs(actual)) * 100, 6) AS wape, round(sum(q50 - actual) / sum(actual) * 100, 6) AS bias FROM evaluated GROUP BY ALL""")
 def _(spark, sf):
-    e = evaluated(spark, sf, horizons=(24,)).withColumn("category", ec.category_of(F.col("product_id")))
+    e = evaluated(spark, sf).withColumn("category", ec.category_of(F.col("product_id")))
     return rounded(fc.forecast_metrics(e, "actual", "forecast_median", ["category"]).select("category", "wape", "bias"))
 
 
@@ -152,11 +158,11 @@ def _(spark, sf):
     return ec.constrain_order(out, "optimal_order_qty").select("store_id", "product_id", "order_qty")
 
 
-@query("q_p6_stockout_probability", ctes=SCORED, sql=f"""SELECT store_id, product_id, horizon, round(max(p), 4) AS stockout_probability FROM (SELECT *, hour_of_day - 6 AS ahead FROM scored WHERE event_date = DATE '{CUT}')
+@query("q_p6_stockout_probability", ctes=SCORED, sql="""SELECT store_id, product_id, horizon, round(max(p), 4) AS stockout_probability FROM (SELECT *, hour_of_day - 6 AS ahead FROM scored WHERE event_date = (SELECT max(d) FROM base))
 CROSS JOIN (SELECT unnest([4, 8, 12, 24]) AS horizon) WHERE ahead < horizon GROUP BY ALL""")
 def _(spark, sf):
     """Highest probability within the next 4, 8, 12 and 24 hours."""
-    s = scored(spark, sf).filter(F.col("event_date") == F.lit(CUT).cast("date"))
+    s = scored(spark, sf).where(F.col("event_date") == last_day(spark, sf))
     near = s.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in (4, 8, 12, 24)]))).filter(F.col("hour_of_day") - 6 < F.col("horizon"))
     return near.groupBy("store_id", "product_id", "horizon").agg(F.max("stockout_probability").alias("stockout_probability"))
 
@@ -168,14 +174,14 @@ def _(spark, sf):
     return rounded(kpi.kpi_fill_rate(recovered(spark, sf).where(F.col("event_date") > first), ["product_id"]))
 
 
-@query("q_p8_spoilage_cost", ctes=POLICY_CYCLES, sql="""SELECT store_id, product_id, round(sum(waste_cost), 2) AS waste_cost FROM cyc3 WHERE policy_name = 'conservative_95' AND dt > (SELECT max(d) - 7 FROM base)
-GROUP BY ALL ORDER BY sum(waste_cost) DESC, store_id, product_id LIMIT 20""")
+@query("q_p8_spoilage_cost", ctes=POLICY_CYCLES, sql="""SELECT *, rank() OVER (ORDER BY waste_cost DESC)::INTEGER AS place FROM (
+SELECT store_id, product_id, round(sum(waste_cost), 2) AS waste_cost FROM cyc3 WHERE policy_name = 'conservative_95' AND dt > (SELECT max(d) - 7 FROM base) GROUP BY ALL)""")
 def _(spark, sf):
-    """The 20 products with the highest spoilage cost of the last week."""
+    """All products of a store, the highest spoilage cost of the last week first."""
     first = tables.pos(spark, sf).agg(F.date_sub(F.to_date(F.max("timestamp")), 7)).scalar()
     c = policy_cycles(spark, sf, [("conservative_95", 0.90)]).where(F.col("dt") > first)
     k = c.groupBy("store_id", "product_id").agg(F.sum("waste_cost").alias("waste_cost"))
-    return rounded(ag.listing(k, [F.desc("waste_cost"), "store_id", "product_id"], 20), 2)
+    return ag.ranking(rounded(k, 2), "waste_cost", descending=True)
 
 
 @query("q_d1_run_sla", ctes=RUNS, sql="""SELECT CASE WHEN date_diff('second', max(ended_at), TIMESTAMP '2003-01-01') / 3600.0 <= 4 THEN 'PASS' ELSE 'FAIL' END AS status,
@@ -232,13 +238,12 @@ def _(spark, sf):
 def _(spark, sf):
     """Share of actual values at or below each forecast quantile."""
     pairs = F.array(*[F.struct(F.lit(q).alias("quantile"), F.col(c).alias("f")) for c, q in fc.QUANTILES.items()])
-    rows = evaluated(spark, sf, horizons=(24,)).select("actual", F.inline(pairs))
+    rows = evaluated(spark, sf).select("actual", F.inline(pairs))
     return rounded(kpi.kpi_p90_coverage(rows, "actual", "f", ["quantile"]).withColumnRenamed("p90_coverage_pct", "coverage_pct"))
 
 
 @query("q_d8_risk_features")
 def _(spark, sf):
     """Coefficients of the logistic risk model, per input slot."""
-    rows = risk.risk_features(hourly(spark, sf, True))
-    model = risk.risk_model(rows.filter(F.col("event_date") < F.lit(CUT).cast("date")))
-    return risk.coefficients(model, spark)
+    rows = risk.risk_features(hourly(spark, sf, True), cut(spark, sf))
+    return risk.coefficients(risk.risk_model(rows.filter("training")), spark)

@@ -51,14 +51,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def small_side(df, max_rows: int = 100_000):
-    """A broadcast hint when the frame is counted to be small, else the frame as it is:
-    then the join shuffles, and adaptive execution splits its hot keys."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def shuffle_width(spark: SparkSession) -> int:
     """The number of shuffle partitions the session is sized for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

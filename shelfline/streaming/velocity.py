@@ -12,12 +12,11 @@ SIZE_MIN, SLIDE_MIN = 120, 10
 POS_SCHEMA = "timestamp timestamp, store_id int, product_id int, transaction_id bigint, units_sold double"
 
 
-def read_pos_stream(spark: SparkSession, path: str, schema=POS_SCHEMA, max_files: int = 1, pattern: str = "*.parquet") -> DataFrame:
-    """A Parquet folder as a stream. The schema is explicit: a folder that is missing or
-    differs fails at the start instead of giving an empty stream."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).option("pathGlobFilter", pattern).parquet(path)
-    )
+def read_pos_stream(spark: SparkSession, path: str, schema=POS_SCHEMA, max_files: int | None = 1, pattern: str = "*.parquet") -> DataFrame:
+    """A Parquet folder as a stream; ``max_files`` None takes all new files in one micro-batch. The schema is explicit:
+    a folder that is missing or differs fails at the start instead of giving an empty stream."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(path)
 
 
 def with_event_time(stream: DataFrame, delay: str = DELAY, col: str = "timestamp") -> DataFrame:
@@ -133,6 +132,6 @@ def replay(history: DataFrame, base: str, bounds, build, mode: str = "update") -
         if hi is not None:
             part = part.filter(F.col("timestamp") < F.lit(hi).cast("timestamp"))
         part.write.mode("append").parquet(f"{base}/in")
-        raw = read_pos_stream(spark, f"{base}/in", history.schema, max_files=1_000_000)
+        raw = read_pos_stream(spark, f"{base}/in", history.schema, max_files=None)
         write_alerts(build(raw), f"{base}/out", f"{base}/ckpt", mode).awaitTermination()
     return spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
