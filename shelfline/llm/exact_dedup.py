@@ -42,6 +42,7 @@ def exact_duplicates(docs: DataFrame, key_bits: int = 64) -> DataFrame:
         recipes = _renumbered(cut, distinct)
     keep = recipes.groupBy("recipe").agg(
         F.count(F.lit(1)).alias("group_size"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first"))
+    keep = store(keep, "first-of-group")  # so that the join can split a hot group
     return recipes.join(keep, "recipe").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
