@@ -101,18 +101,20 @@ def emergency_cost(incidents_per_day: DataFrame, count: str = "incident_count",
         (F.least(F.sum(count), F.lit(EMERGENCY_CAP)) * F.lit(EMERGENCY_COST)).alias("emergency_cost"))
 
 
-def cycle_costs(demand: DataFrame, economics: DataFrame, options, value="sale_amount", review_hours: int = 72, name: str = "policy_name") -> DataFrame:
+def cycle_costs(demand: DataFrame, options, value="sale_amount", review_hours: int = 72, name: str = "policy_name") -> DataFrame:
     """Each demand row as one independent cycle under each option (name, quantile).
 
     The quantity is the option's demand quantile of the series. What is left expires
     when the shelf life ends within the review period. The options are unfolded from
-    an array in the row; series quantiles and economics join on their keys.
+    an array in the row. Economics are a function of the product id, so they are columns
+    of the series quantiles, and the demand rows join once, on their series.
     """
     options = list(options)
     q = demand_quantiles(demand, [o[1] for o in options], value)
     entries = F.array(*[F.struct(F.lit(o[0]).alias(name), F.get("_q", F.lit(i)).alias("order_qty")) for i, o in enumerate(options)])
-    econ = economics.select("product_id", "unit_margin", "unit_cost", "spoilage_cost", "holding_cost_day", "shelf_life_hours")
-    rows = demand.select("store_id", "product_id", "dt", F.col(value).alias("demand")).join(q, ["store_id", "product_id"]).join(econ, "product_id")
+    econ = ["unit_margin", "unit_cost", "spoilage_cost", "holding_cost_day", "shelf_life_hours"]
+    q = product_economics(q).select("store_id", "product_id", *econ, "_q")
+    rows = demand.select("store_id", "product_id", "dt", F.col(value).alias("demand")).join(q, ["store_id", "product_id"])
     rows = rows.select("*", F.inline(entries)).drop("_q")
     lost = F.greatest(F.col("demand") - F.col("order_qty"), F.lit(0.0))
     left = F.greatest(F.col("order_qty") - F.col("demand"), F.lit(0.0))

@@ -64,6 +64,19 @@ def band_join(df: DataFrame, col: str, cuts, labels, name: str = "band") -> Data
     return df.withColumn(name, band(F.col(col), cuts, labels))
 
 
+def band_table_join(df: DataFrame, col: str, bands: DataFrame, width: float, low: str = "lo", high: str = "hi") -> DataFrame:
+    """Each row with the bands of a table that hold its value: low <= value < high; NULL columns where none does.
+
+    Bands are cut into cells of ``width``, values fall into one cell each, and the range is checked after the
+    join on the cell. So the join has a key and neither side is broadcast or compared in full.
+    """
+    cell = lambda c: F.floor(F.col(c) / F.lit(width)).cast("bigint")
+    cells = bands.withColumn("_band_cell", F.explode(F.sequence(cell(low), cell(high))))
+    rows = df.withColumn("_cell", cell(col))
+    inside = (rows[col] >= cells[low]) & (rows[col] < cells[high])
+    return rows.join(cells, (rows["_cell"] == cells["_band_cell"]) & inside, "left").drop("_cell", "_band_cell")
+
+
 def expected_days(df: DataFrame, keys, date_col: str = "dt") -> DataFrame:
     """Every calendar day between the first and last day of each key."""
     d = F.to_date(date_col)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.scores import safe_ratio
+from shelfline.operators.economics import product_economics
 from shelfline.operators.ranks import running_totals, value_counts_by
 
 GRAIN = ["city_id", "store_id", "product_id", "event_date"]
@@ -60,11 +61,11 @@ def kpi_lost_demand(rec: DataFrame, by) -> DataFrame:
     return rec.groupBy(*by).agg(_in_stockout(lost()).alias("lost_demand"))
 
 
-def kpi_lost_sales_cost(rec: DataFrame, economics: DataFrame, by) -> DataFrame:
-    """Lost demand is summed per key and product before the margin is looked up."""
+def kpi_lost_sales_cost(rec: DataFrame, by) -> DataFrame:
+    """Lost demand is summed per key and product; the margin is a function of the product."""
     keys = list(dict.fromkeys([*by, "product_id"]))
     return (
-        kpi_lost_demand(rec, keys).join(economics.select("product_id", "unit_margin"), "product_id")
+        product_economics(kpi_lost_demand(rec, keys))
         .groupBy(*by).agg(F.sum(F.col("lost_demand") * F.col("unit_margin")).alias("lost_sales_cost"))
     )
 

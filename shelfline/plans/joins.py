@@ -90,6 +90,16 @@ def _(spark, sf):
     return b.groupBy("band").agg(F.count("*").alias("n"), F.min("p_size").alias("lo"), F.max("p_size").alias("hi"))
 
 
+@query("j9_band_table", sql="""WITH bands AS (SELECT DISTINCT p_size // 7 * 7 AS lo, p_size // 7 * 7 + 7 AS hi, 'size-' || (p_size // 7) AS band FROM part)
+SELECT band, count(*) AS n, sum(l_extendedprice)::DECIMAL(18, 2)::DOUBLE AS total FROM lineitem LEFT JOIN bands ON l_quantity >= lo AND l_quantity < hi GROUP BY ALL""")
+def _(spark, sf):
+    """Order lines by the size bands that occur among the parts; the bands are a table."""
+    k = F.floor(F.col("p_size") / 7)
+    bands = tables.table(spark, sf, "part").select((k * 7).alias("lo"), (k * 7 + 7).alias("hi"), F.concat(F.lit("size-"), k.cast("string")).alias("band")).distinct()
+    b = joins.band_table_join(tables.table(spark, sf, "lineitem"), "l_quantity", bands, 7.0)
+    return b.groupBy("band").agg(F.count("*").alias("n"), F.sum("l_extendedprice").cast("decimal(18,2)").cast("double").alias("total"))
+
+
 @query("j10_missing_keys", ctes=GRID, sql="""SELECT e.store_id, e.product_id, CAST(e.d AS DATE) AS dt
 FROM (SELECT store_id, product_id, unnest(range(lo::TIMESTAMP, hi::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d
       FROM (SELECT store_id, product_id, min(d) AS lo, max(d) AS hi FROM base GROUP BY store_id, product_id)) e

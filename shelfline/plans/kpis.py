@@ -172,23 +172,6 @@ def _(spark, sf):
     return rounded(kpi.kpi_alert_precision(scored(spark, sf), "stockout_flag", "stockout_probability", 0.8, ["product_id"]))
 
 
-@query("kp18_rec_coverage", ctes=SCORED, sql="""SELECT event_date, store_id, round(count(*) FILTER (WHERE hi >= 0.9) / count(*)::DOUBLE * 100, 6) AS coverage_pct FROM (
-SELECT event_date, store_id, product_id, max(p) AS hi FROM scored WHERE p >= 0.5 GROUP BY ALL) GROUP BY ALL""")
-def _(spark, sf):
-    """Recommendations exist where the probability reaches 0.9; products from 0.5 on are at risk."""
-    s = scored(spark, sf)
-    risky = s.filter("stockout_probability >= 0.5")
-    return rounded(kpi.kpi_rec_coverage(risky, s.filter("stockout_probability >= 0.9"), ["event_date", "store_id", "product_id"], ["event_date", "store_id"]))
-
-
-@query("kp19_urgent_count", ctes=SCORED, sql="SELECT event_date, store_id, count(*) FILTER (WHERE p >= 0.7) AS urgent_count FROM scored GROUP BY ALL")
-def _(spark, sf):
-    from shelfline.functions.scores import urgency
-
-    recs = scored(spark, sf).withColumn("urgency", urgency(F.col("stockout_probability")))
-    return kpi.kpi_urgent_count(recs, ["event_date", "store_id"])
-
-
 RUNS = """runs AS (SELECT o_orderkey AS run_id, CASE WHEN o_orderstatus = 'F' THEN 'FAILED' ELSE 'SUCCESS' END AS status, o_orderdate + to_hours(CAST(o_custkey % 24 AS INTEGER)) AS ended_at,
   o_totalprice AS source_rows, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 0.01 ELSE 0 END AS rejected_rows FROM orders)"""
 

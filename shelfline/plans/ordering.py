@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from shelfline.functions import catalogue
 from shelfline.operators import economics as ec
 from shelfline.operators import gold, islands, kpi, orders, recommend
-from shelfline.plans.catalog import GRID, INCIDENTS, ORDER_DEMAND, query, rounded
+from shelfline.plans.catalog import GRID, HOURLY, INCIDENTS, ORDER_DEMAND, query, rounded
 from shelfline.plans.ingestion import UNIFORM
-from shelfline.plans.kpis import RECOVERED, recovered
+from shelfline.plans.kpis import RECOVERED, SCORED, recovered, scored
 from shelfline.plans.scalars import CAT_SQL, sql_cdf, sql_pdf, sql_ppf
+from shelfline.session import materialize
 from shelfline.sources import tables
 
 STATS = ORDER_DEMAND + ", stats AS (SELECT store_id, product_id, avg(sale_amount) AS mean_demand, stddev_samp(sale_amount) AS std_demand, count(*) AS n_days FROM demand GROUP BY ALL)"
@@ -191,7 +192,7 @@ POLICY_CYCLES = cycles_sql(ec.policy_options())
 
 
 def policy_cycles(spark, sf, options=None):
-    return ec.cycle_costs(demand(spark, sf), ec.product_economics(products(spark, sf)), options or ec.policy_options())
+    return ec.cycle_costs(demand(spark, sf), options or ec.policy_options())
 
 
 @query("ec7_policy_compare", ctes=POLICY_CYCLES, sql=COMPARE_SQL)
@@ -207,7 +208,7 @@ def _(spark, sf):
 @query("kp8_lost_sales_cost", ctes=RECOVERED + ", " + economics_sql("ops"), sql="""SELECT store_id, product_id, event_date, round(sum(CASE WHEN stockout_flag = 1 THEN recovered_demand - observed_sales ELSE 0 END * unit_margin), 8) AS lost_sales_cost
 FROM recovered JOIN econ USING (product_id) GROUP BY ALL""")
 def _(spark, sf):
-    return rounded(kpi.kpi_lost_sales_cost(recovered(spark, sf), ec.product_economics(products(spark, sf)), ["store_id", "product_id", "event_date"]), 8)
+    return rounded(kpi.kpi_lost_sales_cost(recovered(spark, sf), ["store_id", "product_id", "event_date"]), 8)
 
 
 @query("kp9_waste_cost", ctes=POLICY_CYCLES, sql="SELECT policy_name, store_id, product_id, dt, round(sum(waste_cost), 8) AS waste_cost FROM cyc3 GROUP BY ALL")
@@ -245,13 +246,14 @@ RECS = INCIDENTS + ", " + economics_sql("base") + """, rec0 AS (
 
 
 def recommendation_inputs(spark, sf):
-    d = tables.daily(spark, sf)
+    """The daily rows are folded once and stored; rates, quantiles and incidents all start from them."""
+    d = materialize(tables.daily(spark, sf), "daily")
     day = d.select("store_id", "product_id", F.to_date("dt").alias("dt"), F.round(F.col("stock_hour6_22_cnt") / 16.0, 4).alias("stockout_probability"))
-    q = ec.demand_quantiles(demand(spark, sf), [0.5, 0.9]).select("store_id", "product_id", F.get("_q", F.lit(0)).alias("forecast_median"), F.get("_q", F.lit(1)).alias("forecast_q90"))
-    econ = ec.product_economics(products(spark, sf)).select("product_id", "category", "shelf_life_hours")
+    q = ec.demand_quantiles(d, [0.5, 0.9]).select("store_id", "product_id", F.get("_q", F.lit(0)).alias("forecast_median"), F.get("_q", F.lit(1)).alias("forecast_q90"))
+    q = ec.product_economics(q).select("store_id", "product_id", "forecast_median", "forecast_q90", "category", "shelf_life_hours")
     recent = recommend.recent_incidents(islands.incidents_from_daily(d, span_days=False))
     left = F.col("shelf_life_hours") - (F.dayofmonth("dt") * 5) % 60
-    joined = day.join(q, ["store_id", "product_id"]).join(econ, "product_id").join(recent, ["store_id", "product_id", "dt"], "left")
+    joined = day.join(q, ["store_id", "product_id"]).join(recent, ["store_id", "product_id", "dt"], "left")
     return recommend.markdown_due(joined.withColumn("hours_to_expiry", left), "hours_to_expiry")
 
 
@@ -285,3 +287,18 @@ def _(spark, sf):
     r = recommendations(spark, sf)
     return r.select("store_id", "product_id", "dt", F.col("action_type").alias("recommended_action"), "urgency_score", "stockout_probability", "reason_code", "recommendation_status",
                     F.lit(gold.POLICIES[0][0]).alias("policy_name"))
+
+
+@query("kp18_rec_coverage", ctes=RECS + SCORED[len(HOURLY):], sql="""SELECT s.event_date, s.store_id, round(count(r.dt) / count(*)::DOUBLE * 100, 6) AS coverage_pct FROM (
+SELECT DISTINCT event_date, store_id, product_id FROM scored WHERE p >= 0.5) s LEFT JOIN rec2 r ON r.store_id = s.store_id AND r.product_id = s.product_id AND r.dt = s.event_date GROUP BY ALL""")
+def _(spark, sf):
+    """Share of the products that the classifier puts at risk for which the engine gave a recommendation."""
+    risky = scored(spark, sf).filter("stockout_probability >= 0.5")
+    recs = recommendations(spark, sf).withColumnRenamed("dt", "event_date")
+    return rounded(kpi.kpi_rec_coverage(risky, recs, ["event_date", "store_id", "product_id"], ["event_date", "store_id"]))
+
+
+@query("kp19_urgent_count", ctes=RECS, sql="SELECT dt AS event_date, store_id, count(*) FILTER (WHERE urgency = 'urgent') AS urgent_count FROM rec2 GROUP BY ALL")
+def _(spark, sf):
+    """Urgent recommendations per day and store."""
+    return kpi.kpi_urgent_count(recommendations(spark, sf).withColumnRenamed("dt", "event_date"), ["event_date", "store_id"])

@@ -15,7 +15,7 @@ from shelfline.plans.contracts import report
 from shelfline.plans.ingestion import UNIFORM  # noqa: F401
 from shelfline.plans.kpis import DRIFT, EVALUATED, FVA, RECOVERED, RUNS, SCORED, cut, drift_windows, evaluated, recovered, runs, scored, with_baseline
 from shelfline.plans.modelling import CATS, STATUS_SQL, DRIFT_COLS, drift_frames, drift_sql
-from shelfline.plans.ordering import (COMPARE_SQL, POLICY_CYCLES, PRICED, RECS, cycles_sql, economics_sql, policy_cycles, priced, products, recommendation_inputs,
+from shelfline.plans.ordering import (COMPARE_SQL, POLICY_CYCLES, PRICED, RECS, cycles_sql, economics_sql, policy_cycles, priced, recommendation_inputs,
                                       recommendations)
 from shelfline.sources import tables
 
@@ -30,7 +30,7 @@ def last_day(spark, sf):
 
 def lost_cost(spark, sf, by):
     rec = recovered(spark, sf).withColumn("week", F.trunc("event_date", "week"))
-    return kpi.kpi_lost_sales_cost(rec, ec.product_economics(products(spark, sf)), by)
+    return kpi.kpi_lost_sales_cost(rec, by)
 
 
 @query("q_e1_lost_revenue", ctes=COST, sql=f"""SELECT {WEEK} AS week, round(sum(CASE WHEN stockout_flag = 1 THEN (recovered_demand - observed_sales) * unit_margin ELSE 0 END), 4) AS lost_sales_cost
@@ -122,7 +122,7 @@ def _(spark, sf):
     """Products close to expiry with their best markdown; the day's sales stand for the stock."""
     due = recommendation_inputs(spark, sf).filter("markdown_due").select("store_id", "product_id", "dt")
     stock = tables.daily(spark, sf).select("store_id", "product_id", F.to_date("dt").alias("dt"), F.ceil("sale_amount").alias("stock"))
-    items = due.join(stock, ["store_id", "product_id", "dt"]).join(ec.product_economics(products(spark, sf)).select("product_id", "unit_price", "unit_cost"), "product_id")
+    items = ec.product_economics(due.join(stock, ["store_id", "product_id", "dt"])).select("store_id", "product_id", "dt", "stock", "unit_price", "unit_cost")
     return rounded(orders.best_markdown(items, "stock", "unit_price", "unit_cost").select("store_id", "product_id", "dt", "best_markdown_pct", "net_recovery"), 4)
 
 

@@ -14,17 +14,30 @@ def con(sf):
     return connect(sf)
 
 
+# at sf0.001 these have no row by their data: no rejected value, no closed gap, no key without a partner
+MAY_BE_EMPTY = set()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, sf, con, name):
     bad = difference(QUERIES[name](spark, sf), con, ORACLE[name])
-    assert bad in (None, "no rows"), bad
+    assert bad is None or bad == "no rows" and name in MAY_BE_EMPTY, bad
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SLOW))
 def test_gives_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
+    """All columns are computed; a count would prune them."""
+    df = QUERIES[name](spark, sf)
+    df.write.format("noop").mode("overwrite").save()
+    assert not df.isEmpty()
 
 
 def test_entry_is_registered():
     assert "flagship_store_stockouts" in ORACLE
     assert not [n for n in QUERIES if n not in ORACLE and n.split("_")[0] not in ("io11", "io12", "io13", "ml4", "ml7", "ml8", "rk1", "rk3", "q")]
+
+
+def test_risk_after_a_logged_run(spark, sf):
+    """A run log leaves an observation manager in the session; scoring must not depend on the session."""
+    for name in ("io14_run_log", "rk1_logistic_risk", "q_d6_pr_auc"):
+        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import normal
-from shelfline.operators import drift, economics, forecast, kpi, models, orders, ranks, risk
+from shelfline.operators import aggregates, drift, economics, forecast, joins, kpi, models, orders, ranks, risk
 from shelfline.plans import load_all
 
 load_all()
@@ -140,3 +140,61 @@ def test_calibration_is_monotone(spark):
     points = model.transform(df.select(F.col("stockout_probability").alias("features")).distinct()).orderBy("features").collect()
     values = [p.prediction for p in points]
     assert values == sorted(values)
+
+
+def test_ranking_counts_better_rows(spark):
+    df = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("c", 3.0), ("d", 2.0), ("e", None)], "k string, v double")
+    assert dict(aggregates.ranking(df, "v", descending=True).select("k", "place").collect()) == {"a": 1, "c": 1, "d": 3, "b": 4, "e": None}
+    assert dict(aggregates.ranking(df, "v").select("k", "place").collect()) == {"b": 1, "d": 2, "a": 3, "c": 3, "e": None}
+
+
+def test_text_ranks_with_a_common_beginning(spark):
+    texts = [f"Customer#{i:09d}" for i in range(500)]
+    df = spark.createDataFrame([("f", t, 1) for t in texts] + [("g", "x", 1)], "feature string, value string, n int").repartition(5)
+    got = {(r.feature, r.value): r["rank"] for r in ranks.text_ranks(df, ["feature"], "value").collect()}
+    assert all(got["f", t] == i for i, t in enumerate(texts)) and got["g", "x"] == 0
+
+
+def test_drift_of_a_feature_without_a_baseline(spark):
+    base = spark.createDataFrame([(None, float(i), None) for i in range(50)], "a double, b double, c string")
+    cur = spark.createDataFrame([(float(i), float(i), None) for i in range(50)], "a double, b double, c string")
+    got = {r.feature: r for r in drift.dataset_drift(base, cur, ["a", "b"], ["c"]).collect()}
+    assert set(got) == {"a", "b", "c"}
+    assert all((r.psi, r.ks, r.drift_status) == (0.0, 0.0, "NO_DRIFT") for r in got.values())
+
+
+HOUR_COLUMNS = "store_id int, product_id int, event_date date, event_timestamp timestamp_ntz, hour_of_day int, is_weekend boolean, discount double, stockout_flag int, recovered_demand double"
+
+
+def hours(spark, rows):
+    """(store, product, day of January, hour, flag) rows."""
+    from datetime import date, datetime
+
+    return spark.createDataFrame([(s, p, date(2024, 1, d), datetime(2024, 1, d, h), h, False, 0.0, f, float(d)) for s, p, d, h, f in rows], HOUR_COLUMNS)
+
+
+def test_a_series_that_starts_after_the_cut_is_scored(spark):
+    rows = hours(spark, [(1, 1, d, 8, d % 2) for d in range(1, 11)] + [(2, 1, 10, 8, 1), (3, 9, 10, 8, 0), (3, 9, 10, 9, 0)])
+    cut = F.lit("2024-01-08").cast("date")
+    got = {(r.store_id, r.hour_of_day): r.stockout_probability for r in risk.score_by_rate(rows, cut).filter("event_date = '2024-01-10'").collect()}
+    # own rate, the product's rate, the hour's rate, none
+    assert got == {(1, 8): 0.5714, (2, 8): 0.5714, (3, 8): 0.5714, (3, 9): None}
+    out = forecast.with_forecast(rows.where(F.col("event_date") >= cut), rows.where(F.col("event_date") < cut))
+    assert {r.store_id: r.forecast_median for r in out.filter("event_date = '2024-01-10'").collect()} == {1: 4.0, 2: None, 3: None}
+
+
+def test_risk_lags_look_at_the_clock(spark):
+    rows = hours(spark, [(1, 1, 1, 8, 1), (1, 1, 3, 8, 0), (1, 1, 4, 8, 0), (1, 1, 4, 9, 0), (1, 1, 4, 11, 0)])
+    got = {(r.event_timestamp.day, r.hour_of_day): (r.prev_out, r.day_out) for r in risk.risk_features(rows, F.lit("2024-01-04").cast("date")).collect()}
+    assert got[3, 8] == (0.0, 0.0)  # the day before is missing
+    assert got[4, 9] == (0.0, 0.0) and got[4, 8] == (0.0, 0.0) and got[1, 8] == (0.0, 0.0)
+    later = hours(spark, [(1, 1, 1, 8, 1), (1, 1, 1, 9, 0), (1, 1, 2, 8, 0)])
+    got = {(r.event_timestamp.day, r.hour_of_day): (r.prev_out, r.day_out) for r in risk.risk_features(later, F.lit("2024-01-02").cast("date")).collect()}
+    assert got[1, 9] == (1.0, 0.0) and got[2, 8] == (0.0, 1.0)
+
+
+def test_band_table_join(spark):
+    rows = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 4.9, 5.0, 12.0, 99.0)] + [(None,)], "v double")
+    bands = spark.createDataFrame([(0.0, 5.0, "low"), (5.0, 20.0, "mid"), (10.0, 15.0, "extra")], "lo double, hi double, band string")
+    got = sorted((str(r.v), str(r.band)) for r in joins.band_table_join(rows, "v", bands, 3.0).collect())
+    assert got == sorted([("-1.0", "None"), ("0.0", "low"), ("4.9", "low"), ("5.0", "mid"), ("12.0", "mid"), ("12.0", "extra"), ("99.0", "None"), ("None", "None")])
