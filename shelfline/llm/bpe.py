@@ -18,9 +18,9 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: a single blank beside other white space; without any, every blank starts a pre-token
 MIXED = regex.compile(r"\s |^ | \s| $")
 #: words that each worker remembers; those beyond are encoded again in each batch
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: token pairs that each worker remembers before it starts anew
-PAIRS = 500_000
+PAIRS = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -47,14 +47,17 @@ class PrefixEncoder:
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.bytes_of = {i: raw(s) for s, i in model["model"]["vocab"].items() if s not in self.special}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        self.size_of = {i: len(b) for i, b in self.bytes_of.items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["model"]["merges"]]
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)}
         names = {i: b for i, b in self.bytes_of.items() if i not in self.special.values()}
         self.id_of = {b: i for i, b in names.items()}
-        self.longest = max(map(len, self.id_of))
+        # every ending of a token with the token it is, or -1: endings of a path are followed from short to long
+        self.endings = {b[i:]: -1 for b in self.id_of for i in range(1, len(b))} | self.id_of
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: by (before << 20) + token, as whole numbers take less room than pairs
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[bytes]:
@@ -78,12 +81,12 @@ class PrefixEncoder:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether merging leaves the two tokens, written one after the other, as they are."""
-        known = self.pairs.get((before, token))
+        known = self.pairs.get((before << 20) + token)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             a, b = self.bytes_of[before], self.bytes_of[token]
-            known = self.pairs[before, token] = self.merge(a + b) == [a, b]
+            known = self.pairs[(before << 20) + token] = self.merge(a + b) == [a, b]
         return known
 
     def alone(self, token: int) -> bool:
@@ -93,28 +96,38 @@ class PrefixEncoder:
             known = self.whole[token] = len(self.merge(self.bytes_of[token])) == 1
         return known
 
-    def last_token(self, path: bytes, last: list[int]) -> int:
-        """The token that ends ``path``, where ``last[i]`` is the one that ends its first i bytes."""
-        for size in range(min(len(path), self.longest), 0, -1):
-            token = self.id_of.get(path[-size:])
-            if token is not None and (self.fits(last[len(path) - size], token) if size < len(path) else self.alone(token)):
+    def last_token(self, word: bytes, end: int, last: list[int]) -> int:
+        """The token that ends the first ``end`` bytes, where ``last[i]`` is the one that ends the first i."""
+        endings, found, at = self.endings, [], end - 1
+        while at >= 0:
+            token = endings.get(word[at:end])
+            if token is None:
+                break
+            if token >= 0:
+                found.append((at, token))
+            at -= 1
+        for at, token in reversed(found):
+            known = self.pairs.get((last[at] << 20) + token) if at else self.whole.get(token)
+            if known or known is None and (self.fits(last[at], token) if at else self.alone(token)):
                 return token
-        raise ValueError(f"no token ends {path!r}")
+        raise ValueError(f"no token ends {word[:end]!r}")
 
     def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
         """(word, ids) of distinct words, in sorted order."""
-        path, last = b"", [-1]
+        path, last, sizes = b"", [-1], self.size_of
         for word in sorted(words):
             same = 0
-            while same < min(len(path), len(word)) and path[same] == word[same]:
+            for x, y in zip(path, word):
+                if x != y:
+                    break
                 same += 1
             del last[same + 1:]
             for end in range(same + 1, len(word) + 1):
-                last.append(self.last_token(word[:end], last))
+                last.append(self.last_token(word, end, last))
             path, ids, end = word, [], len(word)
             while end:
                 ids.append(last[end])
-                end -= len(self.bytes_of[last[end]])
+                end -= sizes[last[end]]
             yield word, tuple(reversed(ids))
 
     def pieces(self, text: str) -> list[str]:
@@ -161,7 +174,7 @@ def encoder(path: str) -> PrefixEncoder:
     return _ENCODERS[path]
 
 
-def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[list[str]]:
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
     """The texts of a batch in runs of about ``most`` characters."""
     run, held = [], 0
     for x in column:
