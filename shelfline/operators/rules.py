@@ -171,6 +171,15 @@ def schema_match(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, kind string, present boolean")
 
 
+def schema_report(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """The columns of ``schema_match`` with the number of rows in which they are filled; NULL for a missing column."""
+    names = [(c, "expected") for c in expected] + [(c, "unexpected") for c in df.columns if c not in expected and not c.startswith("_")]
+    counted = df.agg(F.count("*").alias("_n"), *[F.count(c).alias(c) for c, _ in names if c in df.columns])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.lit(c in df.columns).alias("present"),
+                     (F.col(c) if c in df.columns else F.lit(None).cast("bigint")).alias("filled")) for c, kind in names]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def coverage(actual: DataFrame, expected: DataFrame, keys, by=()) -> DataFrame:
     """Expected keys, the missing among them and the missing rate."""
     marked = expected.join(actual.select(*keys).distinct().withColumn("_hit", F.lit(1)), list(keys), "left")

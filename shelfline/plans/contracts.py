@@ -33,6 +33,15 @@ def _(spark, sf):
     return rules.schema_match(df, {c: "" for c in ("store_id", "product_id", "dt", "weather_main")})
 
 
+@query("dq1_schema_report", ctes=BRONZE, sql="""SELECT unnest(['store_id', 'product_id', 'dt', 'weather_main', 'sale_amount', 'hours_sale']) AS column_name,
+unnest(['expected', 'expected', 'expected', 'expected', 'unexpected', 'unexpected']) AS kind, unnest([true, true, true, false, true, true]) AS present,
+unnest([count(store_id), count(product_id), count(dt), NULL, count(sale_amount), count(hours_sale)]) AS filled FROM bronze""")
+def _(spark, sf):
+    """Expected and unexpected columns with their filled rows."""
+    df = tables.bronze(spark, sf).select("store_id", "product_id", "dt", "sale_amount", "hours_sale")
+    return rules.schema_report(df, {c: "" for c in ("store_id", "product_id", "dt", "weather_main")})
+
+
 @query("dq2_not_null", ctes=BRONZE, sql=report([
     ("not_null:store_id", "error", "store_id IS NULL", "0.0"),
     ("not_null:sale_amount", "error", "sale_amount IS NULL", "0.05"),

@@ -80,6 +80,30 @@ def _(spark, sf):
     return v.zero_velocity(tables.pos(spark, sf))
 
 
+BUSY = POS + """, busy AS (SELECT DISTINCT store_id, product_id, time_bucket(INTERVAL 10 MINUTE, timestamp) AS b FROM pos
+), span AS (SELECT min(b) - INTERVAL 110 MINUTE AS lo, max(b) AS hi FROM busy
+), steps AS (SELECT *, lead(b) OVER (PARTITION BY store_id, product_id ORDER BY b) AS nxt, lag(b) OVER (PARTITION BY store_id, product_id ORDER BY b) AS prv FROM busy)"""
+
+
+@query("st7_silent_intervals", ctes=BUSY, sql="""SELECT store_id, product_id, first_start, last_start FROM (
+SELECT store_id, product_id, lo AS first_start, b - INTERVAL 2 HOUR AS last_start FROM steps CROSS JOIN span WHERE prv IS NULL
+UNION ALL SELECT store_id, product_id, b + INTERVAL 10 MINUTE, coalesce(nxt - INTERVAL 2 HOUR, hi) FROM steps CROSS JOIN span) WHERE first_start <= last_start""")
+def _(spark, sf):
+    """Runs of empty windows, one row for each."""
+    return v.silent_intervals(tables.pos(spark, sf))
+
+
+@query("st7_silent_stream", ctes=BUSY, sql="""SELECT store_id, product_id, b + INTERVAL 10 MINUTE AS first_start, nxt - INTERVAL 2 HOUR AS last_start FROM steps
+WHERE b + INTERVAL 10 MINUTE <= nxt - INTERVAL 2 HOUR""")
+def _(spark, sf):
+    """The closed gaps of a stream that gets the history in three slices."""
+    base = scratch_path(spark, "silent")
+    history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for _ in v.released(history, base + "/in", ["2024-01-10", "2024-01-20"]):
+        found = v.run_silent(v.read_pos_stream(spark, base + "/in", history.schema, max_files=None), base, base + "/ckpt")
+    return found.filter("NOT open").select("store_id", "product_id", "first_start", "last_start")
+
+
 @query("st8_replay", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags")
 def _(spark, sf):
     """History replayed in event-time slices gives the batch result."""

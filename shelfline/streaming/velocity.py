@@ -91,30 +91,73 @@ def last_update(emitted: DataFrame, keys=("window_start", "window_end", *SERIES)
     return best.select(*keys, "v.*")
 
 
-def zero_velocity(df: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_MIN) -> DataFrame:
-    """Windows in which a known series sold nothing, between the first and last window of the data.
+def _minutes(m: int) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m))
+
+
+def busy_intervals(df: DataFrame, slide_min: int = SLIDE_MIN) -> DataFrame:
+    """(series, b): the slide intervals in which a series sold something."""
+    start = F.window("timestamp", f"{slide_min} minutes")["start"].cast("timestamp_ntz")
+    return df.select(*SERIES, start.alias("b")).distinct()
+
+
+def _gap(before: Column, after: Column, size_min: int, slide_min: int) -> Column:
+    """Starts of the first and last window that lie wholly between two busy intervals."""
+    return F.struct((before + _minutes(slide_min)).alias("first_start"), (after - _minutes(size_min)).alias("last_start"))
+
 
-    Empty windows lie in the gaps between a series' slide intervals with sales, so they
-    are unfolded from the gaps; no grid of all windows and series is joined. A window
+def silent_intervals(df: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_MIN) -> DataFrame:
+    """(series, first_start, last_start): runs of windows without a sale, between the first and last window of the data.
+
+    Empty windows lie in the gaps between the busy intervals of a series; no grid of all windows and
+    series is joined. There is a row for each gap, however long. A window
     partition holds the distinct intervals of a series and is bounded by the calendar.
     """
-    mins = lambda m: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m))
-    start = F.window("timestamp", f"{slide_min} minutes")["start"].cast("timestamp_ntz")
-    busy = df.select(*SERIES, start.alias("b")).distinct()
-    span = busy.agg((F.min("b") - mins(size_min - slide_min)).alias("lo"), F.max("b").alias("hi"))
+    busy = busy_intervals(df, slide_min)
+    span = busy.agg((F.min("b") - _minutes(size_min - slide_min)).alias("lo"), F.max("b").alias("hi"))
     w = Window.partitionBy(*SERIES).orderBy("b")
     gaps = busy.join(F.broadcast(span)).select(  # one row
         *SERIES, "lo", "hi", "b", F.lag("b").over(w).alias("prev"), F.lead("b").over(w).alias("next"))
-    step = mins(slide_min)
     # the first row of a series also opens the gap before it
-    before = F.when(F.col("prev").isNull(), F.struct(F.col("lo").alias("from"), (F.col("b") - mins(size_min)).alias("to")))
-    after = F.struct((F.col("b") + step).alias("from"), F.coalesce(F.col("next") - mins(size_min), F.col("hi")).alias("to"))
-    found = gaps.select(*SERIES, F.explode(F.array(before, after)).alias("g")).filter("g IS NOT NULL AND g.from <= g.to")
-    return found.select(*SERIES, F.explode(F.sequence("g.from", "g.to", step)).alias("window_start")).withColumns({
-        "window_end": F.col("window_start") + mins(size_min), "transaction_count": F.lit(0).cast("bigint"),
+    before = F.when(F.col("prev").isNull(), _gap(F.col("lo") - _minutes(slide_min), F.col("b"), size_min, slide_min))
+    after = _gap(F.col("b"), F.coalesce(F.col("next"), F.col("hi") + _minutes(size_min)), size_min, slide_min)
+    found = gaps.select(*SERIES, F.explode(F.array(before, after)).alias("g"))
+    return found.filter("g IS NOT NULL AND g.first_start <= g.last_start").select(*SERIES, "g.first_start", "g.last_start")
+
+
+def zero_velocity(df: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_MIN) -> DataFrame:
+    """The windows of ``silent_intervals`` one by one."""
+    found = silent_intervals(df, size_min, slide_min)
+    return found.select(*SERIES, F.explode(F.sequence("first_start", "last_start", _minutes(slide_min))).alias("window_start")).withColumns({
+        "window_end": F.col("window_start") + _minutes(size_min), "transaction_count": F.lit(0).cast("bigint"),
         "anomaly_flag": F.lit("CRITICAL_STOCKOUT")})
 
 
+def run_silent(stream: DataFrame, base: str, checkpoint: str, size_min: int = SIZE_MIN, slide_min: int = SLIDE_MIN) -> DataFrame:
+    """Runs a stream of sales over what is available and returns all silent intervals so far.
+
+    Each micro-batch keeps the last busy interval of every known series, reports the gaps that its sales close
+    (``open`` false), and the series whose latest window is empty (``open`` true, up to the newest interval).
+    A repeated batch replaces its own files. Sales are expected slice by slice in event-time order.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        states = spark.createDataFrame([], f"{', '.join(f'{c} int' for c in SERIES)}, b timestamp_ntz")
+        if batch_id:
+            states = spark.read.schema(states.schema).parquet(f"{base}/last/batch_id={batch_id - 1}")
+        busy = busy_intervals(batch, slide_min).unionByName(states).distinct()
+        busy.groupBy(*SERIES).agg(F.max("b").alias("b")).write.mode("overwrite").parquet(f"{base}/last/batch_id={batch_id}")
+        newest = busy.agg((F.max("b") + _minutes(size_min)).alias("hi"))
+        following = F.lead("b").over(Window.partitionBy(*SERIES).orderBy("b"))
+        gaps = busy.withColumn("next", following).join(F.broadcast(newest)).select(  # one row
+            *SERIES, _gap(F.col("b"), F.coalesce("next", "hi"), size_min, slide_min).alias("g"), F.col("next").isNull().alias("open"))
+        gaps.filter("g.first_start <= g.last_start").select(*SERIES, "g.first_start", "g.last_start", "open").write.mode("overwrite").parquet(f"{base}/gaps/batch_id={batch_id}")
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start().awaitTermination()
+    return stream.sparkSession.read.option("basePath", f"{base}/gaps").parquet(f"{base}/gaps/batch_id=*")
+
+
 def replay(history: DataFrame, base: str, bounds, build, mode: str = "update") -> DataFrame:
     """Release history to a stream slice by slice in event-time order; returns all emitted rows.
 
@@ -124,6 +167,14 @@ def replay(history: DataFrame, base: str, bounds, build, mode: str = "update") -
     into the windowed one.
     """
     spark = history.sparkSession
+    for _ in released(history, f"{base}/in", bounds):
+        raw = read_pos_stream(spark, f"{base}/in", history.schema, max_files=None)
+        write_alerts(build(raw), f"{base}/out", f"{base}/ckpt", mode).awaitTermination()
+    return spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
+
+
+def released(history: DataFrame, path: str, bounds):
+    """Appends one slice of the history after the other to a folder, and yields after each."""
     edges = [None, *bounds, None]
     for lo, hi in zip(edges, edges[1:]):
         part = history
@@ -131,7 +182,5 @@ def replay(history: DataFrame, base: str, bounds, build, mode: str = "update") -
             part = part.filter(F.col("timestamp") >= F.lit(lo).cast("timestamp"))
         if hi is not None:
             part = part.filter(F.col("timestamp") < F.lit(hi).cast("timestamp"))
-        part.write.mode("append").parquet(f"{base}/in")
-        raw = read_pos_stream(spark, f"{base}/in", history.schema, max_files=None)
-        write_alerts(build(raw), f"{base}/out", f"{base}/ckpt", mode).awaitTermination()
-    return spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
+        part.write.mode("append").parquet(path)
+        yield

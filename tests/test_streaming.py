@@ -66,3 +66,19 @@ def test_a_missing_folder_fails(spark):
 
     with pytest.raises(AnalysisException):
         v.read_pos_stream(spark, "/tmp/no-such-folder-here").writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "c")).start()
+
+
+def test_silent_series_are_open_until_they_sell(spark):
+    t = datetime.datetime(2024, 1, 1, 8)
+    rows = [(t, 1, 1, 1, 1.0), (t, 2, 1, 2, 1.0), (t + datetime.timedelta(hours=5), 1, 1, 3, 1.0), (t + datetime.timedelta(hours=9), 2, 1, 4, 1.0)]
+    history = spark.createDataFrame(rows, "timestamp timestamp, store_id int, product_id int, transaction_id bigint, units_sold double")
+    base, seen = scratch_path(spark, "silent"), []
+    for _ in v.released(history, base + "/in", ["2024-01-01 09:00:00", "2024-01-01 14:00:00"]):
+        found = v.run_silent(v.read_pos_stream(spark, base + "/in", history.schema, max_files=None), base, base + "/ckpt")
+        last = found.agg(F.max("batch_id")).first()[0]
+        seen.append(sorted((r.store_id, r.open) for r in found.filter(F.col("batch_id") == last).collect()) if last is not None else [])
+    # the second slice closes the gap of store 1 while store 2 is silent; the third closes that of store 2 and leaves store 1 silent
+    assert seen[1] == [(1, False), (2, True)] and seen[2] == [(1, True), (2, False)]
+    closed = {(r.store_id, r.first_start, r.last_start) for r in found.filter("NOT open").collect()}
+    batch = {(r.store_id, r.first_start, r.last_start) for r in v.silent_intervals(history.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))).collect()}
+    assert closed <= batch
