@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import calendar as cal
 from shelfline.functions import scores
 from shelfline.operators import clean, rules
-from shelfline.plans.catalog import BRONZE, HOURLY, POS, query, rounded
+from shelfline.plans.catalog import BRONZE, HOURLY, query, rounded
 from shelfline.plans.cleaning import checked, hourly
 from shelfline.sources import tables
 

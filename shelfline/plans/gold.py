@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import forecast as fc
 from shelfline.operators import gold, islands, rules
-from shelfline.plans.catalog import BRONZE, DAILY, GRID, HOURLY, INCIDENTS, query, rounded
+from shelfline.plans.catalog import BRONZE, GRID, HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import checked, hourly
 from shelfline.plans.kpis import EVALUATED, SCORED, evaluated, scored
 from shelfline.sources import runlog, tables

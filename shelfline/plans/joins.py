@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.operators import features, gold, joins
+from shelfline.operators import gold, joins
 from shelfline.plans.catalog import GRID, HOURLY, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.plans.windows import SCD2, scd2_priority

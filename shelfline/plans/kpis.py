@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.operators import features, forecast as fc, islands, kpi
-from shelfline.plans.catalog import BRONZE, HOURLY, INCIDENTS, query, rounded
+from shelfline.plans.catalog import HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.session import materialize
 from shelfline.sources import tables

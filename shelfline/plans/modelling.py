@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
-from shelfline.functions.text import hash_uniform
-from shelfline.operators import drift, features, gold, islands, joins, kpi
+from shelfline.operators import drift, features, gold, joins, kpi
 from shelfline.operators import forecast as fc
 from shelfline.operators import models, risk
-from shelfline.plans.catalog import GRID, HOURLY, ORDER_DEMAND, query, rounded
+from shelfline.plans.catalog import HOURLY, ORDER_DEMAND, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.plans.ingestion import UNIFORM
 from shelfline.plans.kpis import EVALUATED, FVA, RECOVERED, SCORED, cut, evaluated, recovered, scored, with_baseline

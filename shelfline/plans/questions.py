@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.functions import catalogue
 from shelfline.operators import aggregates as ag
-from shelfline.operators import drift, features, islands, kpi, orders, recommend, risk, rules
+from shelfline.operators import drift, features, islands, kpi, orders, risk, rules
 from shelfline.operators import economics as ec
 from shelfline.operators import forecast as fc
 from shelfline.plans.catalog import BRONZE, HOURLY, INCIDENTS, query, rounded

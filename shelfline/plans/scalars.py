@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.functions import arrays, calendar as cal, catalogue, normal, scores, text
-from shelfline.plans.catalog import BRONZE, DAILY, query, rounded
+from shelfline.plans.catalog import DAILY, query, rounded
 from shelfline.sources import tables
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.operators import clean, features, islands
-from shelfline.plans.catalog import BRONZE, GRID, HOURLY, INCIDENTS, ORDER_DEMAND, query, rounded
+from shelfline.plans.catalog import BRONZE, GRID, INCIDENTS, ORDER_DEMAND, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.sources import tables
 
