@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
@@ -94,6 +94,20 @@ def fact_stockout_incident(incidents: DataFrame, stores: DataFrame, products: Da
     )
 
 
+def reload_incidents(existing: DataFrame, recomputed: DataFrame, last_hour: Column) -> DataFrame:
+    """The incident fact after more hours have arrived; ``last_hour`` is the last one that ``existing`` saw.
+
+    Incidents that ended before it are final. One that was open at it may go on, so it is replaced: of
+    ``recomputed`` the incidents from its start on are taken, and for other series those after ``last_hour``.
+    """
+    series = ["store_id", "product_id"]
+    final = existing.where(F.col("end_timestamp") < last_hour)
+    still_open = existing.where(F.col("end_timestamp") >= last_hour).groupBy(*series).agg(F.min("start_timestamp").alias("_from"))
+    fresh = recomputed.join(still_open, series, "left").where(
+        F.when(F.col("_from").isNull(), F.col("start_timestamp") > last_hour).otherwise(F.col("start_timestamp") >= F.col("_from")))
+    return final.unionByName(fresh.select(*existing.columns))
+
+
 def dim_time(spark: SparkSession) -> DataFrame:
     h = F.col("id").cast("int")
     return spark.range(24).select(

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from shelfline.operators import forecast as fc
-from shelfline.operators import gold, islands, rules
+from shelfline.operators import features, gold, islands, rules
 from shelfline.plans.catalog import BRONZE, GRID, HOURLY, INCIDENTS, query, rounded
 from shelfline.plans.cleaning import checked, hourly
 from shelfline.plans.kpis import EVALUATED, SCORED, evaluated, scored
@@ -70,6 +70,21 @@ def _(spark, sf):
         "store_id", "product_id", "start_timestamp", "end_timestamp", "duration_hours", "severity_score", "incident_class")
 
 
+@query("gd5_incremental", ctes=INCIDENTS, sql="SELECT store_id, product_id, incident_start AS start_timestamp, incident_end AS end_timestamp, duration_hours FROM incidents")
+def _(spark, sf):
+    """Loaded in two steps, the first ending inside incidents; the result is that of one load."""
+    d = tables.daily(spark, sf)
+    stores, products = gold.dim_store(d, gold.dim_city(d)), gold.dim_product(d)
+    half = features.cut_day(tables.pos(spark, sf), "timestamp", 0.5)
+    cols = ["store_id", "product_id", "start_timestamp", "end_timestamp", "duration_hours"]
+
+    def load(rows):
+        return gold.fact_stockout_incident(islands.incidents_from_daily(rows), stores, products).select(*cols)
+
+    last_hour = half.cast("timestamp_ntz") - F.expr("INTERVAL 3 HOURS")  # trading ends at 22
+    return gold.reload_incidents(load(d.where(F.to_date("dt") < half)), load(d), last_hour)
+
+
 @query("gd6_dim_time", ctes=HOURLY, sql="""SELECT CAST(hour_of_day AS SMALLINT) AS time_key, hour_of_day, lpad(hour_of_day::VARCHAR, 2, '0') || ':00' AS hour_label, part_of_day,
 is_operational_hour, round(sum(observed_sales), 4) AS sold FROM hourly GROUP BY ALL""")
 def _(spark, sf):
