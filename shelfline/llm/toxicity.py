@@ -25,7 +25,7 @@ BANGS = regex.compile(r"[!?]{2,}")
 #: word beginnings of these lengths are terms beside the whole word
 STEMS = (3, 4, 5, 6, 7, 8)
 #: words whose terms a worker remembers
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 PATTERNS = ("shouts", "bangs", "address", "several", "none")
 
 
@@ -197,7 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # a bounded sample may be broadcast
     )
-    texts = store(docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id"), "toxic-sample")
+    # rows that share a doc_id count once, so the sample stays bounded
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    texts = store(texts, "toxic-sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,17 +229,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(numbers)
         for batch in batches:
-            texts_ = [x.as_py() for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array([votes(x, known.find(x), v) for x in texts_], pa.int64())], ["mask"])
+            masks = [votes(text, known.find(text), v) for text in map(pa.StringScalar.as_py, batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int64())], ["mask"])
 
     masks = store(docs.select(text_or_empty().alias("text")).mapInArrow(voted, "mask long").groupBy("mask").agg(F.count(F.lit(1)).alias("n")), "votes")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(numbers)
         for batch in batches:
-            found = [(known.find(x.as_py()), x.as_py()) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([sorted(f) for f, _ in found], pa.list_(pa.int32())), pa.array([votes(x, f, v) for f, x in found], pa.int64())], ["label", "terms", "mask"])
+            terms_, masks_ = [], []
+            for text in map(pa.StringScalar.as_py, batch.column("text")):
+                found = known.find(text)
+                terms_.append(sorted(found))
+                masks_.append(votes(text, found, v))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(terms_, pa.list_(pa.int32())), pa.array(masks_, pa.int64())], ["label", "terms", "mask"])
 
     rows = texts.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(described, "label int, terms array<int>, mask long").collect()  # the bounded sample
     own = np.array([r["label"] for r in rows], np.float64)
