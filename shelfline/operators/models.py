@@ -23,7 +23,7 @@ TREES, RATE, DEPTH, SEED = 100, 0.1, 6, 42
 
 @dataclass
 class DemandModel:
-    """A fitted model: the mean sales per id, the overall mean, feature stages and trees."""
+    """A fitted model: the sales per id and fold, the overall mean, feature stages and trees."""
 
     encodings: dict[str, DataFrame]
     overall: DataFrame
@@ -31,22 +31,37 @@ class DemandModel:
     trees: GBTRegressionModel
 
 
+#: parts of the training rows; a row is encoded by the means of the other parts
+FOLDS = 5
+
+
 def mean_encoding(df: DataFrame, col: str, target: str) -> DataFrame:
-    """Mean target per id as a stored table. Ids grow with the data, so they are encoded by
-    an aggregate and a join; a label index would gather them all on the driver."""
-    return materialize(df.groupBy(col).agg(F.avg(target).alias(f"{col}_mean")), "encoding")
+    """Sum and number of the target per id and fold, as two arrays in a stored table. Ids grow with the data, so they
+    are encoded by an aggregate and a join; a label index would gather them all on the driver."""
+    own = [F.when(F.col("_fold") == i, F.col(target)) for i in range(FOLDS)]
+    return materialize(df.groupBy(col).agg(
+        F.array(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in own]).alias("_s"), F.array(*[F.count(x) for x in own]).alias("_n")), "encoding")
 
 
 def encode(df: DataFrame, encodings: dict[str, DataFrame], overall: DataFrame) -> DataFrame:
-    """Add the encoded ids; an unseen id gets the overall mean."""
+    """Add the mean target of the ids; an unseen id gets the overall mean.
+
+    Training rows carry ``_fold`` and take the mean of the other folds, so that no row is encoded by its own target.
+    """
     out = df.join(F.broadcast(overall))  # one row
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     for col, table in encodings.items():
-        out = out.join(table, col, "left").withColumn(f"{col}_mean", F.coalesce(f"{col}_mean", "_overall"))
+        out = out.join(table, col, "left")
+        total, n = add(F.col("_s")), add(F.col("_n"))
+        if "_fold" in df.columns:
+            total, n = total - F.get("_s", F.col("_fold")), n - F.get("_n", F.col("_fold"))
+        out = out.withColumn(f"{col}_mean", F.coalesce(total / F.nullif(n, F.lit(0.0)), F.col("_overall"))).drop("_s", "_n")
     return out.drop("_overall")
 
 
 def train(df: DataFrame, target: str = "observed_sales", trees: int = TREES, max_bins: int = 64) -> DemandModel:
     """Gradient-boosted regression over all rows, two low-cardinality categories indexed."""
+    df = df.withColumn("_fold", F.pmod(F.xxhash64(*df.columns), F.lit(FOLDS)).cast("int"))
     overall = materialize(df.agg(F.avg(target).alias("_overall")), "overall")
     encodings = {c: mean_encoding(df, c, target) for c in IDS}
     index = StringIndexer(inputCols=BANDS, outputCols=[f"{c}_i" for c in BANDS], handleInvalid="keep")
