@@ -287,7 +287,7 @@ def removed(block: int, window: int, parts: int):
     return run
 
 
-def without_repeated_passages(docs: DataFrame, window: int = 20, pack_words: int = 2_000_000, range_words: int = 4_000_000) -> DataFrame:
+def without_repeated_passages(docs: DataFrame, window: int = 20, pack_words: int = 1_000_000, range_words: int = 4_000_000) -> DataFrame:
     """Each document without the words covered by a window of ``window`` words that also starts earlier
     (smaller doc_id, or same document and earlier start): doc_id, n_words, n_removed, kept (words joined by one space, UTF-8).
 
