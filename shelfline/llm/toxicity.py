@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,11 +60,23 @@ class Terms:
         return out
 
 
+@cache
+def cases() -> np.ndarray:
+    """By code point: 1 for letters, 2 for capitals, 3 for both."""
+    return np.fromiter((c.isalpha() + 2 * c.isupper() for c in map(chr, range(0x110000))), np.uint8, 0x110000)
+
+
+def shouts(text: str) -> bool:
+    """Whether over 0.6 of the letters of the whole text, and of at least 20, are capitals."""
+    n = np.bincount(cases()[np.frombuffer(text.encode("utf-32-le"), "<u4")], minlength=4)
+    letters = int(n[1] + n[3])
+    return letters >= 20 and int(n[2] + n[3]) > 0.6 * letters
+
+
 def votes(text: str, found: set[int], voters: int) -> int:
     """Bits of the voters that fire: a lexicon voter for each of the first ``voters`` terms, then the patterns."""
     lexicon = [t for t in found if t < voters]
-    letters = sum(map(str.isalpha, text[:4000]))
-    fired = (letters >= 20 and sum(map(str.isupper, text[:4000])) > 0.6 * letters, len(BANGS.findall(text)) >= 2,
+    fired = (shouts(text), len(BANGS.findall(text)) >= 2,
              ADDRESS.search(text) is not None, len(lexicon) >= 3, not lexicon)
     return sum(1 << t for t in lexicon) | sum(1 << (voters + i) for i, x in enumerate(fired) if x)
 

@@ -318,6 +318,13 @@ def test_toxicity_edges(spark, awkward, nothing):
     assert kept.columns == awkward.columns and kept.count() == len(rows())
 
 
+def test_shouts_over_the_whole_text():
+    calm, loud = "these are calm words, " * 300, "ÄRGER AND NOISE! " * 300
+    shouts = lambda text: toxicity.votes(text, set(), 0) & 1
+    assert shouts(calm + loud * 3) and not shouts(loud + calm * 3)
+    assert shouts(loud) and not shouts(calm) and not shouts("LOUD") and not shouts("")
+
+
 def test_label_model_counts_correlated_voters_less():
     import numpy as np
 
