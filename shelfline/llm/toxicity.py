@@ -28,6 +28,8 @@ STEMS = (3, 4, 5, 6, 7, 8)
 #: words whose terms a worker remembers
 REMEMBERED = 150_000
 PATTERNS = ("shouts", "bangs", "address", "several", "none")
+#: votes are kept in as many words of so many bits as the voters need
+WORD_BITS = 63
 
 
 def word_terms(word: str) -> list[str]:
@@ -81,6 +83,15 @@ def votes(text: str, found: set[int], voters: int) -> int:
     return sum(1 << t for t in lexicon) | sum(1 << (voters + i) for i, x in enumerate(fired) if x)
 
 
+def mask_names(voters: int) -> list[str]:
+    """Columns that hold the bits of the voters and the patterns."""
+    return [f"mask{i}" for i in range(-(-(voters + len(PATTERNS)) // WORD_BITS))]
+
+
+def mask_columns(masks: list[int], names: list[str]) -> list[pa.Array]:
+    return [pa.array([m >> WORD_BITS * i & (1 << WORD_BITS) - 1 for m in masks], pa.int64()) for i in range(len(names))]
+
+
 def distinct_terms(ranked: list[tuple[str, float]], most: int) -> list[str]:
     """The first terms of a ranking without those that find nearly the same texts as a beginning or continuation before them."""
     chosen: list[tuple[str, float]] = []
@@ -111,12 +122,15 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     def fired(self, masks: np.ndarray) -> np.ndarray:
-        return ((masks.astype(np.int64)[:, None] >> np.arange(len(self.toxic))) & 1).astype(np.float64)
+        """A row for each of ``masks``, which are words of WORD_BITS bits, or rows of such words."""
+        words, at = (masks if masks.ndim == 2 else masks[:, None]).astype(np.int64), np.arange(len(self.toxic))
+        return ((words[:, at // WORD_BITS] >> at % WORD_BITS) & 1).astype(np.float64)
 
     def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Expected numbers of toxic and clean documents in which voters i and j both fire; i = -1: all documents."""
         for batch in batches:
-            masks, n = batch.column("mask").to_numpy(), batch.column("n").to_numpy().astype(np.float64)
+            masks = np.stack([batch.column(c).to_numpy() for c in batch.schema.names if c != "n"], axis=1)
+            n = batch.column("n").to_numpy().astype(np.float64)
             p, fired = self.posterior(masks), self.fired(masks)
             i, j = np.triu_indices(fired.shape[1])
             pos, neg = ((fired * (n * q)[:, None]).T @ fired for q in (p, 1 - p))
@@ -235,17 +249,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
     named = [f"{w}$" for w in LEXICON]
     order = list(dict.fromkeys(first + [r["term"] for r in telling]))
     # lexicon words that the sample does not show vote as well
-    lexicon = list(dict.fromkeys(first + named))[:62 - len(PATTERNS)]
+    lexicon = list(dict.fromkeys(first + named))
     numbers = {t: i for i, t in enumerate(dict.fromkeys([*lexicon, *order]))}
     v = len(lexicon)
+    names = mask_names(v)
+    words = ", ".join(f"{c} long" for c in names)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(numbers)
         for batch in batches:
             masks = [votes(text, known.find(text), v) for text in map(pa.StringScalar.as_py, batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int64())], ["mask"])
+            yield pa.RecordBatch.from_arrays(mask_columns(masks, names), names)
 
-    masks = store(docs.select(text_or_empty().alias("text")).mapInArrow(voted, "mask long").groupBy("mask").agg(F.count(F.lit(1)).alias("n")), "votes")
+    masks = store(docs.select(text_or_empty().alias("text")).mapInArrow(voted, words).groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "votes")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(numbers)
@@ -255,11 +271,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
                 found = known.find(text)
                 terms_.append(sorted(found))
                 masks_.append(votes(text, found, v))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(terms_, pa.list_(pa.int32())), pa.array(masks_, pa.int64())], ["label", "terms", "mask"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.array(terms_, pa.list_(pa.int32())), *mask_columns(masks_, names)], ["label", "terms", *names])
 
-    rows = texts.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(described, "label int, terms array<int>, mask long").collect()  # the bounded sample
+    rows = texts.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(described, f"label int, terms array<int>, {words}").collect()  # the bounded sample
     own = np.array([r["label"] for r in rows], np.float64)
-    sampled = np.array([r["mask"] for r in rows], np.int64)
+    sampled = np.array([[r[c] for c in names] for r in rows], np.int64).reshape(-1, len(names))
     n = v + len(PATTERNS)
     model = LabelModel(0.1, np.full(n, 0.5), np.full(n, 0.5), np.ones(n))
     if len(rows) and 0 < own.sum() < len(own):

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers
@@ -325,6 +326,21 @@ def test_shouts_over_the_whole_text():
     assert shouts(loud) and not shouts(calm) and not shouts("LOUD") and not shouts("")
 
 
+def test_every_lexicon_word_votes_beside_a_full_sample(spark):
+    rnd = random.Random(6)
+    made = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(60)]
+    docs = [(i, " ".join(made) if i % 4 == 0 else "calm words of a quiet text") for i in range(600)] + [(1000 + i, " ".join([*made, "basura"])) for i in range(50)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(600)]
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    voters = len(model.labels.toxic) - len(toxicity.PATTERNS)
+    at = {w: model.terms[w + "$"] for w in toxicity.LEXICON}
+    assert voters == 48 + len(toxicity.LEXICON) and max(at.values()) < voters
+    # the documents without a label show that it fires where others do
+    assert model.labels.toxic[at["basura"]] > 0.1 > 0.02 > model.labels.toxic[at["connard"]]
+    fired = model.labels.fired(np.array([[1 << 62, 1], [1, 1 << 3]]))
+    assert [np.flatnonzero(x).tolist() for x in fired] == [[62, 63], [0, 66]]
+
+
 def test_label_model_counts_correlated_voters_less():
     import numpy as np
 
