@@ -42,9 +42,11 @@ def fingerprint(text: bytes, words: int = 4) -> int:
 
 
 def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fingerprint of ``text`` beside all other columns."""
     for batch in batches:
+        keep = [n for n in batch.schema.names if n != "text"]
         found = np.fromiter((fingerprint(x.as_py()) for x in batch.column("text")), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(found.view(np.int64))], [*keep, "fp"])
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -252,6 +254,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("root")).union(e.select("v", "v")).distinct()
 
 
+def rooted(distinct: DataFrame, most: int) -> DataFrame:
+    """``distinct`` (fp, first) with the smallest fingerprint that links reach as ``root``."""
+    if most > 4:
+        raise ValueError("two of six blocks are left untouched by at most four differing bits")
+    roots = components(links(distinct.select("fp"), most))
+    return distinct.join(roots, F.col("fp") == F.col("id"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
     """Component of each document under near-equal fingerprints: doc_id, fingerprint, component_id.
 
@@ -263,24 +273,25 @@ def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
     empty texts have fingerprint zero and link as any other. A null doc_id is ignored by the smallest
     (a component of nulls alone has null). Repeated rows keep their number. An empty table gives no rows.
     """
-    if most > 4:
-        raise ValueError("two of six blocks are left untouched by at most four differing bits")
     marked = store(docs.select("doc_id", text_or_empty().cast("binary").alias("text")).mapInArrow(fingerprints, "doc_id long, fp long"), "fingerprints")
     distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), most))
-    named = distinct.join(roots, F.col("fp") == F.col("id"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = rooted(distinct, most)
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = store(named.join(lowest, "root").select("fp", "component_id"), "classes")
     return marked.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
-    """The documents whose doc_id is the smallest of its component, with their own columns.
+    """One document of each component, the one with the smallest doc_id, with its own columns.
 
-    Rows that share a doc_id stay or go together; null doc_ids stay when a component has no other.
+    Null doc_ids come last. Rows that share the smallest doc_id, or are all null, are told apart by their place
+    in a stored table, and the first stays.
     """
-    kept = near_duplicates(docs, most).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = store(docs.withColumn("near_row", F.monotonically_increasing_id()), "near-rows")
+    marked = rows.select("doc_id", "near_row", text_or_empty().cast("binary").alias("text")).mapInArrow(fingerprints, "doc_id long, near_row long, fp long")
+    distinct = store(marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "near_row")).alias("first")), "distinct-fingerprints")
+    kept = rooted(distinct, most).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.near_row").alias("kept_row"))
+    return rows.join(kept.hint("shuffle_hash"), F.col("near_row") == F.col("kept_row"), "left_semi").select(*docs.columns)
 
 
 def brute_force(rows: list[tuple[int, str | None]], most: int = 4) -> list[tuple[int, str, int]]:

@@ -191,6 +191,19 @@ def test_simhash_small(awkward, nothing, pairs, spark):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_one_row_of_each_near_component_stays(spark):
+    rnd = random.Random(8)
+    base = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)) for _ in range(4)]
+    near = [b + " end" for b in base]
+    # null ids alone, a null copy of a numbered document, one id twice, and an equal row
+    data = [(None, base[0]), (None, near[0]), (5, base[1]), (None, near[1]), (6, base[2]), (6, near[2]), (7, base[3]), (7, base[3])]
+    df = spark.createDataFrame([(i, t, "s") for i, t in data], "doc_id long, text string, source string")
+    assert len({r[1] for r in simhash.brute_force([(n, t) for n, t in enumerate(base + near)])}) > 4
+    got = simhash.without_near_duplicates(df)
+    assert got.columns == df.columns
+    assert Counter((r.doc_id, next(i for i, b in enumerate(base) if r.text.startswith(b))) for r in got.collect()) == Counter([(None, 0), (5, 1), (6, 2), (7, 3)])
+
+
 def test_gray_index_on_dense_groups(spark):
     """Groups of very close fingerprints over many pages, chains, and single ones."""
     rnd = random.Random(11)
