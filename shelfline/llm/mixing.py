@@ -51,8 +51,13 @@ def fair_mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, repeats: in
     source of its own, null doc_ids share one MD5 and follow by size. Rows with equal doc_id and size are
     interchangeable. An empty table gives no rows.
     """
+    return _decided(docs, (), weights, share, repeats, digits)
+
+
+def _decided(docs: DataFrame, keep: tuple[str, ...], weights=(3, 1, 2), share: float = 1.5, repeats: int = 2, digits: int = 3) -> DataFrame:
+    """``fair_mix`` with the columns named in ``keep`` beside."""
     rows = store(docs.select(
-        "doc_id", "source", null_key("source").alias("source_key"),
+        *keep, "doc_id", "source", null_key("source").alias("source_key"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("shuffled"),
     ).withColumn("bucket", F.substring("shuffled", 1, digits)), "sizes")
@@ -65,7 +70,7 @@ def fair_mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, repeats: in
         rows.join(offsets, ["source_key", "bucket"])
         .withColumn("upto", F.sum("size").over(inside) + F.col("offset"))
         .join(source_targets(sources, weights, share, repeats), "source_key")
-        .select("doc_id", "size", "source_size", "source_rank", "target", "budget", "upto"), "finish")
+        .select(*keep, "doc_id", "size", "source_size", "source_rank", "target", "budget", "upto"), "finish")
 
     def finish(e: Column) -> Column:
         return (e * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
@@ -94,19 +99,20 @@ def fair_mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, repeats: in
         admitted = lambda e: F.struct(finish(e), F.col("source_rank")) <= F.struct(F.lit(at), F.lit(rank))
     times = sum((F.when(admitted(F.lit(e)), 1).otherwise(0) for e in range(repeats)), F.lit(0))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * times).otherwise(F.lit(0)).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return placed.select(*keep, "doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix with their own columns, a document taken twice as two rows."""
-    times = (
-        fair_mix(docs, **settings).filter("taken > 0").groupBy(F.col("doc_id").alias("mix_doc_id"))
-        .agg(F.max(F.expr("taken div size")).cast("int").alias("mix_times"))
-    )
+    """The documents of the mix with their own columns, a document taken twice as two rows.
+
+    Each row gets its own decision, by its place in a stored table, also where doc_ids are null or repeated.
+    """
+    rows = store(docs.withColumn("mix_row", F.monotonically_increasing_id()), "mix-rows")
+    times = _decided(rows, ("mix_row",), **settings).filter("taken > 0").select("mix_row", F.expr("taken div size").cast("int").alias("mix_times"))
     return (
-        docs.join(times.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("mix_doc_id")))
+        rows.join(times.hint("shuffle_hash"), "mix_row")
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
-        .select(*[docs[c] for c in docs.columns])
+        .select(*docs.columns)
     )
 
 

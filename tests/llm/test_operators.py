@@ -155,6 +155,19 @@ def test_fair_mix(awkward, nothing, sql):
     assert mixed.columns == awkward.columns
 
 
+def test_mix_decides_row_by_row(spark):
+    rnd = random.Random(9)
+    ids = [None] * 60 + [1, 2, 3] * 40 + list(range(10, 110))
+    data = [(d, "" if i % 11 == 0 else " ".join(["w"] * rnd.randint(1, 9)) + f" {i}", f"s{i % 3}") for i, d in enumerate(ids)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    want, got = Counter(), Counter()
+    for r in mixing.fair_mix(df).collect():
+        want[r.doc_id, r.size] += r.taken
+    for r in mixing.mixed_documents(df).collect():
+        got[r.doc_id, len(r.text.split())] += len(r.text.split())
+    assert +want == got
+
+
 def test_mix_is_near_its_targets(spark, sf):
     got = mixing.fair_mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     taken, size = Counter(), Counter()
