@@ -155,8 +155,16 @@ class Queries:
 
 
 def top_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+    """Places of the k distinct ids with the largest scores, an id by its best one, ties to the smaller id."""
+    order = np.lexsort((ids, -scores))
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
+
+
+def by_id(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """The best score of each distinct id, a column each, from columns that belong to ``ids``."""
+    order = np.argsort(ids, kind="stable")
+    starts = np.unique(ids[order], return_index=True)[1]
+    return scores if len(starts) == len(ids) else np.maximum.reduceat(scores[:, order], starts, axis=1)
 
 
 def search(q: Queries, block: dict, dim: int, k: int, top: float) -> list[tuple[int, int, int]]:
@@ -204,7 +212,7 @@ def top_inner_products(rows: DataFrame, k: int = 5, every: int = 50, sample: int
     to the parent's routing object. Blocks are rows of a stored table.
 
     Packs of queries go down by joins on region and block and drop the queries that a covering radius rules out;
-    a query's first reach is its k-th best in the sample. In a block, pages are taken best first,
+    a query's first reach is its k-th best id in the sample. In a block, pages are taken best first,
     and triangle inequalities on stored distances avoid most computations. All bounds are exact, so
     the result is that of a full comparison.
 
@@ -248,7 +256,8 @@ def top_inner_products(rows: DataFrame, k: int = 5, every: int = 50, sample: int
             for at in range(0, len(ids), PACK):
                 q = Queries(ids[at:at + PACK], v[at:at + PACK], np.full(len(ids[at:at + PACK]), np.inf))
                 scores = np.where(known_ids[None, :] == q.ids[:, None], np.iinfo(np.int64).min, q.vectors @ known.T)
-                if len(known_ids) > k:  # one of them may be the query itself
+                scores = by_id(known_ids, scores)
+                if scores.shape[1] > k:  # one of them may be the query itself
                     kth = np.sort(scores, axis=1)[:, -k].astype(np.float64)
                     q.reach = np.where(kth > -1e18, np.sqrt(np.maximum(0.0, (q.vectors * q.vectors).sum(axis=1) + top - 2 * kth)), np.inf)
                 d = distances(q.points(), centres)

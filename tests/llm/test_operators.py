@@ -323,6 +323,24 @@ def test_mtree(spark):
     assert mtree.top_inner_products(df.limit(0)).count() == 0
 
 
+def test_mtree_finds_k_ids_where_ids_share_rows(spark):
+    rnd = random.Random(10)
+    data = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(120)]
+    data += [(i, [rnd.choice((-3.0, 3.0)) + rnd.random() for _ in range(4)]) for i in (7, 8, 50) for _ in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    want = []
+    whole = [(i, [int(256 * x // 1) for x in v]) for i, v in data]
+    for q in (0, 50, 100):
+        best = {}
+        for i, v in whole:
+            for j, w in whole:
+                if i == q != j:
+                    best[j] = max(best.get(j, -10**12), sum(a * b for a, b in zip(v, w)))
+        want += [(q, n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])]
+    same(mtree.top_inner_products(df, sample=64, pivots=6), want)
+    same(mtree.top_inner_products(df), want)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
