@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, substring_dedup, toxicity, warc
+from shelfline.llm import bpe, conversations, decontaminate, exact_dedup, line_dedup, mixing, mtree, sharding, simhash, substring_dedup, toxicity, warc, whitening
 from shelfline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_bpe": lambda spark, sf: bpe.token_digest(table(spark, sf, "documents"), VOCABULARY),
     "op9_fair_mix": lambda spark, sf: mixing.fair_mix(table(spark, sf, "documents")),
     "op10_bloom_lines": lambda spark, sf: line_dedup.line_digest(table(spark, sf, "documents")),
+    "op11_jacobi_whitening": lambda spark, sf: whitening.whitened(table(spark, sf, "embeddings")),
+    "op12_wu_manber": lambda spark, sf: decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op13_dijkstra_repair": lambda spark, sf: conversations.repaired(table(spark, sf, "conversations")),
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +35,6 @@ ORACLE: dict[str, str] = {
     "op6_chunked_warc": warc.SQL,
     "op9_fair_mix": mixing.SQL,
     "op10_bloom_lines": line_dedup.SQL,
+    "op12_wu_manber": decontaminate.SQL,
+    "op13_dijkstra_repair": conversations.SQL,
 }
