@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from functools import cache
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -17,8 +18,11 @@ from shelfline.llm.common import text_or_empty
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: a single blank beside other white space; without any, every blank starts a pre-token
 MIXED = regex.compile(r"\s |^ | \s| $")
-#: words that each worker remembers; those beyond are encoded again in each batch
-REMEMBERED = 100_000
+#: pieces in one of the two generations that each worker remembers
+REMEMBERED = 150_000
+#: characters of text that are encoded together
+SLICE = 1 << 22
+NEVER = 1 << 60
 #: token pairs that each worker remembers before it starts anew
 PAIRS = 300_000
 
@@ -55,17 +59,29 @@ class PrefixEncoder:
         # every ending of a token with the token it is, or -1: endings of a path are followed from short to long
         self.endings = {b[i:]: -1 for b in self.id_of for i in range(1, len(b))} | self.id_of
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: the two parts of each token's last merge; where two merges give one token, merging its own bytes tells which
+        self.parts: dict[bytes, tuple[bytes, bytes]] = {}
+        twice = set()
+        for a, b in self.rank:
+            if self.parts.setdefault(a + b, (a, b)) != (a, b):
+                twice.add(a + b)
+        for t in twice:
+            self.parts[t] = self.last_merge(t) or self.parts[t]
+        #: piece -> ids, their decimal string and their bytes; the older generation goes when the newer one is full
+        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
         #: by (before << 20) + token, as whole numbers take less room than pairs
         self.pairs: dict[int, bool] = {}
+        self.last_parts = cache(lambda i: self.edge(self.bytes_of[i], 1))
+        self.first_parts = cache(lambda i: self.edge(self.bytes_of[i], 0))
         self.whole: dict[int, bool] = {}
 
-    def merge(self, data: bytes) -> list[bytes]:
-        """Byte-pair merging by its definition, for short strings."""
+    def merge(self, data: bytes, until: int = 1) -> list[bytes]:
+        """Byte-pair merging by its definition, for short strings; stops at ``until`` parts."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:])))
-            if best[0] == 1 << 60:
+        while len(parts) > until:
+            best = min((self.rank.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:])))
+            if best[0] == NEVER:
                 break
             pair = (parts[best[1]], parts[best[1] + 1])
             out, i = [], 0
@@ -79,14 +95,46 @@ class PrefixEncoder:
             parts = out
         return parts
 
+    def last_merge(self, data: bytes) -> tuple[bytes, bytes] | None:
+        parts = self.merge(data, 2)
+        return (parts[0], parts[1]) if len(parts) == 2 and tuple(parts) in self.rank else None
+
+    def edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """The parts that stand at one end of a token while it is merged, each with the rank of the merge that takes it up."""
+        found, taken = [], NEVER
+        while True:
+            found.append((token, taken))
+            if len(token) == 1:
+                return found[::-1]
+            parts = self.parts[token]
+            taken, token = self.rank[parts], parts[side]
+
     def fits(self, before: int, token: int) -> bool:
-        """Whether merging leaves the two tokens, written one after the other, as they are."""
-        known = self.pairs.get((before << 20) + token)
+        """Whether merging leaves the two tokens, written one after the other, as they are.
+
+        Merges go by rank, so the parts on both sides of the border are followed upwards. A merge over the border comes
+        first if its rank is below that of the merge that takes up the left part, and not above that
+        of the right part, as of equal pairs the left one is merged first.
+        """
+        key = (before << 20) + token
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            a, b = self.bytes_of[before], self.bytes_of[token]
-            known = self.pairs[(before << 20) + token] = self.merge(a + b) == [a, b]
+            left, right, rank = self.last_parts(before), self.first_parts(token), self.rank.get
+            i = j = 0
+            known = True
+            while i < len(left) and j < len(right):
+                (a, up_a), (b, up_b) = left[i], right[j]
+                over = rank((a, b), NEVER)
+                if over < up_a and over <= up_b:
+                    known = False
+                    break
+                if up_a <= up_b:
+                    i += 1
+                else:
+                    j += 1
+            self.pairs[key] = known
         return known
 
     def alone(self, token: int) -> bool:
@@ -137,31 +185,41 @@ class PrefixEncoder:
         first, *rest = text.split(" ")
         return ([first] if first else []) + [" " + x for x in rest]
 
-    def encode_texts(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; distinct pieces of all texts are encoded once, pre-token by pre-token."""
-        cut = [[(self.pieces(x), None) if x not in self.special else ([], self.special[x]) for x in (self.cut_special.split(t) if self.cut_special else [t])] for t in texts]
-        new = {p for parts in cut for pieces, _ in parts for p in pieces} - self.known.keys()
-        split = {p: [x.encode() for x in SPLIT.findall(p)] for p in new}
+    def cut(self, text: str) -> list[str]:
+        """The pieces of a text, special tokens among them."""
+        if not self.special:
+            return self.pieces(text)
+        return [p for x in self.cut_special.split(text) for p in ([x] if x in self.special else self.pieces(x))]
+
+    def remember(self, pieces: set[str]) -> None:
+        """Encode the pieces that are not known, pre-token by pre-token; each distinct one once."""
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for p in pieces - known.keys():
+            kept = older.get(p)
+            if kept:
+                known[p] = kept
+            else:
+                new.append(p)
+        split = {p: [x.encode() for x in SPLIT.findall(p)] for p in new if p not in self.special}
         ids = dict(self.encode_words({w for ws in split.values() for w in ws}))
-        found = {p: tuple(i for w in ws for i in ids[w]) for p, ws in split.items()}
-        known, out = self.known, []
-        for parts in cut:
-            row: list[int] = []
-            for pieces, special in parts:
-                if special is not None:
-                    row.append(special)
-                for p in pieces:
-                    row += known.get(p) or found[p]
-            out.append(row)
-        for p in found:
-            if len(known) >= REMEMBERED:
-                break
-            known[p] = found[p]
-        return out
+        for p in new:
+            own = tuple(i for w in split[p] for i in ids[w]) if p in split else (self.special[p],)
+            known[p] = (own, ",".join(map(str, own)), b"".join([self.bytes_of[i] for i in own]))
+
+    def encode_texts(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """For each text what its pieces are encoded to: ids, their decimal string, their bytes."""
+        cut = [self.cut(t) for t in texts]
+        self.remember(set().union(*cut))
+        for pieces in cut:
+            yield [self.known[p] for p in pieces]
+
 
-    def decode(self, ids: Iterable[int]) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+def decoded(coded: list[tuple[tuple[int, ...], str, bytes]]) -> str:
+    """The text of the bytes of all ids."""
+    return b"".join([x[2] for x in coded]).decode("utf-8", "replace")
 
 
 _ENCODERS: dict[str, PrefixEncoder] = {}
@@ -174,7 +232,7 @@ def encoder(path: str) -> PrefixEncoder:
     return _ENCODERS[path]
 
 
-def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+def slices(column: pa.Array, most: int = SLICE) -> Iterator[list[str]]:
     """The texts of a batch in runs of about ``most`` characters."""
     run, held = [], 0
     for x in column:
@@ -190,7 +248,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (array of int) and their decoded text, for every row; null text is empty.
 
     The work has no shuffle: each task encodes the distinct words of its batches. ``path`` is a
-    tokenizers file of a byte-level BPE that every executor can open.
+    tokenizers file of a byte-level BPE that every executor can open. Null doc_ids, repeated rows and rows that share a doc_id
+    are encoded as rows of their own; an empty table gives no rows; other columns are not read, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,9 +257,12 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             at = 0
             for texts in slices(batch.column("text")):
-                ids = own.encode_texts(texts)
+                ids, back = [], []
+                for coded in own.encode_texts(texts):
+                    ids.append([i for x in coded for i in x[0]])
+                    back.append(decoded(coded))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(texts)), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "decoded"])
+                    [batch.column("doc_id").slice(at, len(texts)), pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())], ["doc_id", "ids", "decoded"])
                 at += len(texts)
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
@@ -216,16 +278,15 @@ def token_digest(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        names = {i: str(i) for i in own.bytes_of}
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
-            n, coded, decoded = [], [], []
+            n, ids, back = [], [], []
             for texts in slices(batch.column("text")):
-                for ids in own.encode_texts(texts):
-                    n.append(len(ids))
-                    coded.append(sha(",".join([names[i] for i in ids])))
-                    decoded.append(sha(own.decode(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
+                for coded in own.encode_texts(texts):
+                    n.append(sum([len(x[0]) for x in coded]))
+                    ids.append(sha(",".join([x[1] for x in coded])))
+                    back.append(sha(decoded(coded)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

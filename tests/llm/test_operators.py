@@ -303,7 +303,32 @@ def test_bpe(awkward, nothing, pairs):
 def test_bpe_random_texts():
     t, own, rnd = Tokenizer.from_file(VOCABULARY), bpe.PrefixEncoder(VOCABULARY), random.Random(2)
     texts = ["".join(rnd.choice("  \n\tabcdefghiklmnoprstuéß日1234567890.,!'-<|>endoftx 　\U0001f389") for _ in range(rnd.randint(0, 80))) for _ in range(3000)]
-    assert own.encode_texts(texts) == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert [[i for x in coded for i in x[0]] for coded in own.encode_texts(texts)] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_bpe_borders_of_tokens():
+    """Following the parts at a border says the same as merging both tokens together."""
+    own, rnd = bpe.PrefixEncoder(VOCABULARY), random.Random(7)
+    tokens = [i for i in own.bytes_of if i not in own.special.values() and own.alone(i)]
+    short, same_byte = [i for i in tokens if own.size_of[i] < 4], [i for i in tokens if len(set(own.bytes_of[i])) == 1]
+    seen = set()
+    for k in range(6000):
+        a, b = rnd.choice((tokens, short, same_byte)[k % 3]), rnd.choice((tokens, short, same_byte)[k % 3])
+        x, y = own.bytes_of[a], own.bytes_of[b]
+        seen.add(own.fits(a, b))
+        assert own.fits(a, b) == (own.merge(x + y) == [x, y])
+    assert seen == {True, False}
+
+
+def test_bpe_generations_of_pieces(monkeypatch):
+    """Pieces that fell out of memory are encoded again and give the same."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    t, own, rnd = Tokenizer.from_file(VOCABULARY), bpe.PrefixEncoder(VOCABULARY), random.Random(6)
+    for _ in range(200):
+        texts = [" ".join(rnd.choice(("one", "two", "three", "vier", "fünf", "<|endoftext|>", "\n")) for _ in range(rnd.randint(0, 5))) for _ in range(2)]
+        got = list(own.encode_texts(texts))
+        assert [[i for x in coded for i in x[0]] for coded in got] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+        assert [bpe.decoded(coded) for coded in got] == texts and [",".join(x[1] for x in coded) for coded in got] == [",".join(str(i) for x in coded for i in x[0]) for coded in got]
 
 
 def test_mtree(spark):
