@@ -28,3 +28,8 @@ def text_or_empty(col: str = "text") -> Column:
 def null_key(col: str) -> Column:
     """A string key that is never null, so that nulls meet each other in joins."""
     return F.when(F.col(col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(col).cast("string")))
+
+
+def packed(docs: DataFrame, row: str) -> DataFrame:
+    """The documents as one struct ``doc`` beside a row key, so that no column of theirs can clash with a helper column."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias(row))

@@ -61,7 +61,7 @@ def _renumbered(cut: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns; of rows with equal doc_id and text one stays.
+    """The documents that stay, with their own columns, whatever their names; of rows with equal doc_id and text one stays.
 
     The texts are shuffled once, to meet the ids that stay; only rows that repeat such an id are compared in full.
     """
@@ -70,10 +70,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("kept_rows")).filter("kept")
     )
     kept = store(kept, "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(normalised(), 256) == F.col("kept_sha"))
-    once = docs.join(kept.filter("kept_rows = 1").hint("shuffle_hash"), same, "left_semi")
-    again = docs.join(kept.filter("kept_rows > 1").hint("shuffle_hash"), same).dropDuplicates(["kept_id", "kept_sha"])
-    return once.unionByName(again.select(*[docs[c] for c in docs.columns]))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.col("doc_id").alias("own_id"), F.sha2(normalised(), 256).alias("own_sha"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_sha") == F.col("kept_sha"))
+    once = rows.join(kept.filter("kept_rows = 1").hint("shuffle_hash"), same, "left_semi")
+    again = rows.join(kept.filter("kept_rows > 1").hint("shuffle_hash"), same).dropDuplicates(["kept_id", "kept_sha"])
+    return once.select("doc.*").unionByName(again.select("doc.*"))
 
 
 SQL = r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import WORD, null_key, store, text_or_empty
+from shelfline.llm.common import WORD, null_key, packed, store, text_or_empty
 
 #: finish times below FAR are counted in STEPS ranges for each unit of virtual time
 STEPS, FAR = 16384, 4
@@ -103,16 +103,17 @@ def _decided(docs: DataFrame, keep: tuple[str, ...], weights=(3, 1, 2), share: f
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix with their own columns, a document taken twice as two rows.
+    """The documents of the mix with their own columns, whatever their names, a document taken twice as two rows.
 
     Each row gets its own decision, by its place in a stored table, also where doc_ids are null or repeated.
     """
-    rows = store(docs.withColumn("mix_row", F.monotonically_increasing_id()), "mix-rows")
-    times = _decided(rows, ("mix_row",), **settings).filter("taken > 0").select("mix_row", F.expr("taken div size").cast("int").alias("mix_times"))
+    rows = store(packed(docs, "mix_row"), "mix-rows")
+    asked = rows.select("mix_row", "doc.doc_id", "doc.text", "doc.source")
+    times = _decided(asked, ("mix_row",), **settings).filter("taken > 0").select("mix_row", F.expr("taken div size").cast("int").alias("mix_times"))
     return (
         rows.join(times.hint("shuffle_hash"), "mix_row")
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
-        .select(*docs.columns)
+        .select("doc.*")
     )
 
 

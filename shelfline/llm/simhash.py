@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import store, text_or_empty
+from shelfline.llm.common import packed, store, text_or_empty
 
 #: the six blocks of a fingerprint as (lowest bit, width); four differing bits leave two blocks untouched
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
@@ -282,16 +282,16 @@ def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with its own columns.
+    """One document of each component, the one with the smallest doc_id, with its own columns, whatever their names.
 
     Null doc_ids come last. Rows that share the smallest doc_id, or are all null, are told apart by their place
     in a stored table, and the first stays.
     """
-    rows = store(docs.withColumn("near_row", F.monotonically_increasing_id()), "near-rows")
-    marked = rows.select("doc_id", "near_row", text_or_empty().cast("binary").alias("text")).mapInArrow(fingerprints, "doc_id long, near_row long, fp long")
+    rows = store(packed(docs, "near_row"), "near-rows")
+    marked = rows.select("doc.doc_id", "near_row", F.coalesce("doc.text", F.lit("")).cast("binary").alias("text")).mapInArrow(fingerprints, "doc_id long, near_row long, fp long")
     distinct = store(marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "near_row")).alias("first")), "distinct-fingerprints")
     kept = rooted(distinct, most).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.near_row").alias("kept_row"))
-    return rows.join(kept.hint("shuffle_hash"), F.col("near_row") == F.col("kept_row"), "left_semi").select(*docs.columns)
+    return rows.join(kept.hint("shuffle_hash"), F.col("near_row") == F.col("kept_row"), "left_semi").select("doc.*")
 
 
 def brute_force(rows: list[tuple[int, str | None]], most: int = 4) -> list[tuple[int, str, int]]:

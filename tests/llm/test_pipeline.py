@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -71,3 +72,19 @@ def test_ids_are_those_of_the_library(kept):
     for r in rows[::10]:
         assert list(r.ids) == t.encode(texts[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r.ids)
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+CLASHING = ["mix_row", "mix_times", "mix_copy", "row", "size", "doc", "kept_id", "kept_sha", "kept_rows", "own_id", "own_sha", "kept", "near_row", "kept_row", "fp", "first",
+            "source_size", "source_rank", "target", "budget", "taken", "upto", "score", "text_sha256", "recipe", "chunks"]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "exact_dedup", "simhash_near_dedup", "source_mix"])
+def test_columns_named_like_helpers_come_back_unchanged(spark, name):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").limit(60)
+    mine = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    mine = store(mine.unionByName(mine.limit(2)).unionByName(mine.limit(1).withColumn("doc_id", F.lit(None).cast("long"))), "clashing")
+    out = dict(corpus_pipeline.STAGES)[name](spark, mine, sf)
+    assert out.columns == mine.columns
+    found, given = out.collect(), {tuple(r) for r in mine.collect()}
+    assert found and all(tuple(r) in given for r in found)
