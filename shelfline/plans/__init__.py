@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("ingestion", "cleaning", "contracts", "windows", "joins", "aggregates", "scalars", "gold",
-           "profiling", "kpis", "modelling", "ordering", "streams", "questions")
+           "profiling", "kpis", "modelling", "horizons", "ordering", "streams", "questions")
 
 
 def load_all():
