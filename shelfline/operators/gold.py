@@ -9,6 +9,7 @@ from shelfline.functions import calendar as cal
 from shelfline.functions import scores
 from shelfline.functions.text import label
 from shelfline.operators.joins import after_watermark, attach_city, new_members
+from shelfline.operators.reshape import explode_hourly
 
 # Reason code, group, description.
 REASON_CODES = [
@@ -67,17 +68,23 @@ def surrogate_keys(dim: DataFrame, natural, key: str) -> DataFrame:
 
 def fact_sales_hourly(hourly: DataFrame, stores: DataFrame, products: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     src = after_watermark(hourly, existing, "event_timestamp")
+    return sales_columns(src.join(stores.select("store_id").distinct(), "store_id").join(products.select("product_id").distinct(), "product_id"))
+
+
+def sales_from_daily(daily: DataFrame, stores: DataFrame, products: DataFrame, batch: str) -> DataFrame:
+    """The rows of ``fact_sales_hourly`` from the daily arrays: members are looked up by day, and hours made last."""
+    known = daily.join(stores, "store_id", "left_semi").join(products, "product_id", "left_semi")
+    return sales_columns(explode_hourly(known).withColumn("ingestion_batch_id", F.lit(batch)))
+
+
+def sales_columns(rows: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
-    return (
-        src.join(stores.select("store_id").distinct(), "store_id")
-        .join(products.select("product_id").distinct(), "product_id")
-        .select(
-            cal.date_key(F.col("event_date")).alias("date_key"), F.col("hour_of_day").cast("smallint").alias("time_key"),
-            "store_id", "product_id", F.lit(None).cast("int").alias("weather_band_key"), "event_timestamp",
-            "observed_sales", "stockout_flag", F.col("discount").alias("discount_factor"), "activity_flag", "holiday_flag",
-            zero.alias("estimated_hidden_demand"), zero.alias("recovered_demand"), zero.alias("estimated_lost_demand"),
-            zero.alias("estimated_lost_revenue"), F.col("ingestion_batch_id").alias("source_batch_id"))
-    )
+    return rows.select(
+        cal.date_key(F.col("event_date")).alias("date_key"), F.col("hour_of_day").cast("smallint").alias("time_key"),
+        "store_id", "product_id", F.lit(None).cast("int").alias("weather_band_key"), "event_timestamp",
+        "observed_sales", "stockout_flag", F.col("discount").alias("discount_factor"), "activity_flag", "holiday_flag",
+        zero.alias("estimated_hidden_demand"), zero.alias("recovered_demand"), zero.alias("estimated_lost_demand"),
+        zero.alias("estimated_lost_revenue"), F.col("ingestion_batch_id").alias("source_batch_id"))
 
 
 def fact_stockout_incident(incidents: DataFrame, stores: DataFrame, products: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -94,20 +101,6 @@ def fact_stockout_incident(incidents: DataFrame, stores: DataFrame, products: Da
     )
 
 
-def reload_incidents(existing: DataFrame, recomputed: DataFrame, last_hour: Column) -> DataFrame:
-    """The incident fact after more hours have arrived; ``last_hour`` is the last one that ``existing`` saw.
-
-    Incidents that ended before it are final. One that was open at it may go on, so it is replaced: of
-    ``recomputed`` the incidents from its start on are taken, and for other series those after ``last_hour``.
-    """
-    series = ["store_id", "product_id"]
-    final = existing.where(F.col("end_timestamp") < last_hour)
-    still_open = existing.where(F.col("end_timestamp") >= last_hour).groupBy(*series).agg(F.min("start_timestamp").alias("_from"))
-    fresh = recomputed.join(still_open, series, "left").where(
-        F.when(F.col("_from").isNull(), F.col("start_timestamp") > last_hour).otherwise(F.col("start_timestamp") >= F.col("_from")))
-    return final.unionByName(fresh.select(*existing.columns))
-
-
 def dim_time(spark: SparkSession) -> DataFrame:
     h = F.col("id").cast("int")
     return spark.range(24).select(
