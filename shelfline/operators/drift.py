@@ -6,6 +6,8 @@ aggregate. Quantile edges, bins and distribution functions all start from those
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +93,50 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam2 < 0.04, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
+#: samples up to this size each get the exact p-value
+EXACT = 1000
+
+
+def exceedance(d: float, n: int, m: int) -> float:
+    """Probability that two samples of one distribution differ by ``d`` or more: exact, by counting lattice paths.
+
+    Each order of the n + m values is a path of steps right (first sample) and up (second), all equally likely. The
+    share of paths at each point of a diagonal follows from the diagonal before; what steps out of the band
+    |i / n - j / m| < d is taken out and added up. Shares never overflow, and a small probability keeps its digits.
+    """
+    edge = round(d * n * m)
+    if edge <= 0:
+        return 1.0
+    i = np.arange(n + 1)
+    share, out = np.zeros(n + 1), 0.0
+    share[0] = 1.0
+    for k in range(1, n + m + 1):
+        j = k - i
+        left = n + m - k + 1
+        up = share * np.clip(m - j + 1, 0, None) / left
+        up[1:] += share[:-1] * (n - i[:-1]) / left
+        inside = (j >= 0) & (j <= m)
+        share = np.where(inside, up, 0.0)
+        beyond = inside & (np.abs(i * m - j * n) >= edge)
+        out += float(share[beyond].sum())
+        share[beyond] = 0.0
+    return min(1.0, out)
+
+
+def ks_pvalue_by_size(ks: DataFrame, exact: int = EXACT) -> DataFrame:
+    """``p_value`` beside the rows of ``ks2``: exact where both samples have at most ``exact`` values, else the asymptotic series.
+
+    There is one row for each feature, so the exact part is a small function on few rows.
+    """
+    asymptotic = ks_pvalue(F.col("ks"), F.col("n_base"), F.col("n_cur"))
+
+    @F.pandas_udf("double")
+    def small(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([exceedance(x, int(a), int(b)) if max(a, b) <= exact else None for x, a, b in zip(d, n, m)], dtype="float64")
+
+    return ks.withColumn("p_value", F.coalesce(small("ks", "n_base", "n_cur"), asymptotic))
+
+
 def drift_status(df: DataFrame) -> DataFrame:
     critical = (F.col("psi") >= CRITICAL) | (F.col("p_value") < P_LIMIT)
     return df.withColumn(

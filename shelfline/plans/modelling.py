@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
-from shelfline.operators import drift, features, gold, joins, kpi
+from shelfline.operators import attribution, drift, features, gold, joins, kpi
 from shelfline.operators import forecast as fc
 from shelfline.operators import models, risk
 from shelfline.plans.catalog import HOURLY, ORDER_DEMAND, query, rounded
@@ -102,6 +102,33 @@ def _(spark, sf):
     return models.feature_importance(model, spark).join(perm, "feature", "left")
 
 
+SPLIT = HOURLY + f""", tested AS (SELECT * FROM hourly WHERE {UNIFORM.format("'42:' || store_id || ':' || product_id || ':' || strftime(event_date, '%Y%m%d') || ':' || hour_of_day")} < 0.2)"""
+
+
+def attributed(spark, sf):
+    """The held-out rows with the attributions of their predictions."""
+    model, test = demand_model(spark, sf)
+    return attribution.attributions(model, test)
+
+
+@query("ml8_attributions")
+def _(spark, sf):
+    return attributed(spark, sf)
+
+
+@query("ml8_global_attribution")
+def _(spark, sf):
+    """Mean absolute attribution of each feature over the held-out rows."""
+    return attribution.global_importance(attributed(spark, sf))
+
+
+@query("ml8_attribution_checks", ctes=SPLIT, sql="SELECT count(*) AS n, round(sum(observed_sales), 3) AS sales, count(*) AS adds_up FROM tested")
+def _(spark, sf):
+    """Rows for which base value and attributions add up to the prediction, among all held-out rows."""
+    total = sum((F.col(f"attribution_{f}") for f in attribution.FEATURES), F.col("base_value"))
+    return attributed(spark, sf).agg(F.count("*").alias("n"), F.round(F.sum("observed_sales"), 3).alias("sales"), F.count_if(F.abs(total - F.col("prediction")) < 1e-9).alias("adds_up"))
+
+
 @query("fc1_recover_demand", ctes=RECOVERED, sql="SELECT store_id, product_id, event_timestamp, stockout_flag, round(observed_sales, 6) AS observed_sales, round(recovered_demand, 6) AS recovered_demand FROM recovered")
 def _(spark, sf):
     rec = fc.recover_demand(hourly(spark, sf, True))
@@ -252,6 +279,32 @@ def _(spark, sf):
     return rounded(ks.select("feature", drift.ks_pvalue(F.col("ks"), F.col("n_base"), F.col("n_cur")).alias("p_value")))
 
 
+BALANCES = """marked AS (SELECT c_nationkey AS nation, c_acctbal AS value, 1 AS b, 0 AS c FROM customer UNION ALL SELECT s_nationkey, s_acctbal, 0, 1 FROM supplier
+), cum AS (SELECT nation, sum(sum(b)) OVER w / sum(sum(b)) OVER t AS fb, sum(sum(c)) OVER w / sum(sum(c)) OVER t AS fc, sum(sum(b)) OVER t AS n, sum(sum(c)) OVER t AS m FROM marked GROUP BY nation, value
+  WINDOW w AS (PARTITION BY nation ORDER BY value), t AS (PARTITION BY nation)
+), stat AS (SELECT nation, max(abs(fb - fc)) AS ks, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m FROM cum GROUP BY nation HAVING max(n) > 0 AND max(m) > 0
+), col AS (
+  SELECT nation, n, m, CAST(round(ks * n * m) AS BIGINT) AS edge, 0::BIGINT AS i,
+         list_transform(range(0, m + 1), lambda j: CASE WHEN j * n < CAST(round(ks * n * m) AS BIGINT) THEN 1.0::DOUBLE ELSE 0.0 END) AS paths,
+         list_transform(range(0, m + 1), lambda j: 1.0::DOUBLE) AS free FROM stat
+  UNION ALL
+  SELECT nation, n, m, edge, i + 1,
+         list_transform(range(0, m + 1), lambda j: CASE WHEN abs((i + 1) * m - j * n) >= edge THEN 0.0 ELSE list_sum(list_transform(range(0, j + 1), lambda k: CASE WHEN (i + 1) * m - k * n < edge THEN paths[k + 1] ELSE 0.0 END)) END),
+         list_transform(range(0, m + 1), lambda j: list_sum(free[1:j + 1]))
+  FROM col WHERE i < n
+)"""
+
+
+@query("dr3_exact_small_samples", ctes="RECURSIVE " + BALANCES, sql="""SELECT c.nation::VARCHAR AS feature, round(s.ks, 6) AS ks, c.n AS n_base, c.m AS n_cur,
+round(CASE WHEN edge <= 0 THEN 1 ELSE 1 - paths[c.m + 1] / free[c.m + 1] END, 6) AS p_value FROM col c JOIN stat s USING (nation) WHERE c.i = c.n""")
+def _(spark, sf):
+    """Balances of the customers of each nation against those of its suppliers: samples small enough for the exact p-value."""
+    both = [tables.table(spark, sf, t).select(F.col(f"{c}_nationkey").cast("string").alias("feature"), F.col(f"{c}_acctbal").alias("value"), F.lit(i).alias("side"))
+            for i, (t, c) in enumerate((("customer", "c"), ("supplier", "s")))]
+    counted = both[0].unionByName(both[1]).groupBy("feature", "value").agg(F.count_if(F.col("side") == 0).alias("nb"), F.count_if(F.col("side") == 1).alias("nc"))
+    return rounded(drift.ks_pvalue_by_size(drift.ks2(counted)).select("feature", "ks", "n_base", "n_cur", "p_value"))
+
+
 STATUS_SQL = """CASE WHEN psi >= 0.2 OR round(p::DOUBLE, 4) < 0.01 THEN 'CRITICAL_DRIFT' WHEN psi >= 0.1 THEN 'MODERATE_DRIFT' ELSE 'NO_DRIFT' END AS drift_status,
 psi >= 0.2 OR round(p::DOUBLE, 4) < 0.01 AS retrain_recommended"""
 
