@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.scores import band
@@ -53,6 +53,32 @@ def asof_dim(fact: DataFrame, dim: DataFrame, key: str, ts: Column) -> DataFrame
     return fact.join(d, on, "left").drop("_key")
 
 
+def asof_window(fact: DataFrame, dim: DataFrame, key: str, ts: Column, days: int = 92) -> DataFrame:
+    """The rows of ``asof_dim`` for versions that do not overlap, without a range join: the latest version is carried forward.
+
+    Versions and facts are put together and sorted by key and time once, so a fact is not paired with all versions of its
+    key. Time is cut into ranges of ``days``, which split a hot key over tasks; a version is there once for each range that it
+    reaches into, within the time that facts cover. Where versions overlap the one that began last counts. Facts
+    without key or time, or in no version, have NULL columns.
+    """
+    span = lambda c: F.floor(F.unix_date(F.to_date(c)) / days).cast("int")
+    time = lambda c: c.cast("timestamp_ntz")
+    payload = [c for c in dim.columns if c != key]
+    rows = fact.select(F.struct(*[fact[c] for c in fact.columns]).alias("_fact"), F.col(key).alias("_key"), time(ts).alias("_at"))
+    rows = rows.withColumns({"_range": span(F.col("_at")), "_side": F.lit(1)})
+    lone = F.col("_key").isNull() | F.col("_at").isNull()
+    covered = rows.where(~lone).agg(F.min("_range").alias("_lo"), F.max("_range").alias("_hi"))
+    reach = [F.greatest(span(F.col("effective_from")), F.col("_lo")), F.least(F.coalesce(span(F.col("effective_to")), F.col("_hi")), F.col("_hi"))]
+    versions = dim.where(F.col(key).isNotNull()).join(F.broadcast(covered)).where(reach[0] <= reach[1]).select(  # one row
+        F.col(key).alias("_key"), time(F.col("effective_from")).alias("_at"), F.explode(F.sequence(*reach)).alias("_range"), F.lit(0).alias("_side"),
+        F.struct(*payload).alias("_version"))
+    w = Window.partitionBy("_key", "_range").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.where(~lone).unionByName(versions, allowMissingColumns=True).withColumn("_version", F.last("_version", ignorenulls=True).over(w)).where("_side = 1")
+    found = carried.unionByName(rows.where(lone), allowMissingColumns=True)
+    valid = F.col("_at") < time(F.col("_version.effective_to"))
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_version.{c}")).alias(c) for c in payload])
+
+
 def cross_grid(df: DataFrame, **axes) -> DataFrame:
     """Each row with every combination of a few literal values per axis; no join is needed."""
     for name, values in axes.items():

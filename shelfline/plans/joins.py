@@ -64,18 +64,32 @@ def _(spark, sf):
     return joins.feature_extract(fact, stores)
 
 
-@query("j7_asof_dim", ctes=SCD2, sql="""SELECT l_orderkey, l_linenumber, l_partkey, o.o_custkey, s.o_orderpriority AS priority_then
+ASOF_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, o.o_custkey, s.o_orderpriority AS priority_then
 FROM lineitem JOIN orders o ON l_orderkey = o.o_orderkey
-LEFT JOIN scd s ON s.o_custkey = o.o_custkey AND CAST(l_shipdate AS DATE) >= s.effective_from AND CAST(l_shipdate AS DATE) < s.effective_to""")
-def _(spark, sf):
-    """The customer's priority at ship time."""
+LEFT JOIN scd s ON s.o_custkey = o.o_custkey AND CAST(l_shipdate AS DATE) >= s.effective_from AND CAST(l_shipdate AS DATE) < s.effective_to"""
+
+
+def lines_and_versions(spark, sf):
+    """Order lines with their customer, and the versions of the customers' priority."""
     lines = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("d"))
     o = tables.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    fact = lines.join(o, "l_orderkey")
-    dim = scd2_priority(spark, sf).withColumnRenamed("o_orderpriority", "priority_then")
+    return lines.join(o, "l_orderkey"), scd2_priority(spark, sf).withColumnRenamed("o_orderpriority", "priority_then")
+
+
+@query("j7_asof_dim", ctes=SCD2, sql=ASOF_SQL)
+def _(spark, sf):
+    """The customer's priority at ship time."""
+    fact, dim = lines_and_versions(spark, sf)
     return joins.asof_dim(fact, dim, "o_custkey", fact["d"]).select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "priority_then")
 
 
+@query("j7_asof_window", ctes=SCD2, sql=ASOF_SQL)
+def _(spark, sf):
+    """The same, with the latest version carried forward instead of a range join."""
+    fact, dim = lines_and_versions(spark, sf)
+    return joins.asof_window(fact, dim, "o_custkey", F.col("d")).select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "priority_then")
+
+
 @query("j8_cross_grid", sql="""SELECT p_partkey, markdown, policy, round(p_retailprice * (1 - markdown / 100.0), 4) AS price FROM part
 CROSS JOIN (SELECT unnest([0, 25, 50]) AS markdown) CROSS JOIN (SELECT unnest(['lean_90', 'balanced_97']) AS policy)""")
 def _(spark, sf):

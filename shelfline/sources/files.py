@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import source_split
+from shelfline.sources.hashes import file_hashes
 
 
 def read_raw(spark: SparkSession, path: str, schema=None, pattern: str = "*.parquet") -> DataFrame:
@@ -82,27 +83,13 @@ def json_to_arrays(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.from_json(F.col(c), f"array<{t}>") for c, t in spec.items()})
 
 
-def build_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def build_manifest(spark: SparkSession, path: str, pattern: str = "*", hashed: bool = True) -> DataFrame:
     """Name, relative path, size, sha256, split and flag of each file below a folder.
 
-    The files are hashed on the executors, one task per file group; a query that
-    leaves out ``sha256`` does not read the contents.
+    Files of any size are hashed on the executors block by block; without ``hashed`` they are only listed.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-    )
-    local = F.regexp_replace("path", "^[a-z0-9]+:/+", "/")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
-        F.element_at(F.split(local, F.lit(path.rstrip("/").rsplit("/", 1)[-1] + "/"), 2), -1).alias("relative_path"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        source_split(F.col("path")).alias("source_split"),
-        F.lit(False).alias("ingested"),
-    )
+    return file_hashes(spark, path, pattern, hashed).select(
+        "filename", "relative_path", "size_bytes", "sha256", source_split(F.col("path")).alias("source_split"), F.lit(False).alias("ingested"))
 
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:
