@@ -11,24 +11,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
+from shelfline.functions.arrays import as_array, open_slots
+from shelfline.operators.reshape import explode_hourly
 from shelfline.session import materialize
 
 RATE_KEYS = ["store_id", "product_id", "hour_of_day"]
 SCORE_DIGITS = 4  # fixed value: probabilities are stored with four decimals
 
 
-def score_by_rate(ops: DataFrame, cut: Column) -> DataFrame:
-    """Hours from the day ``cut`` on, scored with the stockout rate of the hours before it.
+def score_by_rate(daily: DataFrame, cut: Column) -> DataFrame:
+    """Trading hours from the day ``cut`` on, scored with the stockout rate of the days before it.
 
-    Levels: (store, product, hour), (product, hour), hour. Coarser ones are rolled up from the
-    finer ones; an hour that no level knows keeps its row without a probability.
+    Levels: (store, product, hour), (product, hour), hour. One aggregate folds the daily rows into arrays by hour for each
+    series; the coarser levels are rolled up from it and filled in at that size. The days to be scored
+    meet their series in one join, and hours are made last. An hour that no level knows keeps its row without a probability.
     """
-    counts = ops.where(F.col("event_date") < cut).groupBy(*RATE_KEYS).agg(F.sum("stockout_flag").alias("s0"), F.count("*").alias("n0"))
-    product = counts.groupBy("product_id", "hour_of_day").agg(F.sum("s0").alias("s1"), F.sum("n0").alias("n1"))
-    hour = product.groupBy("hour_of_day").agg(F.sum("s1").alias("s2"), F.sum("n1").alias("n2"))
-    rate = [F.round(F.col(f"s{i}") / F.col(f"n{i}"), SCORE_DIGITS) for i in range(3)]
-    rows = ops.where(F.col("event_date") >= cut).join(counts, RATE_KEYS, "left").join(product, ["product_id", "hour_of_day"], "left").join(hour, "hour_of_day", "left")
-    return rows.select(*[ops[c] for c in ops.columns], F.coalesce(*rate).alias("stockout_probability"))
+    slots = range(cal.CLOSE_HOUR - cal.OPEN_HOUR)
+    rows = daily.withColumns({"_o": open_slots(as_array(daily, "hours_stock_status", "int")), "_known": F.to_date("dt") < cut})
+
+    def arrays(df, keys, s, n, level):
+        return df.groupBy(*keys).agg(F.array(*[F.sum(s(i)) for i in slots]).alias(f"s{level}"), F.array(*[F.sum(n(i)) for i in slots]).alias(f"n{level}"))
+
+    flag = lambda i: F.when(F.col("_known"), F.get("_o", F.lit(i)))
+    own = arrays(rows, RATE_KEYS[:2], lambda i: F.coalesce(flag(i), F.lit(0)), lambda i: flag(i).isNotNull().cast("long"), 0)
+    product = arrays(own, ["product_id"], lambda i: F.get("s0", F.lit(i)), lambda i: F.get("n0", F.lit(i)), 1)
+    overall = arrays(product, [], lambda i: F.get("s1", F.lit(i)), lambda i: F.get("n1", F.lit(i)), 2)
+    share = lambda k, i: F.round(F.get(f"s{k}", F.lit(i)) / F.nullif(F.get(f"n{k}", F.lit(i)), F.lit(0)), SCORE_DIGITS)
+    rates = own.join(product, "product_id").join(F.broadcast(overall)).select(  # one row
+        *RATE_KEYS[:2], F.array(*[F.coalesce(*[share(k, i) for k in range(3)]) for i in slots]).alias("_rates"))
+    hours = explode_hourly(daily.where(F.to_date("dt") >= cut).join(rates, RATE_KEYS[:2]), operational=True)
+    return hours.withColumn("stockout_probability", F.get("_rates", F.col("hour_of_day") - cal.OPEN_HOUR)).drop("_rates")
 
 
 HOURS = list(range(cal.OPEN_HOUR, cal.CLOSE_HOUR))
@@ -46,13 +58,15 @@ def risk_features(ops: DataFrame, cut: Column) -> DataFrame:
     w = Window.partitionBy("store_id", "product_id").orderBy(F.unix_seconds(F.col("event_timestamp").cast("timestamp")))
     ago = lambda s: F.coalesce(F.max("stockout_flag").over(w.rangeBetween(-s, -s)), F.lit(0)).cast("double")
     odd, known = F.unix_date("event_date") % 2, F.col("event_date") < cut
+    series = ops.select("store_id", "product_id").distinct()
     rates = ops.where(known).groupBy("product_id").agg(
         *[F.avg(F.when(odd == i, F.col("stockout_flag").cast("double"))).alias(f"_r{1 - i}") for i in (0, 1)],
         F.avg(F.col("stockout_flag").cast("double")).alias("_r"))
     out = ops.withColumns({"prev_out": ago(3600), "day_out": ago(86400), "weekend": F.col("is_weekend").cast("double"),
                            "label": F.col("stockout_flag").cast("double"), "training": known})
     rate = F.when(F.col("training") & (odd == 0), F.col("_r0")).when(F.col("training"), F.col("_r1")).otherwise(F.col("_r"))
-    out = out.join(rates, "product_id", "left").withColumn("product_rate", F.coalesce(rate, F.col("_r"), F.lit(0.5)))
+    # the rate is attached to the series, whose rows the window has brought together already
+    out = out.join(series.join(rates, "product_id", "left"), ["store_id", "product_id"], "left").withColumn("product_rate", F.coalesce(rate, F.col("_r"), F.lit(0.5)))
     return materialize(out.drop("_r0", "_r1", "_r"), "risk-features")
 
 

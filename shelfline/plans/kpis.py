@@ -156,7 +156,8 @@ SCORED = HOURLY + """, rate0 AS (SELECT store_id, product_id, hour_of_day, sum(s
 def scored(spark, sf):
     from shelfline.operators.risk import score_by_rate
 
-    return score_by_rate(hourly(spark, sf, True), cut(spark, sf))
+    daily = materialize(tables.daily(spark, sf), "daily")
+    return score_by_rate(daily, features.cut_day(daily, "dt"))
 
 
 @query("kp16_pr_auc", ctes=SCORED, sql="""SELECT round(sum(pos / total * cum_pos / cum_n), 6) AS pr_auc FROM (

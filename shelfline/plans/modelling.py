@@ -12,6 +12,7 @@ from shelfline.plans.catalog import HOURLY, ORDER_DEMAND, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.plans.ingestion import UNIFORM
 from shelfline.plans.kpis import EVALUATED, FVA, RECOVERED, SCORED, cut, evaluated, recovered, scored, with_baseline
+from shelfline.session import materialize
 from shelfline.sources import tables
 
 
@@ -189,7 +190,8 @@ def _(spark, sf):
 
 
 def logistic_scores(spark, sf):
-    rows = risk.risk_features(hourly(spark, sf, True), cut(spark, sf))
+    ops = materialize(hourly(spark, sf, True), "risk-hours")
+    rows = risk.risk_features(ops, features.cut_day(ops, "event_date"))
     return risk.risk_model(rows.filter("training")).score(rows.filter("NOT training"))
 
 
@@ -213,13 +215,17 @@ def _(spark, sf):
     return gold.fact_stockout_risk(scored(spark, sf), "r").groupBy("risk_tier", "is_alert").agg(F.count("*").alias("n"))
 
 
-@query("rk3_calibration")
+@query("rk3_calibration", ctes=SCORED + """, points AS (SELECT p, row_number() OVER (ORDER BY p) AS i, count(*) AS n, sum(stockout_flag) AS pos FROM scored GROUP BY p
+), sums AS (SELECT *, sum(n) OVER (ORDER BY i) AS upto_n, sum(pos) OVER (ORDER BY i) AS upto_pos FROM points
+), means AS (SELECT a.i, b.i AS j, min((b.upto_pos - a.upto_pos + a.pos) / (b.upto_n - a.upto_n + a.n)::DOUBLE) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS least FROM sums a JOIN sums b ON b.i >= a.i
+), fitted AS (SELECT j AS i, max(least) AS v FROM means GROUP BY j)""",
+       sql="SELECT p AS stockout_probability, n, round(pos / n::DOUBLE, 6) AS observed_rate, round(v, 6) AS calibrated FROM points JOIN fitted USING (i)")
 def _(spark, sf):
-    """Calibrated probability of each raw score."""
-    s = scored(spark, sf)
+    """Calibrated probability of each raw score: in SQL, the greatest over starts of the least over ends of the mean between them."""
+    s = materialize(scored(spark, sf).select("stockout_probability", "stockout_flag"), "scored")
     model = risk.calibrate(s)
     points = s.groupBy("stockout_probability").agg(F.count("*").alias("n"), F.avg("stockout_flag").alias("observed_rate"))
-    return model.transform(points.withColumn("features", F.col("stockout_probability"))).select("stockout_probability", "n", "observed_rate", F.col("prediction").alias("calibrated"))
+    return rounded(model.transform(points.withColumn("features", F.col("stockout_probability"))).select("stockout_probability", "n", "observed_rate", F.col("prediction").alias("calibrated")))
 
 
 @query("rk3_reliability", ctes=SCORED, sql="SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS n, round(avg(p), 6) AS mean_score, round(avg(stockout_flag), 6) AS observed_rate FROM scored GROUP BY ALL")

@@ -176,7 +176,11 @@ def hours(spark, rows):
 def test_a_series_that_starts_after_the_cut_is_scored(spark):
     rows = hours(spark, [(1, 1, d, 8, d % 2) for d in range(1, 11)] + [(2, 1, 10, 8, 1), (3, 9, 10, 8, 0), (3, 9, 10, 9, 0)])
     cut = F.lit("2024-01-08").cast("date")
-    got = {(r.store_id, r.hour_of_day): r.stockout_probability for r in risk.score_by_rate(rows, cut).filter("event_date = '2024-01-10'").collect()}
+    days = rows.groupBy("store_id", "product_id", F.col("event_date").cast("string").alias("dt")).agg(
+        *[F.max(F.when(F.col("hour_of_day") == h, F.col("stockout_flag"))).alias(f"h{h}") for h in range(24)])
+    daily = days.select("store_id", "product_id", "dt", F.lit(0.0).alias("discount"), F.array_repeat(F.lit(0.0), 24).alias("hours_sale"), F.array(*[F.col(f"h{h}") for h in range(24)]).alias("hours_stock_status"))
+    scored = risk.score_by_rate(daily, cut).filter("event_date = '2024-01-10' AND stockout_flag IS NOT NULL")
+    got = {(r.store_id, r.hour_of_day): r.stockout_probability for r in scored.collect()}
     # own rate, the product's rate, the hour's rate, none
     assert got == {(1, 8): 0.5714, (2, 8): 0.5714, (3, 8): 0.5714, (3, 9): None}
     out = forecast.with_forecast(rows.where(F.col("event_date") >= cut), rows.where(F.col("event_date") < cut))
