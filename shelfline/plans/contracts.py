@@ -25,14 +25,6 @@ def group_report(rule, severity, keys, bad, source):
             f"count(*) FILTER (WHERE {bad}) = 0 AS passed FROM (SELECT count(*) AS n FROM {source} GROUP BY {keys})")
 
 
-@query("dq1_schema_match", ctes=BRONZE, sql="""SELECT column_name, kind, present FROM (
-SELECT unnest(['store_id','product_id','dt','weather_main']) AS column_name, 'expected' AS kind, unnest([true,true,true,false]) AS present
-UNION ALL SELECT unnest(['sale_amount','hours_sale']), 'unexpected', true)""")
-def _(spark, sf):
-    df = tables.bronze(spark, sf).select("store_id", "product_id", "dt", "sale_amount", "hours_sale")
-    return rules.schema_match(df, {c: "" for c in ("store_id", "product_id", "dt", "weather_main")})
-
-
 @query("dq1_schema_report", ctes=BRONZE, sql="""SELECT unnest(['store_id', 'product_id', 'dt', 'weather_main', 'sale_amount', 'hours_sale']) AS column_name,
 unnest(['expected', 'expected', 'expected', 'expected', 'unexpected', 'unexpected']) AS kind, unnest([true, true, true, false, true, true]) AS present,
 unnest([count(store_id), count(product_id), count(dt), NULL, count(sale_amount), count(hours_sale)]) AS filled FROM bronze""")

@@ -115,6 +115,35 @@ def _(spark, sf):
     return files.pending_files(files.parquet_files(m)).select("filename", "size_bytes", "ingested")
 
 
+LISTED = """listed AS (SELECT 'part-' || p_partkey || CASE WHEN p_size % 2 = 0 THEN '.parquet' ELSE '.csv' END AS filename, sha256(p_name) AS sha256, CAST(p_size AS BIGINT) AS size_bytes, p_partkey FROM part
+), found AS (SELECT filename, CASE WHEN p_partkey % 5 = 0 THEN sha256(p_name || '!') ELSE sha256(p_name) END AS actual FROM listed JOIN part USING (p_partkey) WHERE p_partkey % 7 <> 0)"""
+
+
+def listed_parts(spark, sf):
+    """A manifest with a file for each part; its hash is that of the part's name."""
+    name = F.concat(F.lit("part-"), F.col("p_partkey").cast("string"), F.when(F.col("p_size") % 2 == 0, ".parquet").otherwise(".csv"))
+    return tables.table(spark, sf, "part").select(
+        name.alias("filename"), name.alias("relative_path"), F.sha2("p_name", 256).alias("sha256"), F.col("p_size").cast("bigint").alias("size_bytes"),
+        F.lit(False).alias("ingested"), "p_partkey", "p_name")
+
+
+@query("io12_verify_parts", ctes=LISTED, sql="""SELECT l.filename, CASE WHEN f.filename IS NULL THEN 'MISSING' WHEN f.actual = l.sha256 THEN 'OK' ELSE 'CORRUPTED' END AS status FROM listed l LEFT JOIN found f USING (filename)""")
+def _(spark, sf):
+    """Files of a manifest that are gone, changed or unchanged in a second scan."""
+    listed = listed_parts(spark, sf)
+    changed = F.when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name"))
+    scanned = listed.where("p_partkey % 7 <> 0").withColumn("sha256", F.sha2(changed, 256))
+    return files.verify_manifest(listed, scanned).select("filename", "status")
+
+
+@query("io13_pending_parts", ctes=LISTED, sql="SELECT filename, size_bytes FROM listed WHERE filename LIKE '%.parquet' AND filename <> 'part-' || (SELECT min(p_partkey) FROM listed WHERE filename LIKE '%.parquet') || '.parquet'")
+def _(spark, sf):
+    """Parquet files that wait, after the first of them was marked as ingested."""
+    waiting = files.parquet_files(listed_parts(spark, sf))
+    first = waiting.agg(F.concat(F.lit("part-"), F.min("p_partkey").cast("string"), F.lit(".parquet"))).scalar()
+    return files.pending_files(files.mark_ingested(waiting, first)).select("filename", "size_bytes")
+
+
 @query("io14_run_log", ctes=BRONZE, sql="""SELECT 'run-1' AS pipeline_run_id, 'bronze_to_silver' AS pipeline_name, 'SUCCESS' AS status,
 count(*) AS source_rows, CAST(sum(is_valid::INT) AS BIGINT) AS accepted_rows, CAST(sum((NOT is_valid)::INT) AS BIGINT) AS rejected_rows,
 60.0::DOUBLE AS duration_seconds FROM checked""")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import source_split
@@ -119,5 +119,5 @@ def parquet_files(manifest: DataFrame) -> DataFrame:
     return manifest.filter(F.col("filename").endswith(".parquet"))
 
 
-def mark_ingested(manifest: DataFrame, filename: str) -> DataFrame:
+def mark_ingested(manifest: DataFrame, filename: str | Column) -> DataFrame:
     return manifest.withColumn("ingested", F.col("ingested") | (F.col("filename") == filename))
