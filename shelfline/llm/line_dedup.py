@@ -141,10 +141,11 @@ def without_repeated_lines(docs: DataFrame, least: int = 20, documents: int = 3,
         np.bitwise_or.at(seen_twice, at >> 3, (1 << (at & 7)).astype(np.uint8))
     sent = docs.sparkSession.sparkContext.broadcast(seen_twice.tobytes())
     suspects = store(rows.select("doc", "text").mapInArrow(suspected(sent, bits, probes, least), "doc long, line_key binary"), "suspects")
-    frequent = suspects.groupBy("line_key").agg(F.countDistinct("doc").alias("n"), F.max("doc").alias("keeper")).filter(F.col("n") >= documents)
+    # stored, and no aggregate on the line above the join, so that the join can split a line that very many documents share
+    frequent = store(suspects.groupBy("line_key").agg(F.countDistinct("doc").alias("n"), F.max("doc").alias("keeper")).filter(F.col("n") >= documents), "frequent")
     drops = (
-        suspects.join(frequent, "line_key").filter("doc <> keeper").select("doc", "line_key").distinct()
-        .groupBy("doc").agg(F.collect_list("line_key").alias("drops"))
+        suspects.join(frequent, "line_key").filter("doc <> keeper")
+        .groupBy("doc").agg(F.collect_set("line_key").alias("drops"))
     )
     # the drops are the hashed side, so the texts are not sorted
     return rows.join(drops.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "drops").mapInArrow(
