@@ -50,14 +50,27 @@ def _fact_cols(df):
                      "discount_factor", "activity_flag", "holiday_flag", "recovered_demand", "source_batch_id")
 
 
-@query("gd4_fact_sales_hourly", ctes=HOURLY, sql=FACT_SQL)
-def _(spark, sf):
-    """Two loads into a table with a partition for each day: the first lacks the later days and some earlier ones of some series."""
+def sales_deliveries(spark, sf):
+    """The fact rows of two deliveries: the first lacks the later days and some earlier ones of some series."""
     d = materialize(tables.daily(spark, sf), "daily")
     stores, products = materialize(gold.dim_store(d, gold.dim_city(d)), "stores"), materialize(gold.dim_product(d), "products")
+    return [gold.sales_from_daily(x, stores, products, "b1") for x in (d.where(f"to_date(dt) < date'{SPLIT_TS}' AND NOT {LATE}"), d)]
+
+
+@query("gd4_fact_sales_hourly", ctes=HOURLY, sql=FACT_SQL)
+def _(spark, sf):
+    """A first load, then the rows that it lacks by the marks of its series."""
+    first, whole = sales_deliveries(spark, sf)
+    loaded = materialize(first, "fact-sales")
+    return _fact_cols(loaded.unionByName(incremental.arrivals(whole, loaded, incremental.high_water(loaded, "event_timestamp"), "event_timestamp", "date_key")))
+
+
+@query("gd4_partitioned_load", ctes=HOURLY, sql=FACT_SQL)
+def _(spark, sf):
+    """The same deliveries, loaded into a stored table with a partition for each day."""
     path = scratch_path(spark, "fact-sales")
-    for delivered in (d.where(f"to_date(dt) < date'{SPLIT_TS}' AND NOT {LATE}"), d):
-        incremental.load(gold.sales_from_daily(delivered, stores, products, "b1"), path, "event_timestamp", "date_key")
+    for delivered in sales_deliveries(spark, sf):
+        incremental.load(delivered, path, "event_timestamp", "date_key")
     return _fact_cols(spark.read.parquet(path))
 
 
