@@ -50,6 +50,81 @@ def recover_demand(ops: DataFrame) -> DataFrame:
     return ops.join(cells, CELL, "left").withColumn("recovered_demand", value.otherwise(F.col("observed_sales"))).drop("expected_sales")
 
 
+def above_cut(rows: DataFrame, value: str, cut: Column, least: int = 20, levels=(CELL, CELL[:3], CELL[:2])) -> DataFrame:
+    """``expected_above``: the mean of what a row would have been, given that it is above its cut value.
+
+    ``cut`` marks rows whose ``value`` is only a lower bound. The survival curve of a level is the product-limit estimate: at each
+    distinct value, the share of the rows still at risk that end there; rows cut at a value leave after it. The expected value above
+    v is v plus the area under the curve beyond v, divided by its height at v; a largest value that is cut counts as an end.
+    The finest level with ``least`` rows that are not cut decides, and else the last level; without any such row the result is null.
+    Rows with a null value, or of a null ``cut``, take no part and get null; rows with equal values count each.
+
+    All levels begin with the series, so there is one exchange and no join; a window holds the hours of a series, which the calendar
+    bounds. Sums over what follows run on the reversed order, as a frame that shrinks would be added up again for each row.
+    """
+    part = rows.withColumns({"_v": F.when(cut.isNotNull(), F.col(value)), "_cut": cut}).repartition(*levels[-1])
+    shown, estimates = [], []
+    for i, keys in enumerate(levels):
+        names = {n: f"_{n}{i}" for n in ("ends", "share", "next", "log", "step", "area")}
+        col = {n: F.col(c) for n, c in names.items()}
+        # rows without a value are apart, so that they are in no frame
+        group = Window.partitionBy(*keys, F.col("_v").isNull())
+        up, down = group.orderBy("_v"), group.orderBy(F.desc("_v"))
+        peers, upto = up.rangeBetween(0, 0), up.rangeBetween(Window.unboundedPreceding, 0)
+        ended = F.when(~F.col("_cut"), 1)
+        at_risk = F.count("_v").over(group) - F.rank().over(up) + 1
+        part = part.withColumns({
+            names["ends"]: F.count(ended).over(group), names["share"]: 1 - F.count(ended).over(peers) / F.nullif(at_risk, F.lit(0)),
+            names["next"]: F.lead("_v").over(up), "_first": F.rank().over(up) == F.row_number().over(up)})
+        # the share is zero at the largest value only, where no area follows
+        part = part.withColumn(names["log"], F.coalesce(F.sum(F.when(F.col("_first") & (col["share"] > 0), F.ln(col["share"]))).over(upto), F.lit(0.0)))
+        part = part.withColumn(names["step"], F.coalesce(F.exp(col["log"]) * (col["next"] - F.col("_v")), F.lit(0.0)))
+        part = part.withColumn(names["area"], F.sum(col["step"]).over(down.rangeBetween(Window.unboundedPreceding, 0)))
+        enough = col["ends"] >= (least if i < len(levels) - 1 else 1)
+        estimates.append(F.when(enough & F.col("_v").isNotNull(), F.col("_v") + col["area"] / F.exp(col["log"])))
+    return part.select(*rows.columns, F.coalesce(*estimates).alias("expected_above"))
+
+
+def recover_censored(ops: DataFrame, least: int = 20) -> DataFrame:
+    """``cut_short`` and ``recovered_demand`` by the product-limit estimate, in place of the mean of hours in stock.
+
+    Sales are a lower bound in a stockout hour and in the trading hour just before a stockout of the same day, in which the shelf ran empty.
+    Such hours get the expected demand above what they sold; the others, and hours without an estimate, keep their sales.
+    """
+    day = Window.partitionBy("store_id", "product_id", "event_date").orderBy("event_timestamp")
+    short = (F.col("stockout_flag") == 1) | F.coalesce(F.lead("stockout_flag").over(day) == 1, F.lit(False))
+    marked = above_cut(ops.withColumn("cut_short", short), "observed_sales", F.col("cut_short"), least)
+    value = F.when(F.col("cut_short"), F.coalesce("expected_above", "observed_sales")).otherwise(F.col("observed_sales"))
+    return marked.withColumn("recovered_demand", value).drop("expected_above")
+
+
+def hidden_cuts(ops: DataFrame, fraction: float = 0.5, seed: int = 42) -> DataFrame:
+    """Known hours with ``truth``, ``sold`` and ``cut``: a hashed share runs out at a hashed part of the largest sale of its series.
+
+    Where a row is cut does not depend on what it sold, so an estimate of the rows above their cut can be held against the truth.
+    """
+    key = [F.col(c) for c in ("store_id", "product_id", "event_timestamp")]
+    most = F.max("observed_sales").over(Window.partitionBy("store_id", "product_id"))
+    stock = F.when(hash_uniform(seed, *key) < fraction, hash_uniform(seed + 1, *key) * most)
+    known = ops.filter("stockout_flag = 0").withColumns({"truth": F.col("observed_sales"), "stock": stock})
+    return known.select(*CELL, "event_timestamp", "truth", F.least("truth", "stock").alias("sold"),
+                        F.coalesce(F.col("stock") < F.col("truth"), F.lit(False)).alias("cut"))
+
+
+def cut_backtest(cuts: DataFrame, least: int = 20) -> DataFrame:
+    """Errors of both recoveries on the hours of ``hidden_cuts`` that were cut: ``method`` mean or product_limit, and their metrics.
+
+    The mean is that of the uncut hours by the levels of ``expected_sales``, and never below what was sold.
+    """
+    limits = above_cut(cuts, "sold", F.col("cut"), least)
+    means = expected_sales(cuts.withColumnRenamed("sold", "observed_sales"), ~F.col("cut"))
+    both = limits.filter("cut AND expected_above IS NOT NULL").join(means, CELL).filter("expected_sales IS NOT NULL")
+    forms = F.array(
+        F.struct(F.lit("mean").alias("method"), F.greatest("sold", "expected_sales").alias("estimate")),
+        F.struct(F.lit("product_limit").alias("method"), F.col("expected_above").alias("estimate")))
+    return forecast_metrics(both.select("truth", F.explode(forms).alias("f")).select("truth", "f.*"), "truth", "estimate", ["method"])
+
+
 def forecast_quantiles(train: DataFrame, target: str = "recovered_demand", horizons=HORIZONS) -> DataFrame:
     """Empirical quantiles per cell of the training window, repeated per horizon.
 

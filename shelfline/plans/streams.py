@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from shelfline.plans.catalog import POS, query, rounded
 from shelfline.session import scratch_path
 from shelfline.sources import tables
+from shelfline.streaming import silence
 from shelfline.streaming import velocity as v
 
 VEL = POS + """, spread AS (SELECT store_id, product_id, transaction_id, units_sold, time_bucket(INTERVAL 10 MINUTE, timestamp) - INTERVAL 10 MINUTE * i AS window_start
@@ -104,6 +107,22 @@ def _(spark, sf):
     return found.filter("NOT open").select("store_id", "product_id", "first_start", "last_start")
 
 
+@query("st7_silence_timers", ctes=BUSY + """, marks AS (SELECT max(timestamp) - INTERVAL 15 MINUTE AS mark FROM pos
+  UNION ALL SELECT max(timestamp) - INTERVAL 15 MINUTE FROM pos WHERE timestamp < TIMESTAMP '2024-01-10'
+  UNION ALL SELECT max(timestamp) - INTERVAL 15 MINUTE FROM pos WHERE timestamp < TIMESTAMP '2024-01-20'
+), settled AS (SELECT mark, store_id, product_id, max(b) AS b FROM busy JOIN marks ON b + INTERVAL 10 MINUTE <= mark GROUP BY ALL)""",
+       sql="""SELECT store_id, product_id, b + INTERVAL 10 MINUTE AS first_start, nxt - INTERVAL 2 HOUR AS last_start, false AS open FROM steps
+WHERE b + INTERVAL 130 MINUTE <= nxt AND nxt + INTERVAL 10 MINUTE <= (SELECT max(mark) FROM marks)
+UNION ALL SELECT DISTINCT store_id, product_id, b + INTERVAL 10 MINUTE, CAST(NULL AS TIMESTAMP), true FROM settled WHERE b + INTERVAL 130 MINUTE <= mark""")
+def _(spark, sf):
+    """Alerts of silent series at their timers, and the closed gaps, of a history that comes in three slices."""
+    base = scratch_path(spark, "timers")
+    history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for _ in v.released(history, base + "/in", ["2024-01-10", "2024-01-20"]):
+        found = silence.run_silence(v.read_pos_stream(spark, base + "/in", history.schema, max_files=None), base, lifetime=timedelta(days=366))
+    return found
+
+
 @query("st8_replay", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags")
 def _(spark, sf):
     """History replayed in event-time slices gives the batch result."""

@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from shelfline.session import scratch_path
+from shelfline.streaming import silence
 from shelfline.streaming import velocity as v
 
 
@@ -82,3 +83,61 @@ def test_silent_series_are_open_until_they_sell(spark):
     closed = {(r.store_id, r.first_start, r.last_start) for r in found.filter("NOT open").collect()}
     batch = {(r.store_id, r.first_start, r.last_start) for r in v.silent_intervals(history.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))).collect()}
     assert closed <= batch
+
+
+SALE = "timestamp timestamp, store_id int, product_id int, transaction_id bigint, units_sold double"
+
+
+def at(hours):
+    return datetime.datetime(2024, 1, 1, 8) + datetime.timedelta(hours=hours)
+
+
+def feed(spark, base, rows, **settings):
+    """One slice of sales as one run; all rows found so far and the most state rows that a batch of the run changed."""
+    spark.createDataFrame([(t, store, 1, 1, 1.0) for t, store in rows], SALE).coalesce(1).write.mode("append").parquet(base + "/in")
+    query = silence.start_silence(v.read_pos_stream(spark, base + "/in", max_files=None), base, **settings)
+    query.awaitTermination()
+    changed = [op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"] if op["operatorName"].startswith("transformWithState")]
+    found = spark.read.schema(silence.FOUND).parquet(base + "/silence").collect()
+    return sorted(((r.store_id or 0, r.first_start, r.last_start, r.open) for r in found), key=str), max(changed, default=0)
+
+
+def test_silence_is_reported_by_its_timer(spark):
+    base, minutes = scratch_path(spark, "timers"), datetime.timedelta(minutes=1)
+    found, _ = feed(spark, base, [(at(0), 1), (at(0), 1), (at(0), 2), (at(1), 2)])
+    assert found == []
+    # store 1 does not sell again: the watermark of the sales of store 2 wakes it; its own gap is closed later
+    found, _ = feed(spark, base, [(at(2.5), 2)])
+    assert found == [(1, at(0) + 10 * minutes, None, True)]
+    found, _ = feed(spark, base, [(at(6), 1), (at(6.5), 2), (at(8), 2)])
+    closed = {(r.store_id, r.first_start, r.last_start) for r in v.silent_intervals(
+        spark.createDataFrame([(at(0), 1), (at(6), 1)], "timestamp timestamp_ntz, store_id int").withColumn("product_id", F.lit(1))).collect()}
+    assert {f[:3] for f in found if f[0] == 1 and not f[3]} <= closed
+    assert (1, at(0) + 10 * minutes, at(4), False) in found
+    assert (2, at(2.5) + 10 * minutes, at(4.5), False) in found
+
+
+def test_late_sales_split_no_settled_silence(spark):
+    """A sale that is late within the delay moves the end of the gap, whatever batch it comes in; a later one is dropped."""
+    base = scratch_path(spark, "timers")
+    feed(spark, base, [(at(0), 1), (at(4), 1)])
+    feed(spark, base, [(at(3.8), 1), (at(1), 1)])
+    found, _ = feed(spark, base, [(at(5), 1), (None, 1)])
+    assert [f[1:] for f in found if not f[3]] == [(at(0) + datetime.timedelta(minutes=10), at(3.8).replace(minute=40) - datetime.timedelta(hours=2), False)]
+
+
+def test_state_changes_with_active_series_only(spark):
+    base = scratch_path(spark, "timers")
+    _, first = feed(spark, base, [(at(0), s) for s in range(1, 41)] + [(at(0.5), 1)])
+    _, second = feed(spark, base, [(at(1), 1)])
+    assert first >= 40 > 8 >= second
+
+
+def test_a_forgotten_series_starts_anew(spark):
+    base, day = scratch_path(spark, "timers"), datetime.timedelta(hours=24)
+    feed(spark, base, [(at(0), 1), (at(0), None)], lifetime=day)
+    feed(spark, base, [(at(30), 2)], lifetime=day)
+    found, _ = feed(spark, base, [(at(40), 1), (at(42), 2), (at(43), 2)], lifetime=day)
+    ten = datetime.timedelta(minutes=10)
+    assert [f[1:] for f in found if f[0] == 1] == [(at(0) + ten, None, True), (at(40) + ten, None, True)]
+    assert [f[1:] for f in found if f[0] == 0] == [(at(0) + ten, None, True)]  # a null store is a series too
