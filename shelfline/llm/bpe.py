@@ -16,10 +16,8 @@ from shelfline.llm.common import text_or_empty
 
 #: The pre-tokenization pattern of this vocabulary
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: a single blank beside other white space; without any, every blank starts a pre-token
-MIXED = regex.compile(r"\s |^ | \s| $")
-#: pieces in one of the two generations that each worker remembers
-REMEMBERED = 150_000
+#: pre-tokens in one of the two generations that each worker remembers
+REMEMBERED = 200_000
 #: characters of text that are encoded together
 SLICE = 1 << 22
 NEVER = 1 << 60
@@ -178,36 +176,28 @@ class PrefixEncoder:
                 end -= sizes[last[end]]
             yield word, tuple(reversed(ids))
 
-    def pieces(self, text: str) -> list[str]:
-        """Strings that are encoded apart: the text at its blanks, or its pre-tokens where blanks meet other white space."""
-        if MIXED.search(text):
-            return SPLIT.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
-
     def cut(self, text: str) -> list[str]:
-        """The pieces of a text, special tokens among them."""
+        """The pre-tokens of a text, which are encoded apart, special tokens among them."""
         if not self.special:
-            return self.pieces(text)
-        return [p for x in self.cut_special.split(text) for p in ([x] if x in self.special else self.pieces(x))]
+            return SPLIT.findall(text)
+        return [p for x in self.cut_special.split(text) for p in ([x] if x in self.special else SPLIT.findall(x))]
 
     def remember(self, pieces: set[str]) -> None:
-        """Encode the pieces that are not known, pre-token by pre-token; each distinct one once."""
+        """Encode the pre-tokens that are not known; each distinct one once."""
         if len(self.known) >= REMEMBERED:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
+        known, older, bytes_of = self.known, self.older, self.bytes_of
+        new = {}
         for p in pieces - known.keys():
             kept = older.get(p)
             if kept:
                 known[p] = kept
+            elif p in self.special:
+                known[p] = ((self.special[p],), str(self.special[p]), bytes_of[self.special[p]])
             else:
-                new.append(p)
-        split = {p: [x.encode() for x in SPLIT.findall(p)] for p in new if p not in self.special}
-        ids = dict(self.encode_words({w for ws in split.values() for w in ws}))
-        for p in new:
-            own = tuple(i for w in split[p] for i in ids[w]) if p in split else (self.special[p],)
-            known[p] = (own, ",".join(map(str, own)), b"".join([self.bytes_of[i] for i in own]))
+                new[p.encode()] = p
+        for word, ids in self.encode_words(new):
+            known[new[word]] = (ids, ",".join(map(str, ids)), b"".join([bytes_of[i] for i in ids]))
 
     def encode_texts(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
         """For each text what its pieces are encoded to: ids, their decimal string, their bytes."""
