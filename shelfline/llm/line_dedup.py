@@ -72,19 +72,37 @@ def touched_bits(bits: int, probes: int, least: int, salts: int):
     return run
 
 
-def merge_bits(table: pa.Table) -> pa.Table:
-    """Both filters of one segment from those of several tasks: a bit that two of them touch is seen twice."""
+def met(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The touched bits and those seen twice of one segment, from those of several tasks: a bit that two of them touch is seen twice."""
     once, twice = np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
     for o, t in zip(table.column("once"), table.column("twice")):
         for buffer, again in ((o, False), (t, True)):
             at = np.frombuffer(buffer.as_buffer(), np.uint32) if len(buffer.as_buffer()) else np.zeros(0, np.uint32)
             twice[at if again else at[once[at]]] = True
             once[at] = True
+    return once, twice
+
+
+def merge_bits(table: pa.Table) -> pa.Table:
+    once, twice = met(table)
     return pa.table({
         "segment": table.column("segment")[:1].cast(pa.int32()), "salt": pa.array([0], pa.int32()),
         "once": pa.array([np.flatnonzero(once & ~twice).astype(np.uint32).tobytes()]), "twice": pa.array([np.flatnonzero(twice).astype(np.uint32).tobytes()])})
 
 
+def twice_bitmap(table: pa.Table) -> pa.Table:
+    """The segment of the second filter, packed."""
+    return pa.table({"segment": table.column("segment")[:1].cast(pa.int32()), "packed": pa.array([np.packbits(met(table)[1], bitorder="little").tobytes()])})
+
+
+def filter_bits(lines: int, bits_a_line: int, most_bits: int) -> int:
+    """Bits of a filter for that many lines: a power of two with at least ``bits_a_line`` for each, up to ``most_bits``."""
+    bits = SEGMENT
+    while bits < most_bits and bits < lines * bits_a_line:
+        bits *= 2
+    return bits
+
+
 def suspected(filter_of, bits: int, probes: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(filter_of.value, np.uint8)
@@ -116,7 +134,8 @@ def drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_lines", "n_dropped", "kept"])
 
 
-def without_repeated_lines(docs: DataFrame, least: int = 20, documents: int = 3, bits: int = 1 << 27, probes: int = 3, salts: int = 64) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, least: int = 20, documents: int = 3, bits: int | None = None, probes: int = 3, salts: int = 64,
+                           bits_a_line: int = 8, most_bits: int = 1 << 30) -> DataFrame:
     """Each document without the lines that ``documents`` or more documents share: doc_id, n_lines, n_dropped, kept (UTF-8 bytes).
 
     A line's key is the line stripped of ASCII white space and with A-Z lowered. A frequent key of at
@@ -125,21 +144,24 @@ def without_repeated_lines(docs: DataFrame, least: int = 20, documents: int = 3,
     Every (document, key) touches ``probes`` bits. A bit touched twice, in one task or in two, is set in
     the second filter; a key in two documents has all its bits there, so only keys found there can repeat.
     These suspects alone are shuffled, with their text, counted exactly, and dropped.
-    The filters have ``bits`` bits at every size (16 MB each), which is what is broadcast. A filter that is too small
-    for the input lets more lines through to the exact count and changes no result.
+    The lines of at least ``least`` code points are counted first; the filters have 8 to 16 bits for each (``bits_a_line``), so that
+    1 to 3 % of the lines that do not repeat pass as suspects at any size up to ``most_bits`` (128 MB, some 130 million lines), which is
+    what is broadcast at most. Beyond it, or with a smaller ``bits``, more lines go through to the exact count and no result changes.
 
     Null text counts as one empty line. A null doc_id is one document, below all others; rows that share a
     doc_id are one document for the count. Lines of a frequent key that repeat inside the document
     which keeps it all stay. An empty table gives no rows.
     """
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), text_or_empty().cast("binary").alias("text"))
+    if bits is None:
+        lines = docs.agg(F.sum(F.regexp_count(text_or_empty(), F.lit(f"[^\\n]{{{least},}}"))).alias("n")).first()["n"]
+        bits = filter_bits(lines or 0, bits_a_line, most_bits)
     touched = rows.select("text").mapInArrow(touched_bits(bits, probes, least, salts), BITS)
-    merged = touched.groupBy("segment", "salt").applyInArrow(merge_bits, BITS).groupBy("segment").applyInArrow(merge_bits, BITS)
-    seen_twice = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("segment", "twice").collect():  # one row for each of bits / SEGMENT segments
-        at = np.frombuffer(row["twice"], np.uint32).astype(np.int64) + row["segment"] * SEGMENT
-        np.bitwise_or.at(seen_twice, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    sent = docs.sparkSession.sparkContext.broadcast(seen_twice.tobytes())
+    merged = touched.groupBy("segment", "salt").applyInArrow(merge_bits, BITS).groupBy("segment").applyInArrow(twice_bitmap, "segment int, packed binary")
+    seen_twice = bytearray(bits // 8)
+    for row in merged.collect():  # one row of 128 KB for each of bits / SEGMENT segments
+        seen_twice[row["segment"] * SEGMENT // 8:(row["segment"] + 1) * SEGMENT // 8] = row["packed"]
+    sent = docs.sparkSession.sparkContext.broadcast(bytes(seen_twice))
     suspects = store(rows.select("doc", "text").mapInArrow(suspected(sent, bits, probes, least), "doc long, line_key binary"), "suspects")
     # stored, and no aggregate on the line above the join, so that the join can split a line that very many documents share
     frequent = store(suspects.groupBy("line_key").agg(F.countDistinct("doc").alias("n"), F.max("doc").alias("keeper")).filter(F.col("n") >= documents), "frequent")
