@@ -35,6 +35,7 @@ def record_chunks(pages: DataFrame, least: int = 1000, chunk_bytes: int = 1 << 1
         rows.filter(F.col("n") >= least).groupBy("same", "n").agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("records"))
         .filter("records > 1").drop("records")
     )
+    repeated = store(repeated, "repeated")  # so that the join can split the copies of a page that very many rows hold
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     url = F.regexp_replace(F.coalesce("url", F.lit("urn:unknown")), r"[\x00-\x20\x7f]", "%20")
     own, first = record_id(F.col("page_id")), F.col("chunk_no") == 0
@@ -196,6 +197,7 @@ def archived_pages(pages: DataFrame, least: int = 1000, chunk_bytes: int = 1 <<
         own.join(wanted, F.col("page_id") == F.col("full_id"), "left_semi")
         .groupBy(F.col("page_id").alias("full_id")).agg(F.max("own_bytes").alias("payload_bytes"))
     )
+    lengths = store(lengths, "lengths")  # as above, for a response with very many revisits
     again = again.join(lengths, F.col("refers_to") == F.col("full_id"))
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"]
     return own.select(*cols).unionByName(again.select(*cols))
