@@ -22,8 +22,8 @@ def exact_duplicates(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     Texts are equal when identical after each run of ASCII white space became one space. Each text
     is cut into content-defined chunks and becomes a recipe, the ordered list of chunk identifiers.
     The text of a chunk is moved once, to the table of distinct chunks, where an identifier is
-    verified to stand for one text only; identifiers that do not are numbered by their texts.
-    Documents are then grouped by their recipes, about two hundredths of the bytes.
+    verified to stand for one text only. Where one does not, its texts are numbered, and the numbers
+    join the recipes of the documents that hold it. Documents are then grouped by their recipes, about two hundredths of the bytes.
 
     Of a group the smallest doc_id stays, null last. Rows that repeat it are told apart by their place in the
     stored table, so exactly one row of a group has ``kept``. Null counts as the empty text, whose
@@ -37,27 +37,29 @@ def exact_duplicates(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     cut = store(cut, "chunks")
     distinct = cut.select(F.explode("chunks").alias("c")).select("c.key", "c.chunk").distinct()
     clashing = store(distinct.groupBy("key").count().filter("count > 1").select("key"), "clashes")
-    recipes = cut.select("row", "doc_id", "text_sha256", F.col("chunks.key").alias("recipe"))
+    recipes, same = cut.select("row", "doc_id", "text_sha256", F.col("chunks.key").alias("recipe")), ["recipe"]
     if not clashing.isEmpty():
-        recipes = _renumbered(cut, distinct)
-    keep = recipes.groupBy("recipe").agg(
+        recipes, same = recipes.join(_numbered(cut, clashing), "row", "left").withColumn("nths", F.coalesce("nths", F.array().cast("array<int>"))), ["recipe", "nths"]
+    keep = recipes.groupBy(*same).agg(
         F.count(F.lit(1)).alias("group_size"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first"))
     keep = store(keep, "first-of-group")  # so that the join can split a hot group
-    return recipes.join(keep, "recipe").select(
+    return recipes.join(keep, same).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
 
-def _renumbered(cut: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Recipes whose identifiers are pairs of key and rank among the texts of the key."""
-    ids = distinct.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("chunk")))
-    entries = cut.select("row", F.posexplode("chunks").alias("pos", "c")).select("row", "pos", "c.key", "c.chunk")
-    lists = (
+def _numbered(cut: DataFrame, clashing: DataFrame) -> DataFrame:
+    """For each document with a clashing identifier the ranks of those chunks among the texts of their key, in order of place.
+
+    ``clashing`` has few rows (a pair of chunks clashes once in 2**64), so the planner broadcasts it by its stored
+    size and only the chunks concerned move.
+    """
+    entries = cut.select("row", F.posexplode("chunks").alias("pos", "c")).select("row", "pos", "c.key", "c.chunk").join(clashing, "key", "left_semi")
+    ids = entries.select("key", "chunk").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("chunk")))
+    ids = store(ids, "clash-numbers")  # so that the join can split a chunk that very many documents share
+    return (
         entries.join(ids, ["key", "chunk"]).groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "key", "nth"))).alias("list"))
-        .select("row", F.transform("list", lambda e: F.struct(e["key"], e["nth"])).alias("recipe"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "nth"))).alias("list")).select("row", F.col("list.nth").alias("nths"))
     )
-    nothing = F.array().cast("array<struct<key:bigint,nth:int>>")
-    return cut.select("row", "doc_id", "text_sha256").join(lists, "row", "left").withColumn("recipe", F.coalesce("recipe", nothing))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
