@@ -182,6 +182,18 @@ def logistic_fit(rows: list[list[int]], target: np.ndarray, size: int, penalty:
     return b, w
 
 
+def calibration(odds: np.ndarray, label: np.ndarray, rounds: int = 40) -> tuple[float, float]:
+    """Slope and shift that turn log odds into those of the label (Platt scaling); no change where the odds do not rise with the label."""
+    x, pos = np.clip(odds, -10, 10), label > 0.5
+    target = np.where(pos, (pos.sum() + 1) / (pos.sum() + 2), 1 / ((~pos).sum() + 2))
+    design, at = np.stack([x, np.ones_like(x)], axis=1), np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(design @ at, -30, 30)))
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2), design.T @ (p - target))
+        at = at - step * min(1.0, 1 / (np.abs(step).max() + 1e-12))
+    return (float(at[0]), float(at[1])) if at[0] > 0.05 else (1.0, 0.0)
+
+
 @dataclass
 class ToxicityModel:
     terms: dict[str, int]
@@ -209,7 +221,7 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int = 48, terms: int = 2000, rounds: int = 2) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int = 48, terms: int = 2000, rounds: int = 2, folds: int = 4) -> ToxicityModel:
     """Learn from the labelled rows that are not held out.
 
     1. Terms (words and word beginnings) of at most ``sample`` labelled rows, in the order of a hash of doc_id, are counted by class;
@@ -219,6 +231,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
        voter fires in either class and which voters are correlated, whose votes then count for less.
     3. A linear classifier over the features learns the posterior labels of the sample, where the given
        label is one more voter.
+    4. Its log odds are scaled to the given labels. Each of ``folds`` parts of the sample gets the odds of a classifier learned from
+       the other parts, so that the scale is not that of rows learned by heart.
+
+    ``terms`` and ``voters`` bound the model: less telling terms beyond them have no weight, and further terms found do not vote.
     """
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
@@ -272,9 +288,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
                 terms_.append(sorted(found))
                 masks_.append(votes(text, found, v))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(terms_, pa.list_(pa.int32())), *mask_columns(masks_, names)], ["label", "terms", *names])
+                [batch.column("label"), batch.column("fold"), pa.array(terms_, pa.list_(pa.int32())), *mask_columns(masks_, names)], ["label", "fold", "terms", *names])
 
-    rows = texts.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(described, f"label int, terms array<int>, {words}").collect()  # the bounded sample
+    described_rows = texts.select(F.col("label").cast("int").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int").alias("fold"), "text")
+    rows = described_rows.mapInArrow(described, f"label int, fold int, terms array<int>, {words}").collect()  # the bounded sample
     own = np.array([r["label"] for r in rows], np.float64)
     sampled = np.array([[r[c] for c in names] for r in rows], np.int64).reshape(-1, len(names))
     n = v + len(PATTERNS)
@@ -290,7 +307,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, voters: int =
         agrees = np.clip((own @ soft + 1) / (soft.sum() + 2), 0.6, 0.99), np.clip((own @ (1 - soft) + 1) / ((1 - soft).sum() + 2), 0.01, 0.4)
         ratio = np.where(own > 0.5, np.log(agrees[0] / agrees[1]), np.log((1 - agrees[0]) / (1 - agrees[1])))
         target = 1 / (1 + np.exp(-(np.log(soft / (1 - soft)) + ratio)))
-        bias, weights = logistic_fit([r["terms"] for r in rows], target, len(numbers))
+        found = [r["terms"] for r in rows]
+        bias, weights = logistic_fit(found, target, len(numbers))
+        fold, odds = np.array([r["fold"] for r in rows]), np.zeros(len(rows))
+        for f in range(folds):
+            part = np.flatnonzero(fold == f)
+            rest = np.flatnonzero(fold != f)
+            if len(part) and len(rest):
+                b, w = logistic_fit([found[i] for i in rest], target[rest], len(numbers))
+                odds[part] = [b + w[found[i]].sum() for i in part]
+        slope, shift = calibration(odds, own)
+        bias, weights = slope * bias + shift, slope * weights
     else:  # nothing to learn from: the lexicon alone
         bias, weights = -3.0, np.where(np.arange(len(numbers)) < v, 2.5, 0.0)
     return ToxicityModel(numbers, bias, weights, model)
