@@ -17,9 +17,9 @@ from shelfline.llm.common import text_or_empty
 #: The pre-tokenization pattern of this vocabulary
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: pre-tokens in one of the two generations that each worker remembers
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: characters of text that are encoded together
-SLICE = 1 << 22
+SLICE = 1 << 20
 NEVER = 1 << 60
 #: token pairs that each worker remembers before it starts anew
 PAIRS = 300_000
