@@ -103,36 +103,47 @@ def exceedance(d: float, n: int, m: int) -> float:
     Each order of the n + m values is a path of steps right (first sample) and up (second), all equally likely. The
     share of paths at each point of a diagonal follows from the diagonal before; what steps out of the band
     |i / n - j / m| < d is taken out and added up. Shares never overflow, and a small probability keeps its digits.
+
+    Only the band is kept: some 2 d n m / (n + m) points of each of the n + m diagonals, so 2 d n m steps in all.
     """
     edge = round(d * n * m)
     if edge <= 0:
         return 1.0
-    i = np.arange(n + 1)
-    share, out = np.zeros(n + 1), 0.0
-    share[0] = 1.0
+    if m < n:  # the band is the same from both sides
+        n, m = m, n
+    low, share, out = 0, np.ones(1), 0.0
     for k in range(1, n + m + 1):
-        j = k - i
+        # points i of this diagonal that are next to those of the one before: its first to one past its last
+        i = np.arange(max(low, k - m), min(low + len(share), n, k) + 1)
+        if not len(i):
+            break
         left = n + m - k + 1
-        up = share * np.clip(m - j + 1, 0, None) / left
-        up[1:] += share[:-1] * (n - i[:-1]) / left
-        inside = (j >= 0) & (j <= m)
-        share = np.where(inside, up, 0.0)
-        beyond = inside & (np.abs(i * m - j * n) >= edge)
-        out += float(share[beyond].sum())
-        share[beyond] = 0.0
+        # the share below a point (j one less) and the one beside it (i one less), none beyond the ends
+        padded = np.concatenate(([0.0], share, [0.0]))
+        at = i - low + 1
+        step = (padded[at] * (m - (k - i) + 1) + padded[at - 1] * (n - i + 1)) / left
+        gap = i * (n + m) - k * n  # i * m - j * n without products that grow with the diagonal
+        inside = np.abs(gap) < edge
+        out += float(step[~inside].sum())
+        kept = np.flatnonzero(inside)
+        if not len(kept):
+            break
+        # a band is one run of points
+        low, share = int(i[kept[0]]), step[kept[0]:kept[-1] + 1]
     return min(1.0, out)
 
 
-def ks_pvalue_by_size(ks: DataFrame, exact: int = EXACT) -> DataFrame:
-    """``p_value`` beside the rows of ``ks2``: exact where both samples have at most ``exact`` values, else the asymptotic series.
+def ks_pvalue_by_size(ks: DataFrame, exact: int | None = EXACT) -> DataFrame:
+    """``p_value`` beside the rows of ``ks2``: exact where both samples have at most ``exact`` values (None: always), else the asymptotic series.
 
-    There is one row for each feature, so the exact part is a small function on few rows.
+    There is one row for each feature, so the exact part is a small function on few rows. Its steps grow with the
+    statistic times the product of the sample sizes, and its memory with the smaller sample.
     """
     asymptotic = ks_pvalue(F.col("ks"), F.col("n_base"), F.col("n_cur"))
 
     @F.pandas_udf("double")
     def small(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        return pd.Series([exceedance(x, int(a), int(b)) if max(a, b) <= exact else None for x, a, b in zip(d, n, m)], dtype="float64")
+        return pd.Series([exceedance(x, int(a), int(b)) if exact is None or max(a, b) <= exact else None for x, a, b in zip(d, n, m)], dtype="float64")
 
     return ks.withColumn("p_value", F.coalesce(small("ks", "n_base", "n_cur"), asymptotic))
 

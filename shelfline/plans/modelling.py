@@ -12,7 +12,7 @@ from shelfline.plans.catalog import HOURLY, ORDER_DEMAND, query, rounded
 from shelfline.plans.cleaning import hourly
 from shelfline.plans.ingestion import UNIFORM
 from shelfline.plans.kpis import EVALUATED, FVA, RECOVERED, SCORED, cut, evaluated, recovered, scored, with_baseline
-from shelfline.session import materialize
+from shelfline.session import materialize, shuffle_width
 from shelfline.sources import tables
 
 
@@ -348,11 +348,15 @@ BALANCES = """marked AS (SELECT c_nationkey AS nation, c_acctbal AS value, 1 AS
 @query("dr3_exact_small_samples", ctes="RECURSIVE " + BALANCES, sql="""SELECT c.nation::VARCHAR AS feature, round(s.ks, 6) AS ks, c.n AS n_base, c.m AS n_cur,
 round(CASE WHEN edge <= 0 THEN 1 ELSE 1 - paths[c.m + 1] / free[c.m + 1] END, 6) AS p_value FROM col c JOIN stat s USING (nation) WHERE c.i = c.n""")
 def _(spark, sf):
-    """Balances of the customers of each nation against those of its suppliers: samples small enough for the exact p-value."""
+    """Balances of the customers of each nation against those of its suppliers, with the exact p-value at any size.
+
+    The nations are dealt to tasks, as each exact p-value is a loop over its two samples.
+    """
     both = [tables.table(spark, sf, t).select(F.col(f"{c}_nationkey").cast("string").alias("feature"), F.col(f"{c}_acctbal").alias("value"), F.lit(i).alias("side"))
             for i, (t, c) in enumerate((("customer", "c"), ("supplier", "s")))]
     counted = both[0].unionByName(both[1]).groupBy("feature", "value").agg(F.count_if(F.col("side") == 0).alias("nb"), F.count_if(F.col("side") == 1).alias("nc"))
-    return rounded(drift.ks_pvalue_by_size(drift.ks2(counted)).select("feature", "ks", "n_base", "n_cur", "p_value"))
+    ks = drift.ks2(counted).repartition(shuffle_width(spark), "feature")
+    return rounded(drift.ks_pvalue_by_size(ks, exact=None).select("feature", "ks", "n_base", "n_cur", "p_value"))
 
 
 STATUS_SQL = """CASE WHEN psi >= 0.2 OR round(p::DOUBLE, 4) < 0.01 THEN 'CRITICAL_DRIFT' WHEN psi >= 0.1 THEN 'MODERATE_DRIFT' ELSE 'NO_DRIFT' END AS drift_status,
