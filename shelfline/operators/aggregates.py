@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.operators.ranks import running_totals, value_counts_by
 from shelfline.session import materialize
 
-from shelfline.operators.ranks import exact_quantiles, value_counts_by
+from shelfline.operators.ranks import bounded_quantiles, exact_quantiles, value_counts_by
 
 
 def agg_by(df: DataFrame, keys, **aggs: Column) -> DataFrame:
@@ -26,11 +26,11 @@ def quantiles(df: DataFrame, col: str, probs, keys=(), bounded_groups: bool = Fa
     """Exact quantiles with linear interpolation.
 
     ``bounded_groups`` says that each group is small (for instance one row per day of a
-    series): then the built-in percentile does. Whole-table quantiles go through
+    series): then its values are sorted in one row. Whole-table quantiles go through
     ``exact_quantiles``, which never holds a group in one task.
     """
     if bounded_groups:
-        return df.groupBy(*keys).agg(F.percentile(col, [float(p) for p in probs]).alias("quantiles"))
+        return bounded_quantiles(df, keys, col, probs)
     return exact_quantiles(value_counts_by(df, keys, col), keys, col, probs)
 
 

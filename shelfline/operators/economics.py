@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.calendar import next_delivery
 from shelfline.functions.text import hash_uniform
 from shelfline.operators.gold import POLICIES
+from shelfline.operators.ranks import bounded_quantiles
 
 # Fixed values per category: product ids, shelf life in hours, price, cost ratio, spoilage and holding
 # rates, hours before expiry that call for a markdown, lead time in hours, order limits, delivery weekdays.
@@ -78,8 +79,8 @@ def constrain_order(df: DataFrame, qty: str, increment: float = 1.0) -> DataFram
 
 
 def demand_quantiles(demand: DataFrame, probs, value="sale_amount", keys=("store_id", "product_id")) -> DataFrame:
-    """Demand quantiles per series. A series has one row per day, so the percentile is bounded."""
-    return demand.groupBy(*keys).agg(F.percentile(value, [float(p) for p in probs]).alias("_q"))
+    """Demand quantiles per series. A series has one row per day, so its values are bounded."""
+    return bounded_quantiles(demand, keys, value, probs, "_q")
 
 
 def policy_order(demand: DataFrame, lead: DataFrame, value="sale_amount", keys=("store_id", "product_id")) -> DataFrame:

@@ -15,12 +15,15 @@ from shelfline.functions import calendar as cal
 from shelfline.functions import scores
 from shelfline.functions.arrays import as_array, open_slots
 from shelfline.functions.text import hash_uniform
+from shelfline.operators.ranks import bounded_quantiles
 from shelfline.operators.reshape import explode_hourly
 
 CELL = ["store_id", "product_id", "hour_of_day", "is_weekend"]
 # Forecast quantiles and horizons in hours.
 QUANTILES = {"forecast_q10": 0.10, "forecast_q25": 0.25, "forecast_median": 0.50, "forecast_q75": 0.75, "forecast_q90": 0.90}
 HORIZONS = (1, 4, 8, 12, 24)
+#: decimal places of a mean: far more than sales have, and fewer than the order of a sum disturbs
+MEAN_DIGITS = 10
 
 
 def expected_sales(ops: DataFrame, known: Column) -> DataFrame:
@@ -38,7 +41,8 @@ def expected_sales(ops: DataFrame, known: Column) -> DataFrame:
     return (
         fine.join(mid, ["store_id", "product_id", "hour_of_day"])
         .join(coarse, ["product_id", "hour_of_day"])
-        .select(*CELL, F.coalesce(mean(0), mean(1), mean(2)).alias("expected_sales"))
+        # rounded, as a mean that equals a sale is compared with it and must not depend on the order of the sum
+        .select(*CELL, F.round(F.coalesce(mean(0), mean(1), mean(2)), MEAN_DIGITS).alias("expected_sales"))
     )
 
 
@@ -128,10 +132,9 @@ def cut_backtest(cuts: DataFrame, least: int = 20) -> DataFrame:
 def forecast_quantiles(train: DataFrame, target: str = "recovered_demand", horizons=HORIZONS) -> DataFrame:
     """Empirical quantiles per cell of the training window, repeated per horizon.
 
-    A cell holds at most one row per calendar day, so the built-in percentile is bounded.
+    A cell holds at most one row per calendar day, so its values are bounded.
     """
-    probs = list(QUANTILES.values())
-    cells = train.groupBy(*CELL).agg(F.percentile(target, probs).alias("_q"))
+    cells = bounded_quantiles(train, CELL, target, QUANTILES.values(), "_q")
     return cells.select(
         *CELL, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(QUANTILES)],
         F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon_hours"))
@@ -144,8 +147,8 @@ def with_forecast(rows: DataFrame, train: DataFrame, target: str = "recovered_de
     """
     out, names = rows, list(QUANTILES)
     for i, keys in enumerate((CELL, CELL[:3], CELL[:2])):
-        # a series holds at most 16 rows for each calendar day, which bounds the built-in percentile
-        out = out.join(train.groupBy(*keys).agg(F.percentile(target, list(QUANTILES.values())).alias(f"_q{i}")), keys, "left")
+        # a series holds at most 16 rows for each calendar day, which bounds its values
+        out = out.join(bounded_quantiles(train, keys, target, QUANTILES.values(), f"_q{i}"), keys, "left")
     q = F.coalesce(*[F.col(f"_q{i}") for i in range(3)])
     return out.select(*rows.columns, *[F.get(q, F.lit(i)).alias(name) for i, name in enumerate(names)])
 
@@ -252,7 +255,7 @@ def recover_daily(daily: DataFrame) -> DataFrame:
     coarse = as_arrays(roll_up(mid, ["product_id"], "s1", "n1"), ["product_id"], "s2", "n2")
     mean = lambda i: f"s{i}[j] / nullif(n{i}[j], 0)"
     profile = fine.join(mid, series).join(coarse, "product_id").selectExpr(
-        *series, "_wk", f"transform(sequence(0, {len(slots) - 1}), j -> coalesce({mean(0)}, {mean(1)}, {mean(2)})) AS _e")
+        *series, "_wk", f"transform(sequence(0, {len(slots) - 1}), j -> round(coalesce({mean(0)}, {mean(1)}, {mean(2)}), {MEAN_DIGITS})) AS _e")
     fill = "transform(_s, (x, j) -> IF(_o[j] = 1, greatest(x, coalesce(_e[j], x)), x))"
     return rows.join(profile, [*series, "_wk"], "left").withColumn("hours_recovered", F.expr(fill)).drop("_wk", "_s", "_o", "_e")
 

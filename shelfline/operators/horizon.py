@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import calendar as cal
 from shelfline.operators.forecast import CELL, HORIZONS, QUANTILES
+from shelfline.operators.ranks import bounded_quantiles
 from shelfline.session import materialize
 
 SERIES = ["store_id", "product_id"]
@@ -32,8 +33,8 @@ def with_profile(rows: DataFrame, train: DataFrame, target: str) -> DataFrame:
     their series; a cell without any takes those of (store, product, hour), then of the series. Rows of series without history go."""
     out = rows
     for i, keys in enumerate((CELL, CELL[:3], SERIES)):
-        # a series holds at most 16 rows for each calendar day, which bounds the built-in percentile
-        out = out.join(train.groupBy(*keys).agg(F.percentile(target, PROBS).alias(f"_p{i}")), keys, "left" if i < 2 else "inner")
+        # a series holds at most 16 rows for each calendar day, which bounds its values
+        out = out.join(bounded_quantiles(train, keys, target, PROBS, f"_p{i}"), keys, "left" if i < 2 else "inner")
     return out.withColumns({"cell": F.coalesce("_p0", "_p1", "_p2"), "series": F.col("_p2")}).drop("_p0", "_p1", "_p2")
 
 

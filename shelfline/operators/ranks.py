@@ -15,6 +15,37 @@ from pyspark.sql import functions as F
 from shelfline.session import materialize, shuffle_width
 
 
+def interpolate(points: Column) -> Column:
+    """The quantile of each struct (low, high, part) of an array: ``low * (1 - part) + high * part``, the first product unrounded.
+
+    That is what a fused multiply-add gives, and the SQL engine. Any other order of the roundings is off in a last digit, which
+    decides a comparison with a value that lies on the quantile. Equal neighbours are the quantile themselves.
+    """
+    # each step is a lambda over the array, so that no expression is repeated
+    named = lambda **c: F.struct(*[x.alias(n) for n, x in c.items()])
+    # Dekker's split: the upper half of a double, so that products of halves are exact
+    upper = lambda x: x * 134217729.0 - (x * 134217729.0 - x)
+    terms = F.transform(points, lambda r: named(low=r["low"], same=r["low"] == r["high"], rest=1.0 - r["part"], product=r["low"] * (1.0 - r["part"]), other=r["high"] * r["part"]))
+    halves = F.transform(terms, lambda r: named(r=r, a=upper(r["low"]), c=upper(r["rest"]), total=r["product"] + r["other"]))
+    ends = F.transform(halves, lambda h: named(h=h, b=h["r"]["low"] - h["a"], d=h["r"]["rest"] - h["c"], back=h["total"] - h["r"]["product"]))
+
+    def rounded_once(e):
+        lost = ((e["h"]["a"] * e["h"]["c"] - e["h"]["r"]["product"]) + e["h"]["a"] * e["d"] + e["b"] * e["h"]["c"]) + e["b"] * e["d"]
+        return e["h"]["total"] + (((e["h"]["r"]["product"] - (e["h"]["total"] - e["back"])) + (e["h"]["r"]["other"] - e["back"])) + lost)
+
+    return F.transform(ends, lambda e: F.when(e["h"]["r"]["same"], e["h"]["r"]["low"]).otherwise(rounded_once(e)))
+
+
+def bounded_quantiles(df: DataFrame, keys, value: str, probs, name: str = "quantiles") -> DataFrame:
+    """The interpolated quantiles of each group, as an array, for groups that something bounds, such as the calendar: a group is sorted in one row."""
+    probs = F.array(*[F.lit(float(p)) for p in probs])
+    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("_v"))
+    at = F.transform(probs, lambda p: (F.size("_v") - 1) * p)
+    points = F.transform(at, lambda r: F.struct(
+        F.get("_v", F.floor(r).cast("int")).alias("low"), F.get("_v", F.ceil(r).cast("int")).alias("high"), (r - F.floor(r)).alias("part")))
+    return grouped.select(*keys, F.when(F.size("_v") > 0, interpolate(points)).alias(name))
+
+
 def value_counts_by(df: DataFrame, keys, value: str, **counts: Column) -> DataFrame:
     """One row per key and distinct value, stored in the shared folder.
 
@@ -131,10 +162,8 @@ def exact_quantiles(counted: DataFrame, keys, value: str, probs, count: str = "n
         at = lambda rank: F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_last")), F.col(value).cast("double")))
         aggs += [at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}"), F.max(p - F.floor(p)).alias(f"_f{i}")]
     out = run.groupBy(*keys).agg(*aggs)
-    points = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}") for i in range(len(probs))
-    ]
-    return out.select(*keys, F.array(*points).alias("quantiles"))
+    points = F.array(*[F.struct(F.col(f"_lo{i}").alias("low"), F.col(f"_hi{i}").alias("high"), F.col(f"_f{i}").alias("part")) for i in range(len(probs))])
+    return out.select(*keys, interpolate(points).alias("quantiles"))
 
 
 def melt(df: DataFrame, cols, ids=(), name: str = "feature", value: str = "value") -> DataFrame:

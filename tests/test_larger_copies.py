@@ -4,7 +4,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from shelfline.operators import forecast
+from shelfline.operators.ranks import bounded_quantiles, exact_quantiles, value_counts_by
 from shelfline.plans import load_all
 from tests.compare import connect, difference
 
@@ -36,3 +39,35 @@ def test_store_numbers_past_the_contract_are_warnings(spark, copies):
 
 def test_ks_is_exact_for_more_than_a_thousand_values(spark, copies):
     same(spark, copies(customer=(200, "c_custkey + 150 * k AS c_custkey, c_acctbal + k AS c_acctbal")), "dr3_exact_small_samples")
+
+
+def test_bounded_quantiles_have_the_last_digit_of_the_sql(spark):
+    """Values that lie on a quantile are compared with it, so the last digit counts."""
+    rows = [(g, round(((g * 7919 + i * 104729) % 9973) / 97, 2)) for g in range(2000) for i in range(2 + g % 21)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (g INTEGER, v DOUBLE)")
+    con.execute("INSERT INTO t SELECT unnest(?), unnest(?)", [[r[0] for r in rows], [r[1] for r in rows]])
+    expected = dict(con.execute("SELECT g, quantile_cont(v, [0.1, 0.25, 0.5, 0.75, 0.9]) FROM t GROUP BY g").fetchall())
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    assert {r["g"]: r["q"] for r in bounded_quantiles(df, ["g"], "v", probs, "q").collect()} == expected
+    assert {r["g"]: r["quantiles"] for r in exact_quantiles(value_counts_by(df.where("g < 25"), ["g"], "v"), ["g"], "v", probs).collect()} == {g: q for g, q in expected.items() if g < 25}
+
+
+def test_bounded_quantiles_of_odd_groups(spark):
+    df = spark.createDataFrame([(1, None), (2, 5.0), (2, None), (3, 1.0), (3, 1.0)], "g int, v double")
+    found = {r["g"]: r["quantiles"] for r in bounded_quantiles(df, ["g"], "v", [0.0, 0.9, 1.0]).collect()}
+    assert found == {1: None, 2: [5.0] * 3, 3: [1.0] * 3}
+
+
+def test_a_mean_that_equals_a_sale_is_that_sale(spark):
+    """The sum of these values over five is 80.01 only to the last digit, which depends on their order."""
+    sold = [9.32, 109.14, 75.99, 125.59, 80.01]
+    days = [(f"2024-01-{d:02d}", v) for d, v in zip((1, 3, 19, 23, 24), sold)] + [("2024-01-25", None)]
+    hours = spark.createDataFrame([(1, 1, 7, False, int(v is None), v or 0.0) for _, v in days], "store_id int, product_id int, hour_of_day int, is_weekend boolean, stockout_flag int, observed_sales double")
+    for order in ("observed_sales", "-observed_sales", "hash(observed_sales)"):
+        rows = hours.orderBy(F.expr(order)).coalesce(1)
+        assert [r[0] for r in forecast.recover_demand(rows).where("stockout_flag = 1").select("recovered_demand").collect()] == [80.01]
+    slots = lambda x: "array(" + ", ".join(str(x if h == 7 else 0.0) + "D" for h in range(24)) + ")"
+    daily = spark.sql(" UNION ALL ".join(f"SELECT 1 AS store_id, 1 AS product_id, '{d}' AS dt, {slots(v or 0.0)} AS hours_sale, array_repeat({int(v is None)}, 24) AS hours_stock_status" for d, v in days))
+    assert [r[0] for r in forecast.recover_daily(daily).where("dt = '2024-01-25'").selectExpr("hours_recovered[1]").collect()] == [80.01]
