@@ -43,13 +43,14 @@ def arrivals(src: DataFrame, target: DataFrame | None, marks: DataFrame | None,
     """
     if target is None or marks is None:
         return src
-    marked = src.join(marks, list(keys), "left")
+    marked = src.join(marks.hint("merge"), list(keys), "left")
     newer = marked.where(F.col("mark").isNull() | (F.col(ts) > F.col("mark")))
     late = marked.where(F.col(ts) <= F.col("mark")).drop("mark")
     held = [F.count("*").alias("n"), F.sum(F.xxhash64(*keys, ts).cast("decimal(38,0)")).alias("keys")]
     # rows past the marks are in the source alone and are left out of the comparison
     uneven = late.groupBy(part).agg(*held).join(target.groupBy(part).agg(*held), [part, "n", "keys"], "left_anti").select(part)
-    late = late.join(uneven, part, "left_semi").join(target.select(*keys, ts), [*keys, ts], "left_anti")
+    # the stored keys are small as files and large as rows: no size check may send them to the driver for a broadcast
+    late = late.join(uneven, part, "left_semi").join(target.select(*keys, ts).hint("merge"), [*keys, ts], "left_anti")
     return newer.drop("mark").unionByName(late)
 
 

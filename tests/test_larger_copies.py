@@ -6,9 +6,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import forecast
+from shelfline.operators import forecast, incremental
 from shelfline.operators.ranks import bounded_quantiles, exact_quantiles, value_counts_by
 from shelfline.plans import load_all
+from shelfline.session import materialize
 from tests.compare import connect, difference
 
 QUERIES, ORACLE = load_all()
@@ -71,3 +72,14 @@ def test_a_mean_that_equals_a_sale_is_that_sale(spark):
     slots = lambda x: "array(" + ", ".join(str(x if h == 7 else 0.0) + "D" for h in range(24)) + ")"
     daily = spark.sql(" UNION ALL ".join(f"SELECT 1 AS store_id, 1 AS product_id, '{d}' AS dt, {slots(v or 0.0)} AS hours_sale, array_repeat({int(v is None)}, 24) AS hours_stock_status" for d, v in days))
     assert [r[0] for r in forecast.recover_daily(daily).where("dt = '2024-01-25'").selectExpr("hours_recovered[1]").collect()] == [80.01]
+
+
+def test_stored_keys_are_never_broadcast(spark):
+    """Stored facts are small as files (their columns repeat) and large as rows."""
+    keys = ["store_id", "product_id"]
+    rows = spark.range(50).selectExpr("int(id % 5) AS store_id", "1 AS product_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, int(id DIV 5)) AS ts", "20240101 AS day")
+    held = materialize(rows.where("hour(ts) <> 3"), "held")
+    new = incremental.arrivals(rows, held, incremental.high_water(held, "ts"), "ts", "day", keys)
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=merge)" in next(line for line in plan.splitlines() if "LeftAnti" in line and "ts#" in line)
+    assert sorted(r["store_id"] for r in new.collect()) == [0, 1, 2, 3, 4]
