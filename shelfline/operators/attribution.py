@@ -17,6 +17,8 @@ from shelfline.session import scratch_path
 
 #: the features of the demand model in the order of its vector
 FEATURES = [*IDS, *BANDS, *NUMERIC]
+#: rows that are attributed together; bounds what is kept of the conditions
+SLICE = 4096
 
 
 @dataclass
@@ -89,16 +91,25 @@ class Attributor:
 
     def attribute(self, x: np.ndarray) -> np.ndarray:
         """Attributions of each row of ``x`` to each feature."""
-        out = np.zeros((len(x), self.size))
+        parts = [self.attribute_slice(x[i:i + SLICE]) for i in range(0, len(x), SLICE)]
+        return np.concatenate(parts) if parts else np.zeros((0, self.size))
+
+    def attribute_slice(self, x: np.ndarray) -> np.ndarray:
+        """The same of few rows. Leaves share most of their conditions, so each distinct one is tried once and its answers, a byte a row, are kept."""
+        columns, out, tried = np.ascontiguousarray(x.T), np.zeros((self.size, len(x))), {}
         for leaf in self.leaves:
-            code = np.zeros(len(x), np.int64)
+            code = np.zeros(len(x), np.min_scalar_type(2 ** len(leaf.features) - 1))  # a bit for each feature on the path
+            for j, f in enumerate(leaf.features):
+                condition = (f, leaf.low[j], leaf.high[j], leaf.categories[j])
+                if condition not in tried:
+                    ok = (columns[f] > leaf.low[j]) & (columns[f] <= leaf.high[j])
+                    if leaf.categories[j] is not None:
+                        ok &= np.isin(columns[f], list(leaf.categories[j]))
+                    tried[condition] = ok
+                code |= tried[condition] * code.dtype.type(1 << j)
             for j, f in enumerate(leaf.features):
-                ok = (x[:, f] > leaf.low[j]) & (x[:, f] <= leaf.high[j])
-                if leaf.categories[j] is not None:
-                    ok &= np.isin(x[:, f], list(leaf.categories[j]))
-                code |= ok.astype(np.int64) << j
-            out[:, leaf.features] += leaf.table[code]
-        return out
+                out[f] += leaf.table[:, j].take(code)
+        return out.T
 
 
 def attributor(trees, spark, size: int) -> Attributor:

@@ -3,10 +3,11 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import forecast, incremental
+from shelfline.operators import attribution, forecast, incremental
 from shelfline.operators.ranks import bounded_quantiles, exact_quantiles, value_counts_by
 from shelfline.plans import load_all
 from shelfline.session import materialize
@@ -83,3 +84,27 @@ def test_stored_keys_are_never_broadcast(spark):
     plan = new._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=merge)" in next(line for line in plan.splitlines() if "LeftAnti" in line and "ts#" in line)
     assert sorted(r["store_id"] for r in new.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_conditions_shared_by_leaves_are_tried_once(monkeypatch):
+    """Many leaves with the same few conditions: the answers stay those of the definition, over more than one slice, and each condition is tried once a slice."""
+    calls, isin = [], np.isin
+    monkeypatch.setattr(attribution.np, "isin", lambda *args: calls.append(1) or isin(*args))
+    rng = np.random.default_rng(5)
+    conditions = [(0, -np.inf, 0.4, None), (0, 0.4, np.inf, None), (1, 0.2, 0.9, None), (2, -np.inf, np.inf, frozenset({1.0, 3.0}))]
+    leaves = []
+    for i in range(60):
+        own = [conditions[i % 2], conditions[2], conditions[3]]
+        leaf = attribution.Leaf([c[0] for c in own], [c[1] for c in own], [c[2] for c in own], [c[3] for c in own], [0.5, 0.7, 0.3], float(rng.normal()))
+        leaf.table = attribution.pattern_table(leaf)
+        leaves.append(leaf)
+    x = np.column_stack([rng.uniform(0, 1, 5000), rng.uniform(0, 1, 5000), rng.integers(0, 4, 5000)])
+    expected = np.zeros((5000, 3))
+    for leaf in leaves:
+        for r, row in enumerate(x):
+            if r % 50 == 0:
+                code = sum((lo < row[f] <= hi and (kinds is None or row[f] in kinds)) << j for j, (f, lo, hi, kinds) in enumerate(zip(leaf.features, leaf.low, leaf.high, leaf.categories)))
+                expected[r, leaf.features] += leaf.table[code]
+    found = attribution.Attributor(leaves, 0.0, 3).attribute(x)
+    assert np.abs(found[::50] - expected[::50]).max() < 1e-12
+    assert len(calls) == 2
