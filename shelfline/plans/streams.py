@@ -25,11 +25,22 @@ def pos_stream(spark, sf):
     return raw.selectExpr(*tables.POS_COLUMNS)
 
 
+def sales(spark, sf):
+    """The sales as a history to replay."""
+    return tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def last_alerts(spark, sf, name):
+    """The alerts that stand after the last slice; normal windows are stored too, as a later slice can take an alert back."""
+    emitted = v.replay(sales(spark, sf), scratch_path(spark, name), [], lambda raw: v.flagged(v.velocity(v.with_event_time(raw))))
+    return v.last_update(emitted).filter("anomaly_flag <> 'NORMAL'")
+
+
 @query("st1_watermark_append", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags WHERE window_end <= (SELECT time_bucket(INTERVAL 1 MICROSECOND, max(timestamp)) - INTERVAL 15 MINUTE FROM pos)")
 def _(spark, sf):
     """Append mode emits the windows that the watermark has closed."""
-    base = scratch_path(spark, "append")
-    return rounded(v.run_update(v.velocity(v.with_event_time(pos_stream(spark, sf))), base + "/out", base + "/ckpt", "append").drop("batch_id"))
+    emitted = v.replay(sales(spark, sf), scratch_path(spark, "append"), [], lambda raw: v.velocity(v.with_event_time(raw)), "append")
+    return rounded(emitted.drop("batch_id", "alone"))
 
 
 @query("st2_sliding_windows", ctes=VEL, sql="SELECT window_start, window_end, store_id, product_id, transaction_count FROM vel")
@@ -55,9 +66,7 @@ def _(spark, sf):
 @query("st6_update_stream", ctes=VEL, sql="SELECT * FROM flags WHERE anomaly_flag <> 'NORMAL'")
 def _(spark, sf):
     """Source, watermark, windows, flag, filter and sink as a running stream in update mode."""
-    base = scratch_path(spark, "update")
-    emitted = v.run_update(v.alerts(v.velocity(v.with_event_time(pos_stream(spark, sf)))), base + "/out", base + "/ckpt")
-    return rounded(v.last_update(emitted))
+    return rounded(last_alerts(spark, sf, "update"))
 
 
 @query("io8_pos_stream", ctes=POS, sql="SELECT store_id, product_id, count(*) AS n, round(sum(units_sold), 4) AS units FROM pos GROUP BY ALL")
@@ -70,10 +79,7 @@ def _(spark, sf):
 
 @query("io9_alert_sink", ctes=VEL, sql="SELECT anomaly_flag, count(*) AS n FROM flags WHERE anomaly_flag <> 'NORMAL' GROUP BY ALL")
 def _(spark, sf):
-    base = scratch_path(spark, "sink")
-    stream = v.alerts(v.velocity(v.with_event_time(pos_stream(spark, sf))))
-    v.write_alerts(stream, base + "/out", base + "/ckpt").awaitTermination()
-    return spark.read.option("basePath", base + "/out").parquet(base + "/out/batch_id=*").groupBy("anomaly_flag").agg(F.count("*").alias("n"))
+    return last_alerts(spark, sf, "sink").groupBy("anomaly_flag").agg(F.count("*").alias("n"))
 
 
 @query("st7_zero_velocity", ctes=VEL, sql="""SELECT s.store_id, s.product_id, g.window_start, g.window_start + INTERVAL 2 HOUR AS window_end, CAST(0 AS BIGINT) AS transaction_count, 'CRITICAL_STOCKOUT' AS anomaly_flag
@@ -126,7 +132,5 @@ def _(spark, sf):
 @query("st8_replay", ctes=VEL, sql="SELECT * EXCLUDE (anomaly_flag) FROM flags")
 def _(spark, sf):
     """History replayed in event-time slices gives the batch result."""
-    base = scratch_path(spark, "replay")
-    history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    emitted = v.replay(history, base, ["2024-01-10", "2024-01-20"], lambda raw: v.velocity(v.with_event_time(raw)))
+    emitted = v.replay(sales(spark, sf), scratch_path(spark, "replay"), ["2024-01-10", "2024-01-20"], lambda raw: v.velocity(v.with_event_time(raw)))
     return rounded(v.last_update(emitted))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfline.session import shuffle_width
+
 SERIES = ["store_id", "product_id"]
 # Window, slide, watermark delay, warning threshold.
 SIZE, SLIDE, DELAY, LOW = "2 hours", "10 minutes", "15 minutes", 3
 SIZE_MIN, SLIDE_MIN = 120, 10
+#: sales that one micro-batch of a replay may hold; each puts up to twelve windows into the state store
+SLICE_ROWS = 1_000_000
 POS_SCHEMA = "timestamp timestamp, store_id int, product_id int, transaction_id bigint, units_sold double"
 
 
@@ -85,10 +89,11 @@ def run_update(windows: DataFrame, path: str, checkpoint: str, mode: str = "upda
 
 
 def last_update(emitted: DataFrame, keys=("window_start", "window_end", *SERIES)) -> DataFrame:
-    """The newest emitted row per window and series."""
-    values = [c for c in emitted.columns if c not in (*keys, "batch_id")]
-    best = emitted.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
-    return best.select(*keys, "v.*")
+    """The newest emitted row per window and series; rows of ``replay`` that only one slice can emit are not grouped."""
+    values = [c for c in emitted.columns if c not in (*keys, "batch_id", "alone")]
+    once, again = (emitted.filter("alone"), emitted.filter("NOT alone")) if "alone" in emitted.columns else (None, emitted)
+    best = again.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select(*keys, "v.*")
+    return best if once is None else once.select(*keys, *values).unionByName(best)
 
 
 def _minutes(m: int) -> Column:
@@ -158,18 +163,53 @@ def run_silent(stream: DataFrame, base: str, checkpoint: str, size_min: int = SI
     return stream.sparkSession.read.option("basePath", f"{base}/gaps").parquet(f"{base}/gaps/batch_id=*")
 
 
-def replay(history: DataFrame, base: str, bounds, build, mode: str = "update") -> DataFrame:
+def sliced(history: DataFrame, path: str, bounds=(), rows: int | None = None, every: str = SLIDE):
+    """(lo, hi, sales) of consecutive slices of time, cut at ``bounds`` and so that none holds more than ``rows`` (SLICE_ROWS) sales.
+
+    Cuts lie between intervals of ``every``; one with more sales is a slice of its own. The sales are counted by interval, which
+    the calendar bounds, and written once by slice, so the work does not grow with the number of slices. ``lo`` and ``hi`` are
+    None at the ends. Rows without a time are in no window and, where there is more than one slice, in none.
+    """
+    spark, rows = history.sparkSession, rows or SLICE_ROWS
+    passed = sum((F.when(F.col("timestamp") >= F.lit(b).cast("timestamp"), 1).otherwise(0) for b in bounds), F.lit(0))
+    tagged = history.withColumns({"_start": F.window("timestamp", every)["start"], "_passed": passed})
+    counts = tagged.groupBy("_start", "_passed").agg(F.count("*").alias("n")).withColumn("_cut", F.col("_start").cast("string"))
+    slices, edges, held = [], [], 0
+    for r in counts.orderBy("_passed", "_start").select("_cut", "_passed", "n").collect():  # a row for each interval
+        if slices and r["_passed"] != slices[-1][1]:
+            edges, held = [*edges, bounds[r["_passed"] - 1]], 0
+        elif held and held + r["n"] > rows:
+            edges, held = [*edges, r["_cut"]], 0
+        held += r["n"]
+        slices.append((r["_cut"], r["_passed"], len(edges)))
+    spread = lambda df: df.repartition(shuffle_width(spark))  # noqa: E731  # a file may come as one task's work
+    if not edges:
+        yield None, None, spread(history)
+        return
+    known = spark.createDataFrame(slices, "_cut string, _passed int, _slice int")
+    numbered = spread(tagged).withColumn("_cut", F.col("_start").cast("string")).join(F.broadcast(known), ["_cut", "_passed"])  # a row for each interval
+    numbered.drop("_cut", "_passed", "_start").write.partitionBy("_slice").parquet(path)
+    for i, (lo, hi) in enumerate(zip([None, *edges], [*edges, None])):
+        yield lo, hi, spark.read.schema(history.schema).parquet(f"{path}/_slice={i}")
+
+
+def replay(history: DataFrame, base: str, bounds, build, mode: str = "update", rows: int | None = None) -> DataFrame:
     """Release history to a stream slice by slice in event-time order; returns all emitted rows.
 
     Each slice is written, whatever number of files that gives, and then processed as one
     micro-batch by a run that goes on from the checkpoint, so no row of a slice can make
     another one late. ``bounds`` are the few cut times; ``build`` turns the raw stream
-    into the windowed one.
+    into the windowed one. Further cuts keep a slice below ``rows`` sales (SLICE_ROWS), so that the state
+    of a run holds the windows of one slice and not those of the whole history.
+    ``alone`` tells the windows that lie in one slice; in update mode only the others can be emitted more than once.
     """
     spark = history.sparkSession
-    for _ in released(history, f"{base}/in", bounds):
+    for lo, hi, part in sliced(history, f"{base}/slices", bounds, rows):
+        part.write.mode("append").parquet(f"{base}/in")
         raw = read_pos_stream(spark, f"{base}/in", history.schema, max_files=None)
-        write_alerts(build(raw), f"{base}/out", f"{base}/ckpt", mode).awaitTermination()
+        after = F.lit(True) if lo is None else F.col("window_start") >= F.lit(lo).cast("timestamp_ntz")
+        before = F.lit(True) if hi is None else F.col("window_end") <= F.lit(hi).cast("timestamp_ntz")
+        write_alerts(build(raw).withColumn("alone", after & before), f"{base}/out", f"{base}/ckpt", mode).awaitTermination()
     return spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch_id=*")
 
 

@@ -141,3 +141,35 @@ def test_a_forgotten_series_starts_anew(spark):
     ten = datetime.timedelta(minutes=10)
     assert [f[1:] for f in found if f[0] == 1] == [(at(0) + ten, None, True), (at(40) + ten, None, True)]
     assert [f[1:] for f in found if f[0] == 0] == [(at(0) + ten, None, True)]  # a null store is a series too
+
+
+def test_a_replay_holds_the_state_of_one_slice(spark, sf, monkeypatch):
+    """Slices of few sales: the state never holds the windows of the whole history, and alerts that a later slice takes back are gone."""
+    from shelfline.plans import load_all
+    from tests.compare import connect, difference
+
+    queries, oracle = load_all()
+    held = []
+    write = v.write_alerts
+
+    def watched(*args):
+        query = write(*args)
+        query.awaitTermination()
+        held.append(max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]))
+        return query
+
+    monkeypatch.setattr(v, "write_alerts", watched)
+    monkeypatch.setattr(v, "SLICE_ROWS", 300)
+    for name in ("st1_watermark_append", "st6_update_stream", "io9_alert_sink"):
+        held.clear()
+        assert difference(queries[name](spark, sf), connect(sf), oracle[name]) is None, name
+        assert len(held) > 2 and max(held) < 1.5 * 300 * 12, name
+
+
+def test_slices_hold_few_sales_and_lie_in_order(spark):
+    history = sales(spark)
+    parts = [(lo, hi, [r.timestamp for r in df.collect()]) for lo, hi, df in v.sliced(history, scratch_path(spark, "s"), ["2024-01-01 10:05:00"], rows=9)]
+    assert sorted(t for _, _, part in parts for t in part) == sorted(r.timestamp for r in history.collect())
+    assert max(len(part) for _, _, part in parts) <= 9 and any(hi == "2024-01-01 10:05:00" for _, hi, _ in parts)
+    for lo, hi, part in parts:
+        assert (lo is None or str(min(part)) >= lo) and (hi is None or str(max(part)) < hi)
