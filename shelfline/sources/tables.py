@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.arrays import SLOTS
 from shelfline.functions.text import record_hash
+from shelfline.session import shuffle_width
 
 # Product number per event type.
 PRODUCT_OF_EVENT = {"click": 101, "view": 230, "signup": 345, "purchase": 512, "error": 704}
@@ -92,15 +93,27 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: order lines that one task gathers
+TASK_LINES = 500_000
+
+
 def order_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily demand per store and product from order lines; one row per key and day."""
+    """Daily demand per store and product from order lines; one row per key and day.
+
+    Hardly any two lines share a key and day, so an aggregate before the shuffle would hold every line of its task and combine
+    nothing. The lines are dealt by store and product instead, to as many tasks as their number asks for, which also serves aggregates by series.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = max(shuffle_width(spark), -(-lines.count() // TASK_LINES))  # the count comes from the files' footers
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
+        lines.select(
             F.col("l_suppkey").alias("store_id"),
             F.col("l_partkey").alias("product_id"),
             F.to_date("l_shipdate").alias("dt"),
+            "l_quantity", "l_discount",
         )
+        .repartition(tasks, "store_id", "product_id")
+        .groupBy("store_id", "product_id", "dt")
         .agg(
             F.round(F.sum("l_quantity"), 4).alias("sale_amount"),
             F.round(F.lit(1.0) - F.avg("l_discount"), 4).alias("discount"),

@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import attribution, forecast, incremental
+from shelfline.operators import attribution, forecast, incremental, orders
 from shelfline.operators.ranks import bounded_quantiles, exact_quantiles, value_counts_by
 from shelfline.plans import load_all
 from shelfline.session import materialize
+from shelfline.sources import tables
 from tests.compare import connect, difference
 
 QUERIES, ORACLE = load_all()
@@ -108,3 +109,16 @@ def test_conditions_shared_by_leaves_are_tried_once(monkeypatch):
     found = attribution.Attributor(leaves, 0.0, 3).attribute(x)
     assert np.abs(found[::50] - expected[::50]).max() < 1e-12
     assert len(calls) == 2
+
+
+def test_order_lines_are_dealt_in_bounded_shares(spark, sf, monkeypatch):
+    """The tasks grow with the lines, and one exchange serves the demand of a day and its statistics; no task gathers lines before it."""
+    monkeypatch.setattr(tables, "TASK_LINES", 250)
+    demand = tables.order_demand(spark, sf)
+    lines = tables.table(spark, sf, "lineitem").count()
+    shares = demand.groupBy(F.spark_partition_id()).agg(F.sum("n_lines").alias("n")).collect()
+    assert sum(r["n"] for r in shares) == lines and max(r["n"] for r in shares) < 2 * 250
+    plan = orders.demand_stats(demand)._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("Exchange"):]
+    assert plan.count("Exchange") == 1 and "Aggregate" not in before
+    same(spark, sf, "nv1_demand_stats")
