@@ -17,6 +17,7 @@ from shelfline.functions.arrays import as_array, open_slots
 from shelfline.functions.text import hash_uniform
 from shelfline.operators.ranks import bounded_quantiles
 from shelfline.operators.reshape import explode_hourly
+from shelfline.session import materialize, shuffle_width
 
 CELL = ["store_id", "product_id", "hour_of_day", "is_weekend"]
 # Forecast quantiles and horizons in hours.
@@ -54,6 +55,10 @@ def recover_demand(ops: DataFrame) -> DataFrame:
     return ops.join(cells, CELL, "left").withColumn("recovered_demand", value.otherwise(F.col("observed_sales"))).drop("expected_sales")
 
 
+#: hours that one task of the product-limit estimate sorts
+TASK_HOURS = 250_000
+
+
 def above_cut(rows: DataFrame, value: str, cut: Column, least: int = 20, levels=(CELL, CELL[:3], CELL[:2])) -> DataFrame:
     """``expected_above``: the mean of what a row would have been, given that it is above its cut value.
 
@@ -64,10 +69,11 @@ def above_cut(rows: DataFrame, value: str, cut: Column, least: int = 20, levels=
     Rows with a null value, or of a null ``cut``, take no part and get null; rows with equal values count each.
 
     All levels begin with the series, so there is one exchange and no join; a window holds the hours of a series, which the calendar
-    bounds. Sums over what follows run on the reversed order, as a frame that shrinks would be added up again for each row.
+    bounds. The rows are stored first, so that their number tells how many tasks share the sorts. Sums over what follows run on the reversed order, as a frame that shrinks would be added up again for each row.
     """
-    part = rows.withColumns({"_v": F.when(cut.isNotNull(), F.col(value)), "_cut": cut}).repartition(*levels[-1])
-    shown, estimates = [], []
+    stored = materialize(rows.withColumns({"_v": F.when(cut.isNotNull(), F.col(value)), "_cut": cut}), "cut-rows")
+    part = stored.repartition(max(shuffle_width(rows.sparkSession), -(-stored.count() // TASK_HOURS)), *levels[-1])
+    estimates = []
     for i, keys in enumerate(levels):
         names = {n: f"_{n}{i}" for n in ("ends", "share", "next", "log", "step", "area")}
         col = {n: F.col(c) for n, c in names.items()}

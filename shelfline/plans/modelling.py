@@ -200,7 +200,8 @@ CUT_SHORT = HOURLY + """, x AS (SELECT *, stockout_flag = 1 OR coalesce(lead(sto
 round(CASE WHEN cut_short THEN coalesce(above, observed_sales) ELSE observed_sales END + {OFF_MIDDLE}::DOUBLE, 6) AS recovered_demand FROM limits""")
 def _(spark, sf):
     """Demand of the hours that a stockout cut short, by the survival curve of their cell."""
-    rec = fc.recover_censored(hourly(spark, sf, True)).withColumn("recovered_demand", F.col("recovered_demand") + OFF_MIDDLE)
+    hours = hourly(spark, sf, True).select(*fc.CELL, "event_date", "event_timestamp", "stockout_flag", "observed_sales")
+    rec = fc.recover_censored(hours).withColumn("recovered_demand", F.col("recovered_demand") + OFF_MIDDLE)
     return rounded(rec.select("store_id", "product_id", "event_timestamp", "cut_short", "observed_sales", "recovered_demand"))
 
 

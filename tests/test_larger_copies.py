@@ -122,3 +122,14 @@ def test_order_lines_are_dealt_in_bounded_shares(spark, sf, monkeypatch):
     before = plan[plan.index("Exchange"):]
     assert plan.count("Exchange") == 1 and "Aggregate" not in before
     same(spark, sf, "nv1_demand_stats")
+
+
+def test_product_limit_tasks_sort_bounded_shares(spark, sf, monkeypatch):
+    """The tasks that sort grow with the hours, not the hours of a task."""
+    from shelfline.plans.cleaning import hourly
+
+    hours = hourly(spark, sf, True)
+    monkeypatch.setattr(forecast, "TASK_HOURS", 100)
+    shared = forecast.recover_censored(hours)
+    assert shared.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < hours.count() / 8
+    same(spark, sf, "fc1_product_limit")
