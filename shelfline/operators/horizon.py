@@ -38,9 +38,8 @@ def with_profile(rows: DataFrame, train: DataFrame, target: str) -> DataFrame:
     return out.withColumns({"cell": F.coalesce("_p0", "_p1", "_p2"), "series": F.col("_p2")}).drop("_p0", "_p1", "_p2")
 
 
-def at_origins(rows: DataFrame, target: str, horizons: Sequence[int] = HORIZONS) -> DataFrame:
-    """Rolling origins: each row once for each horizon, with ``last`` and ``day``, the latest value at or before the
-    origin and the mean of the 24 hours up to it.
+def origins(rows: DataFrame, target: str, horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """``_ahead``: for each horizon ``last`` and ``day``, the latest value at or before the origin and the mean of the 24 hours up to it.
 
     Frames are in time, so a missing hour or day is not taken for another one. All horizons share one window on the series.
     """
@@ -48,7 +47,16 @@ def at_origins(rows: DataFrame, target: str, horizons: Sequence[int] = HORIZONS)
     ahead = [F.struct(
         F.lit(h).alias("horizon_hours"), F.last(target).over(w.rangeBetween(Window.unboundedPreceding, -h * 3600)).alias("last"),
         F.avg(target).over(w.rangeBetween(-(h + 23) * 3600, -h * 3600)).alias("day")) for h in horizons]
-    return rows.withColumn("_ahead", F.array(*ahead)).select("*", F.inline("_ahead")).drop("_ahead")
+    return rows.withColumn("_ahead", F.array(*ahead))
+
+
+def by_horizon(rows: DataFrame) -> DataFrame:
+    return rows.select("*", F.inline("_ahead")).drop("_ahead")
+
+
+def at_origins(rows: DataFrame, target: str, horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """Rolling origins: each row once for each horizon, with ``last`` and ``day`` of ``origins``."""
+    return by_horizon(origins(rows, target, horizons))
 
 
 def inputs(rows: DataFrame) -> DataFrame:
@@ -82,32 +90,34 @@ def fit_horizons(rows: DataFrame, target: str, steps: int = STEPS) -> HorizonMod
     """Quantile regression by pinball loss, all horizons and quantiles together.
 
     The loss is rounded within ``WIDTH`` typical deviations of zero, which bounds its curvature; each step is an accelerated
-    gradient step scaled by the sums of squares of the inputs. One step is one aggregate with a row for each horizon and
-    quantile, combined in the map tasks; only those few sums and the coefficients pass the driver. It starts at the
-    empirical quantiles of the cell (all coefficients zero).
+    gradient step scaled by the sums of squares of the inputs. One step is one aggregate with a row for each horizon, which adds
+    up all quantiles of a stored row, combined in the map tasks; only those few sums and the coefficients pass the driver. It
+    starts at the empirical quantiles of the cell (all coefficients zero).
     """
-    spark, key = rows.sparkSession, ["horizon_hours", "q"]
-    each = F.inline(F.array(*[F.struct(
-        F.lit(q).alias("q"), F.lit(p).alias("p"), (F.col(target) - F.get("cell", F.lit(q))).alias("u"),
-        (F.get("series", F.lit(q)) - F.get("cell", F.lit(q))).alias("x1")) for q, p in enumerate(PROBS)]))
+    spark, quantiles = rows.sparkSession, range(len(PROBS))
     away = F.abs(F.col(target) - F.get("series", F.lit(len(PROBS) // 2))).alias("away")
-    stored = materialize(rows.select("horizon_hours", "d1", "d2", away, each), "horizon-rows")
-    totals = stored.groupBy(*key).agg(F.count("*").alias("n"), F.sum("away").alias("away"), F.expr("sum(x1 * x1)").alias("a"),
-                                      F.expr("sum(d1 * d1)").alias("b"), F.expr("sum(d2 * d2)").alias("c")).collect()  # a row for each model
+    each = [c for q in quantiles for c in (
+        (F.col(target) - F.get("cell", F.lit(q))).alias(f"u{q}"), (F.get("series", F.lit(q)) - F.get("cell", F.lit(q))).alias(f"x{q}"))]
+    stored = materialize(rows.select("horizon_hours", "d1", "d2", away, *each), "horizon-rows")
+    totals = stored.groupBy("horizon_hours").agg(
+        F.count("*").alias("n"), F.sum("away").alias("away"), *[F.expr(f"sum(x{q} * x{q})").alias(f"a{q}") for q in quantiles],
+        F.expr("sum(d1 * d1)").alias("b"), F.expr("sum(d2 * d2)").alias("c")).collect()  # a row for each horizon
     scale = sum(t["away"] for t in totals) / max(1, sum(t["n"] for t in totals)) or 1.0
     width = WIDTH * scale
-    size = {(t["horizon_hours"], t["q"]): (t["n"] * scale * scale, t["a"], t["b"], t["c"]) for t in totals}
+    size = {(t["horizon_hours"], q): (t["n"] * scale * scale, t[f"a{q}"], t["b"], t["c"]) for t in totals for q in quantiles}
     now = {k: [0.0] * INPUTS for k in size}
     before = now
-    slope = f"(least(1D, greatest(0D, ({width!r}D - (u - v0 * {scale!r}D - v1 * x1 - v2 * d1 - v3 * d2)) / {2 * width!r}D)) - p)"
-    sums = [F.expr(f"sum({slope} * {x})").alias(f"g{j}") for j, x in enumerate((f"{scale!r}D", "x1", "d1", "d2"))]
+    slope = "(least(1D, greatest(0D, ({width!r}D - (u{q} - v{q}_0 * {scale!r}D - v{q}_1 * x{q} - v{q}_2 * d1 - v{q}_3 * d2)) / {double!r}D)) - {p!r}D)"
+    sums = [F.expr(f"sum({slope.format(q=q, p=p, width=width, scale=scale, double=2 * width)} * {x})").alias(f"g{q}_{j}")
+            for q, p in enumerate(PROBS) for j, x in enumerate((f"{scale!r}D", f"x{q}", "d1", "d2"))]
+    names = ", ".join(f"v{q}_{j}" for q in quantiles for j in range(INPUTS))
     for step in range(steps if size else 0):
         push = step / (step + 3.0)
         ahead = {k: [x + push * (x - y) for x, y in zip(now[k], before[k])] for k in now}
-        table = ", ".join(f"({h}, {q}, {', '.join(f'{x!r}D' for x in v)})" for (h, q), v in ahead.items())
-        point = spark.sql(f"SELECT * FROM VALUES {table} AS t(horizon_hours, q, v0, v1, v2, v3)")
-        found = stored.join(F.broadcast(point), key).groupBy(*key).agg(*sums).collect()  # a row for each model
-        slopes = {(g["horizon_hours"], g["q"]): [g[f"g{j}"] for j in range(INPUTS)] for g in found}
+        table = ", ".join(f"({t['horizon_hours']}, {', '.join(f'{x!r}D' for q in quantiles for x in ahead[t['horizon_hours'], q])})" for t in totals)
+        point = spark.sql(f"SELECT * FROM VALUES {table} AS t(horizon_hours, {names})")
+        found = stored.join(F.broadcast(point), "horizon_hours").groupBy("horizon_hours").agg(*sums).collect()  # a row for each horizon
+        slopes = {(g["horizon_hours"], q): [g[f"g{q}_{j}"] for j in range(INPUTS)] for g in found for q in quantiles}
         before, now = now, {k: [x - (2 * width / INPUTS * g / s if s else 0.0) for x, g, s in zip(ahead[k], slopes[k], size[k])] for k in now}
     return HorizonModel(scale, now)
 
@@ -120,10 +130,11 @@ def horizon_forecasts(hours: DataFrame, middle: Column, cut: Column, target: str
     Only hours in stock are fitted, as the demand of the others is an estimate made from the same cells.
     Rows carry ``empirical``, the quantiles of their cell alone, which do not depend on the horizon.
     """
-    day = F.col("event_date")
-    ahead = at_origins(hours, target, horizons)
-    fitted = inputs(with_profile(ahead.where((day >= middle) & (day < cut) & (F.col("stockout_flag") == 0)), hours.where(day < middle), target))
-    rows = inputs(with_profile(ahead.where(day >= cut), hours.where(day < cut), target))
+    day, in_stock = F.col("event_date"), F.col("stockout_flag") == 0
+    # stored once for both uses; the profiles do not depend on the horizon and are joined before the rows are repeated for each
+    ahead = materialize(origins(hours, target, horizons).where((day >= cut) | ((day >= middle) & in_stock)), "origins")
+    fitted = inputs(by_horizon(with_profile(ahead.where((day >= middle) & (day < cut) & in_stock), hours.where(day < middle), target)))
+    rows = inputs(by_horizon(with_profile(ahead.where(day >= cut), hours.where(day < cut), target)))
     return fit_horizons(fitted, target).forecast(rows).withColumnRenamed("cell", "empirical").drop("series", "last", "day", "d1", "d2")
 
 

@@ -51,8 +51,10 @@ HORIZON = "RECURSIVE " + RECOVERED + f""", midd AS (SELECT min(d) AS mid FROM (S
 def forecasts(spark, sf):
     """Horizon forecasts of the evaluation window, stored."""
     hours = stored_recovered(spark, sf)
-    middle = features.cut_day(tables.pos(spark, sf), "timestamp", 0.5)
-    return horizon.horizon_forecasts(hours, middle, cut(spark, sf)).withColumn("actual", F.col("recovered_demand"))
+    # two dates, taken once: as subqueries each job would read the sales again for them
+    days = [features.cut_day(tables.pos(spark, sf), "timestamp", 0.5), cut(spark, sf)]
+    middle, end = (F.lit(d).cast("date") for d in spark.range(1).select(*days).first())
+    return horizon.horizon_forecasts(hours, middle, end).withColumn("actual", F.col("recovered_demand"))
 
 
 @query("fc2_horizon_forecast", ctes=HORIZON, sql="""SELECT store_id, product_id, event_timestamp, hz AS horizon_hours, round(f[1], 4) AS forecast_q10, round(f[2], 4) AS forecast_q25,

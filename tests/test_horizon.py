@@ -94,3 +94,19 @@ def test_nothing_to_fit(spark):
     late = F.lit("2024-02-01").cast("date")
     assert horizon.horizon_forecasts(df, late, late).count() == 0
     assert horizon.stockout_within(df.drop("recovered_demand"), late).count() == 0
+
+
+def test_a_step_reads_one_row_for_each_hour_and_horizon(spark, monkeypatch):
+    """All quantiles of an hour are fitted from one stored row, and the windows are stored before the hours are repeated."""
+    stored, keep = {}, horizon.materialize
+
+    def counted(df, name):
+        out = keep(df, name)
+        stored[name] = out.count()
+        return out
+
+    monkeypatch.setattr(horizon, "materialize", counted)
+    df = series(spark, [i % 7 for i in range(16 * 12)])
+    middle, cut = (F.lit(d).cast("date") for d in ("2024-01-05", "2024-01-09"))
+    assert horizon.horizon_forecasts(df, middle, cut).count() == 4 * 16 * len(HORIZONS)
+    assert stored == {"origins": 8 * 16, "horizon-rows": 4 * 16 * len(HORIZONS)}
