@@ -1,7 +1,9 @@
 """Silence of a series as streaming state with event-time timers.
 
-Each series keeps one small row: its last settled busy interval and whether its silence was reported. A timer wakes the
-series when its next window is wholly empty, and again when its lifetime ends; other series are neither read nor written.
+Series are dealt by hash to buckets, and each bucket keeps one state row: for each of its series the last settled busy interval,
+whether its silence was reported, and the intervals that the watermark has not closed yet. A timer wakes the bucket when the next
+of them closes, when the next window of a series is wholly empty, and again when a lifetime ends; other buckets are neither read nor
+written. A call of the state costs about a millisecond whatever it holds, so calls are made by bucket and their number is bounded.
 """
 
 from __future__ import annotations
@@ -10,26 +12,34 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
+from shelfline.session import shuffle_width
 from shelfline.streaming.velocity import DELAY, SERIES, SIZE_MIN, SLIDE_MIN
 
 MINUTE = 60_000
-STATE = StructType([StructField("last", LongType()), StructField("reported", BooleanType()), StructField("timer", LongType())])
-EVENTS = StructType([*[StructField(c, IntegerType()) for c in SERIES], StructField("first", LongType()), StructField("last", LongType()),
-                     StructField("open", BooleanType())])
-FOUND = f"{', '.join(f'{c} int' for c in SERIES)}, first_start timestamp_ntz, last_start timestamp_ntz, open boolean"
+#: state rows that the series share; a checkpoint is bound to it
+BUCKETS = 4096
+#: sales that a task packs at a time, and packs that it hands on in one Arrow batch
+PACK_ROWS, PACK_OUT = 500_000, 10_000
+_KEYS = [StructField(c, IntegerType()) for c in SERIES]
+_STARTS = ArrayType(LongType())
+STATE = StructType([StructField("timer", LongType()), StructField("series", ArrayType(StructType([
+    *_KEYS, StructField("last", LongType()), StructField("reported", BooleanType()), StructField("pending", _STARTS)])))])
+SETTLED = StructType([*_KEYS, StructField("starts", _STARTS), StructField("silent", LongType())])
+_SERIES_DDL = ", ".join(f"{c} int" for c in SERIES)
+FOUND = f"{_SERIES_DDL}, first_start timestamp_ntz, last_start timestamp_ntz, open boolean"
 # The settings that state with timers needs, and that let it upload changes only.
 STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 class SilenceProcessor(StatefulProcessor):
-    """Turns the busy intervals of a series (start in milliseconds) into closed and open runs of empty windows."""
+    """Settles the busy intervals of each series of a bucket (start in milliseconds) in order of time, and reports their silence."""
 
     def __init__(self, size_ms: int, slide_ms: int, lifetime_ms: int) -> None:
         self.size, self.slide, self.lifetime = size_ms, slide_ms, lifetime_ms
@@ -38,44 +48,84 @@ class SilenceProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("silence", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        starts = sorted({int(b) for part in rows for b in part["b"]})
-        last, reported, timer = self.state.get() if self.state.exists() else (None, False, None)
-        events = []
-        for b in starts:
-            if last is not None and b <= last:
-                continue
-            if last is not None and last + self.slide <= b - self.size:
-                events.append((last + self.slide, b - self.size, False))
-            last, reported = b, False
-        yield from self.settle(key, last, reported, timer, timerValues.getCurrentWatermarkInMs(), events)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            last, reported, timer = self.state.get()
-            # a timer that fires is gone; one that was replaced in this batch is not
-            timer = None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer
-            yield from self.settle(key, last, reported, timer, timerValues.getCurrentWatermarkInMs(), [])
-
-    def settle(self, key, last, reported, timer, watermark, events) -> Iterator[pd.DataFrame]:
-        """Reports a silence that is due, moves the timer and stores the state."""
-        if not reported and last + self.slide + self.size <= watermark:
-            events.append((last + self.slide, None, True))
-            reported = True
-        due = last + (self.lifetime if reported else self.slide + self.size)
+    def known(self) -> tuple[int | None, dict]:
+        """The timer of the bucket and (last, reported, pending) of each of its series."""
+        timer, series = self.state.get() or (None, [])
+        return timer, {tuple(s[:len(SERIES)]): tuple(s[len(SERIES):]) for s in series}
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        watermark, fresh = timerValues.getCurrentWatermarkInMs(), {}
+        for row in rows:
+            starts = [b for b in row.starts if b + self.slide > watermark]
+            if starts:
+                fresh.setdefault(tuple(row[c] for c in SERIES), set()).update(starts)
+        if fresh:
+            timer, series = self.known()
+            for one, starts in fresh.items():
+                last, reported, pending = series.get(one, (None, False, []))
+                series[one] = last, reported, sorted(starts.union(pending))
+            yield from self.settle(timer, series, watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        timer, series = self.known()
+        # a timer that fires is gone; one that was replaced in this batch is not
+        timer = None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer
+        yield from self.settle(timer, series, timerValues.getCurrentWatermarkInMs())
+
+    def settle(self, timer, series, watermark) -> Iterator[Row]:
+        """Settles what the watermark has closed, reports silences that are due, moves the timer and stores the state."""
+        kept, dues = [], []
+        for one, (last, reported, pending) in series.items():
+            closed = [b for b in pending if b + self.slide <= watermark]
+            pending, starts, silent = list(pending[len(closed):]), [*([] if last is None else [last]), *closed], None
+            if closed:
+                last, reported = closed[-1], False
+            if last is not None and not reported and last + self.slide + self.size <= watermark:
+                silent, reported = last + self.slide, True
+            if closed and len(starts) > 1 or silent is not None:
+                yield Row(**dict(zip(SERIES, one)), starts=starts, silent=silent)
+            if last is not None and last + self.lifetime <= watermark:
+                last, reported = None, False
+            if last is not None:
+                dues.append(last + (self.lifetime if reported else self.slide + self.size))
+            if pending:
+                dues.append(pending[0] + self.slide)
+            if last is not None or pending:
+                kept.append((*one, last, reported, pending))
+        due = min(dues, default=None)
         if timer is not None and timer != due:
             self.handle.deleteTimer(timer)
-        if due <= watermark:
+        if due is None:
             self.state.clear()
         else:
             if timer != due:
                 self.handle.registerTimer(due)
-            self.state.update((last, reported, due))
-        if events:
-            out = pd.DataFrame(events, columns=["first", "last", "open"]).astype({"first": "int64", "last": "Int64", "open": bool})
-            for i, name in enumerate(SERIES):
-                out.insert(i, name, pd.array([None if pd.isna(key[i]) else int(key[i])] * len(out), dtype="Int32"))
-            yield out
+            self.state.update((due, kept))
+
+
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Arrow batches gathered to tables of PACK_ROWS rows or little more."""
+    held, n = [], 0
+    for batch in batches:
+        held, n = [*held, batch], n + batch.num_rows
+        if n >= PACK_ROWS:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each busy interval of a series once for each table."""
+    for table in _tables(batches):
+        yield from table.group_by(["bucket", *SERIES, "b"], use_threads=False).aggregate([]).select(["bucket", *SERIES, "b"]).to_batches(PACK_OUT)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each series of a table, with its busy intervals."""
+    for table in _tables(batches):
+        packs = table.group_by(["bucket", *SERIES], use_threads=False).aggregate([("b", "distinct")])
+        yield from packs.select(["bucket", *SERIES, "b_distinct"]).rename_columns(["bucket", *SERIES, "starts"]).to_batches(PACK_OUT)
 
 
 def silence(stream: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_MIN, lifetime: timedelta = timedelta(days=7)) -> DataFrame:
@@ -86,17 +136,24 @@ def silence(stream: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_
     A silence that begins and ends between two micro-batches gives the closed row only. A series that is silent for ``lifetime``
     after its last busy interval is forgotten: its next sale starts it anew and closes nothing.
 
-    Sales are first counted by slide interval. That aggregate combines in the map tasks, so a hot series sends one row for each
-    interval and task; it puts late rows in order, as an interval is handed on once, when the watermark closes it. Rows later than
-    the watermark and rows without a time are dropped; a null store or product is a series of its own; repeated rows change nothing.
+    Sales become slide intervals, which the map tasks hand on once for each PACK_ROWS sales, so a hot series does not send each sale,
+    and reach the state as one row for each series and PACK_ROWS intervals. The state holds those that the watermark
+    has not closed and puts late rows in order. Intervals that the watermark has closed and rows without a time are dropped;
+    a null store or product is a series of its own; repeated rows change nothing.
     """
     if lifetime < timedelta(minutes=size_min + slide_min):
         raise ValueError("a series must live until its first empty window ends")
-    busy = stream.groupBy(F.window("timestamp", f"{slide_min} minutes"), *SERIES).agg(F.count("*").alias("n"))
-    rows = busy.select(*SERIES, F.window_time("window").alias("timestamp"), F.unix_millis(F.col("window.start").cast("timestamp")).alias("b"))
-    found = rows.groupBy(*SERIES).transformWithStateInPandas(
-        SilenceProcessor(size_min * MINUTE, slide_min * MINUTE, lifetime // timedelta(milliseconds=1)),
-        outputStructType=EVENTS, outputMode="Append", timeMode="EventTime")
+    size, slide, ms = size_min * MINUTE, slide_min * MINUTE, F.unix_millis("timestamp")
+    bucket = F.pmod(F.hash(*SERIES), F.lit(BUCKETS)).alias("bucket")
+    rows = stream.filter("timestamp IS NOT NULL").select(bucket, *[F.col(c).cast("int") for c in SERIES], (ms - F.pmod(ms, F.lit(slide))).alias("b"))
+    sent = rows.mapInArrow(_distinct, f"bucket int, {_SERIES_DDL}, b bigint").repartition(shuffle_width(stream.sparkSession), "bucket")
+    settled = sent.mapInArrow(_packed, f"bucket int, {_SERIES_DDL}, starts array<bigint>").groupBy("bucket").transformWithState(
+        SilenceProcessor(size, slide, lifetime // timedelta(milliseconds=1)), outputStructType=SETTLED, outputMode="Append", timeMode="EventTime")
+    run = lambda first, last, is_open: F.struct(first.alias("first"), last.cast("bigint").alias("last"), F.lit(is_open).alias("open"))
+    steps = F.zip_with("starts", F.slice("starts", 2, F.size("starts")), lambda b, after: F.struct(b.alias("b"), after.alias("after")))
+    gaps = F.transform(F.filter(steps, lambda s: s["b"] + slide <= s["after"] - size), lambda s: run(s["b"] + slide, s["after"] - size, False))
+    alert = F.filter(F.array(run(F.col("silent"), F.lit(None), True)), lambda r: r["first"].isNotNull())
+    found = settled.select(*SERIES, F.inline(F.concat(gaps, alert)))
     at = lambda c: F.timestamp_millis(F.col(c)).cast("timestamp_ntz").alias(f"{c}_start")
     return found.select(*SERIES, at("first"), at("last"), "open")
 

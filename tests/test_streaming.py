@@ -133,6 +133,20 @@ def test_state_changes_with_active_series_only(spark):
     assert first >= 40 > 8 >= second
 
 
+def test_series_share_state_rows(spark, monkeypatch):
+    """However many series sell, a batch changes no more state rows than there are buckets, and the events stay those of each series."""
+    monkeypatch.setattr(silence, "BUCKETS", 4, raising=False)
+    base, ten = scratch_path(spark, "timers"), datetime.timedelta(minutes=10)
+    _, first = feed(spark, base, [(at(s / 60), s) for s in range(1, 41)])
+    found, second = feed(spark, base, [(at(4 + s / 60), s) for s in range(1, 39)] + [(at(6), 41)])
+    assert first <= 4 and second <= 4
+    busy = lambda hours: at(hours).replace(minute=at(hours).minute // 10 * 10)
+    # 38 gaps are closed by a sale, and the two series that sold once are reported by their timers
+    closed = {(s, busy(s / 60) + ten, busy(4 + s / 60) - 12 * ten) for s in range(1, 39)}
+    assert {f[:3] for f in found if not f[3]} == closed
+    assert {f[:2] for f in found if f[3]} == {(s, busy(s / 60) + ten) for s in (39, 40)}
+
+
 def test_a_forgotten_series_starts_anew(spark):
     base, day = scratch_path(spark, "timers"), datetime.timedelta(hours=24)
     feed(spark, base, [(at(0), 1), (at(0), None)], lifetime=day)
