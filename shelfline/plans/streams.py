@@ -122,10 +122,10 @@ WHERE b + INTERVAL 130 MINUTE <= nxt AND nxt + INTERVAL 10 MINUTE <= (SELECT max
 UNION ALL SELECT DISTINCT store_id, product_id, b + INTERVAL 10 MINUTE, CAST(NULL AS TIMESTAMP), true FROM settled WHERE b + INTERVAL 130 MINUTE <= mark""")
 def _(spark, sf):
     """Alerts of silent series at their timers, and the closed gaps, of a history that comes in three slices."""
-    base = scratch_path(spark, "timers")
-    history = tables.pos(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    base, history = scratch_path(spark, "timers"), sales(spark, sf)
+    width = silence.parts(history)
     for _ in v.released(history, base + "/in", ["2024-01-10", "2024-01-20"]):
-        found = silence.run_silence(v.read_pos_stream(spark, base + "/in", history.schema, max_files=None), base, lifetime=timedelta(days=366))
+        found = silence.run_silence(v.read_pos_stream(spark, base + "/in", history.schema, max_files=None), base, width=width, lifetime=timedelta(days=366))
     return found
 
 

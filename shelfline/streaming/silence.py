@@ -24,6 +24,8 @@ from shelfline.streaming.velocity import DELAY, SERIES, SIZE_MIN, SLIDE_MIN
 MINUTE = 60_000
 #: state rows that the series share; a checkpoint is bound to it
 BUCKETS = 4096
+#: sales of a history for each part of the state
+PART_ROWS = 1_000_000
 #: sales that a task packs at a time, and packs that it hands on in one Arrow batch
 PACK_ROWS, PACK_OUT = 500_000, 10_000
 _KEYS = [StructField(c, IntegerType()) for c in SERIES]
@@ -146,7 +148,7 @@ def silence(stream: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_
     size, slide, ms = size_min * MINUTE, slide_min * MINUTE, F.unix_millis("timestamp")
     bucket = F.pmod(F.hash(*SERIES), F.lit(BUCKETS)).alias("bucket")
     rows = stream.filter("timestamp IS NOT NULL").select(bucket, *[F.col(c).cast("int") for c in SERIES], (ms - F.pmod(ms, F.lit(slide))).alias("b"))
-    sent = rows.mapInArrow(_distinct, f"bucket int, {_SERIES_DDL}, b bigint").repartition(shuffle_width(stream.sparkSession), "bucket")
+    sent = rows.mapInArrow(_distinct, f"bucket int, {_SERIES_DDL}, b bigint").repartition("bucket")
     settled = sent.mapInArrow(_packed, f"bucket int, {_SERIES_DDL}, starts array<bigint>").groupBy("bucket").transformWithState(
         SilenceProcessor(size, slide, lifetime // timedelta(milliseconds=1)), outputStructType=SETTLED, outputMode="Append", timeMode="EventTime")
     run = lambda first, last, is_open: F.struct(first.alias("first"), last.cast("bigint").alias("last"), F.lit(is_open).alias("open"))
@@ -158,11 +160,19 @@ def silence(stream: DataFrame, size_min: int = SIZE_MIN, slide_min: int = SLIDE_
     return found.select(*SERIES, at("first"), at("last"), "open")
 
 
+def parts(history: DataFrame) -> int:
+    """Parts of the state for a history of sales: opening and committing one costs some tenths of a second in each batch, so
+    there are no more of them than its rows or the cores ask for."""
+    spark = history.sparkSession
+    return max(-(-history.count() // PART_ROWS), min(shuffle_width(spark), spark.sparkContext.defaultParallelism))
+
+
 @contextmanager
-def state_store(spark: SparkSession):
-    """The state settings for streams started inside; the session's own come back afterwards."""
-    before = {k: spark.conf.get(k, None) for k in STORE}
-    for k, value in STORE.items():
+def state_store(spark: SparkSession, width: int | None = None):
+    """The state settings, with ``width`` parts where given, for streams started inside; the session's own come back afterwards."""
+    settings = {**STORE, **({} if width is None else {"spark.sql.shuffle.partitions": str(width)})}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, value in settings.items():
         spark.conf.set(k, value)
     try:
         yield
@@ -174,18 +184,19 @@ def state_store(spark: SparkSession):
                 spark.conf.set(k, value)
 
 
-def start_silence(stream: DataFrame, base: str, delay: str = DELAY, **settings) -> StreamingQuery:
+def start_silence(stream: DataFrame, base: str, delay: str = DELAY, width: int | None = None, **settings) -> StreamingQuery:
     """Starts ``silence`` over what is available, going on from the checkpoint below ``base``, and appends its rows to ``base/silence``.
 
+    ``width`` is the number of parts of the state, by default the session's; a checkpoint keeps the first one.
     The file sink keeps a log of its finished batches, so a batch that is repeated after a failure is read once.
     """
     found = silence(stream.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay), **settings)
-    with state_store(stream.sparkSession):
+    with state_store(stream.sparkSession, width):
         return (found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/ckpt")
                 .trigger(availableNow=True).start(f"{base}/silence"))
 
 
-def run_silence(stream: DataFrame, base: str, delay: str = DELAY, **settings) -> DataFrame:
+def run_silence(stream: DataFrame, base: str, delay: str = DELAY, width: int | None = None, **settings) -> DataFrame:
     """All rows of ``silence`` that are written once the available sales are read."""
-    start_silence(stream, base, delay, **settings).awaitTermination()
+    start_silence(stream, base, delay, width, **settings).awaitTermination()
     return stream.sparkSession.read.schema(FOUND).parquet(f"{base}/silence")

@@ -147,6 +147,19 @@ def test_series_share_state_rows(spark, monkeypatch):
     assert {f[:2] for f in found if f[3]} == {(s, busy(s / 60) + ten) for s in (39, 40)}
 
 
+def test_state_has_as_many_parts_as_sales_ask_for(spark, monkeypatch):
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    assert silence.parts(sales(spark)) == min(cores, int(before))
+    monkeypatch.setattr(silence, "PART_ROWS", 1)
+    assert silence.parts(sales(spark)) == 60
+    base = scratch_path(spark, "timers")
+    sales(spark).write.parquet(base + "/in")
+    query = silence.start_silence(v.read_pos_stream(spark, base + "/in", max_files=None), base, width=3)
+    query.awaitTermination()
+    assert {op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_a_forgotten_series_starts_anew(spark):
     base, day = scratch_path(spark, "timers"), datetime.timedelta(hours=24)
     feed(spark, base, [(at(0), 1), (at(0), None)], lifetime=day)
