@@ -4,11 +4,12 @@ import math
 import random
 from statistics import NormalDist
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import normal
-from shelfline.operators import aggregates, drift, economics, forecast, joins, kpi, models, orders, ranks, risk
+from shelfline.operators import aggregates, attribution, drift, economics, forecast, joins, kpi, models, orders, ranks, risk
 from shelfline.plans import load_all
 
 load_all()
@@ -202,3 +203,55 @@ def test_band_table_join(spark):
     bands = spark.createDataFrame([(0.0, 5.0, "low"), (5.0, 20.0, "mid"), (10.0, 15.0, "extra")], "lo double, hi double, band string")
     got = sorted((str(r.v), str(r.band)) for r in joins.band_table_join(rows, "v", bands, 3.0).collect())
     assert got == sorted([("-1.0", "None"), ("0.0", "low"), ("4.9", "low"), ("5.0", "mid"), ("12.0", "mid"), ("12.0", "extra"), ("99.0", "None"), ("None", "None")])
+
+
+def feature_table(spark, n=3000):
+    """Rows of few distinct features, so that most share their bins; sales that depend on them and differ from row to row."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(n):
+        store, product, day, hour, off = rnd.randrange(4), rnd.randrange(2), 1 + rnd.randrange(3), rnd.randrange(2), rnd.choice([0.7, 0.9])
+        rows.append((20240100 + day, hour, store, product, store * 3.0 + hour * (1 - product) + 5 * off + day + rnd.random(), off, f"Cluster {rnd.randrange(3)}", "High", 2024, 1, day, hour))
+    return spark.createDataFrame(rows, "date_key int, time_key int, store_id int, product_id int, observed_sales double, discount_factor double, store_cluster string, volume_band string, year int, month int, day int, hour int")
+
+
+def test_trees_over_combinations_of_bins_are_those_of_all_rows(spark, monkeypatch):
+    """The trainer gets a row for each combination; cuts, leaf values, gains and the rows of each node stay."""
+    df, seen = feature_table(spark), {}
+    fit, stored = models.GBTRegressor.fit, models.materialize
+    monkeypatch.setattr(models.GBTRegressor, "fit", lambda self, rows: seen.update(trained=rows.count()) or fit(self, rows))
+    monkeypatch.setattr(models, "materialize", lambda rows, name: seen.update({name: stored(rows, name)}) or seen[name])
+    model = models.train(df, trees=4)
+    assert 64 <= seen["trained"] < df.count() / 2
+    whole = fit(models.GBTRegressor(labelCol="observed_sales", maxIter=4, stepSize=models.RATE, maxDepth=models.DEPTH, seed=models.SEED, maxBins=64), seen["features"])
+    assert np.abs(model.trees.featureImportances.toArray() - whole.featureImportances.toArray()).max() < 1e-9
+    both = models.score(model, df).select(F.col("forecasted_demand").alias("a"), "date_key", "time_key", "store_id", "product_id", "discount_factor", "observed_sales").join(
+        models.score(models.DemandModel(model.encodings, model.overall, model.stages, whole), df).select(F.col("forecasted_demand").alias("b"), "date_key", "time_key", "store_id", "product_id", "discount_factor", "observed_sales"),
+        ["date_key", "time_key", "store_id", "product_id", "discount_factor", "observed_sales"])
+    assert both.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-9 and both.count() == df.count()
+    got, want = (sorted((leaf.features, leaf.low, leaf.high, [sorted(c or []) for c in leaf.categories], [round(s, 9) for s in leaf.shares], round(leaf.value, 9)) for leaf in attribution.attributor(t, spark, 9).leaves) for t in (model.trees, whole))
+    assert got == want
+
+
+def test_rows_that_share_no_bins_are_trained_as_they_are(spark, monkeypatch):
+    df, seen = feature_table(spark).withColumn("discount_factor", F.rand(5)).where("store_id < 3").limit(40), []
+    fit = models.GBTRegressor.fit
+    monkeypatch.setattr(models.GBTRegressor, "fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    assert models.score(models.train(df, trees=2), df).count() == 40 and seen == [40]
+
+
+def test_encodings_from_totals_are_those_of_the_rows(spark):
+    df = feature_table(spark, 400).withColumn("_fold", F.pmod("hour", F.lit(models.FOLDS)).cast("int"))
+    totals = models.fold_totals(df, "observed_sales")
+    encoded = models.encode(df, {c: models.mean_encoding(totals, c) for c in models.IDS}, models.overall_mean(totals)).collect()
+    rows = df.collect()
+    for r in encoded[:60]:
+        for c in models.IDS:
+            others = [x.observed_sales for x in rows if x[c] == r[c] and x._fold != r._fold]
+            assert abs(r[f"{c}_mean"] - sum(others) / len(others)) < 1e-9
+    mean = sum(x.observed_sales for x in rows) / len(rows)
+    assert abs(models.overall_mean(totals).first()[0] - mean) < 1e-9
+    new = models.encode(df.drop("_fold").limit(1).withColumn("store_id", F.lit(99)), {"store_id": models.mean_encoding(totals, "store_id")}, models.overall_mean(totals)).first()
+    assert abs(new.store_id_mean - mean) < 1e-9
+    counts = [r[0] for r in df.groupBy("store_cluster").count().orderBy(F.desc("count"), "store_cluster").collect()]
+    assert [list(m.labels) for m in models.band_index(totals)] == [counts, ["High"]]
