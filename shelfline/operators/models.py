@@ -184,12 +184,14 @@ def permutation_importance(model: DemandModel, df: DataFrame, features, target:
     Each row takes the value of the next row in a hash order within a hash bucket; there
     is a bucket per shuffle partition, so the exchange stays distributed.
     """
-    base = forecast_metrics(score(model, df), target, "forecasted_demand").select(F.col("rmse").alias("base_rmse"))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(shuffle_width(df.sparkSession)))
     w = Window.partitionBy("_b").orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+    # one order serves all features, and the rows are read again for each
+    rows = materialize(df.withColumn("_b", bucket).withColumns({f"_v_{f}": F.coalesce(F.lead(f).over(w), F.col(f)) for f in features}).drop("_b"), "permuted")
+    base = forecast_metrics(score(model, rows.select(*df.columns)), target, "forecasted_demand").select(F.col("rmse").alias("base_rmse"))
     parts = []
     for f in features:
-        mixed = df.withColumn("_b", bucket).withColumn("_v", F.coalesce(F.lead(f).over(w), F.col(f))).withColumn(f, F.col("_v")).drop("_v", "_b")
+        mixed = rows.select(*[F.col(f"_v_{f}").alias(f) if c == f else F.col(c) for c in df.columns])
         m = forecast_metrics(score(model, mixed), target, "forecasted_demand")
         parts.append(m.select(F.lit(f).alias("feature"), "rmse"))
     out = reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import normal
@@ -255,3 +256,17 @@ def test_encodings_from_totals_are_those_of_the_rows(spark):
     assert abs(new.store_id_mean - mean) < 1e-9
     counts = [r[0] for r in df.groupBy("store_cluster").count().orderBy(F.desc("count"), "store_cluster").collect()]
     assert [list(m.labels) for m in models.band_index(totals)] == [counts, ["High"]]
+
+
+def test_permuted_rows_are_ordered_once(spark, monkeypatch):
+    """All features are exchanged in one stored table, with the values of an order for each feature alone."""
+    df, seen = feature_table(spark, 600), []
+    model, score = models.train(df, trees=2), models.score
+    monkeypatch.setattr(models, "score", lambda m, rows: seen.append(rows) or score(m, rows))
+    found = {r["feature"]: r["rmse_increase"] for r in models.permutation_importance(model, df, ["hour", "store_id"]).collect()}
+    assert len(seen) == 3 and all("Window" not in rows._jdf.queryExecution().optimizedPlan().toString() for rows in seen)
+    w = Window.partitionBy(F.pmod(F.xxhash64(*df.columns), F.lit(8))).orderBy(F.xxhash64(F.lit(models.SEED), *df.columns))
+    rmse = lambda rows: forecast.forecast_metrics(score(model, rows), "observed_sales", "forecasted_demand").first()["rmse"]
+    for f in ("hour", "store_id"):
+        alone = df.withColumn("_v", F.coalesce(F.lead(f).over(w), F.col(f))).withColumn(f, F.col("_v")).drop("_v")
+        assert abs(found[f] - (rmse(alone) - rmse(df))) < 1e-9
