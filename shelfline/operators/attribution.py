@@ -42,7 +42,7 @@ def leaves_of(nodes: dict[int, dict], weight: float) -> list[Leaf]:
         at, path = todo.pop()
         node = nodes[at]
         if node["leftChild"] < 0:
-            parts = list(path.items())
+            parts = sorted(path.items())
             found.append(Leaf([f for f, _ in parts], [p[0] for _, p in parts], [p[1] for _, p in parts], [p[2] for _, p in parts],
                               [p[3] for _, p in parts], node["prediction"] * weight))
             continue
@@ -95,8 +95,9 @@ class Attributor:
         return np.concatenate(parts) if parts else np.zeros((0, self.size))
 
     def attribute_slice(self, x: np.ndarray) -> np.ndarray:
-        """The same of few rows. Leaves share most of their conditions, so each distinct one is tried once and its answers, a byte a row, are kept."""
-        columns, out, tried = np.ascontiguousarray(x.T), np.zeros((self.size, len(x))), {}
+        """The same of few rows. Leaves share most of their conditions, so each distinct one is tried once and its answers, a byte a row, are kept.
+        The row of a leaf's table that a pattern asks for is taken whole and added to those of the leaves with the same features."""
+        columns, out, tried, sums = np.ascontiguousarray(x.T), np.zeros((self.size, len(x))), {}, {}
         for leaf in self.leaves:
             code = np.zeros(len(x), np.min_scalar_type(2 ** len(leaf.features) - 1))  # a bit for each feature on the path
             for j, f in enumerate(leaf.features):
@@ -107,8 +108,14 @@ class Attributor:
                         ok &= np.isin(columns[f], list(leaf.categories[j]))
                     tried[condition] = ok
                 code |= tried[condition] * code.dtype.type(1 << j)
-            for j, f in enumerate(leaf.features):
-                out[f] += leaf.table[:, j].take(code)
+            part = leaf.table.take(code, axis=0)
+            if (own := tuple(leaf.features)) in sums:
+                sums[own] += part
+            else:
+                sums[own] = part
+        for features, part in sums.items():
+            for j, f in enumerate(features):
+                out[f] += part[:, j]
         return out.T
 
 

@@ -85,3 +85,23 @@ def test_exact_and_asymptotic_meet(spark):
     assert got["beyond"].p_value == got["beyond"].far and got["small"].p_value != got["small"].far
     assert abs(got["large"].p_value - got["large"].far) < 0.02 and 0 <= got["one"].p_value < 1e-200
     assert drift.ks_pvalue_by_size(df.limit(0)).count() == 0
+
+
+def test_leaves_name_their_features_in_one_order():
+    """Paths that meet the same features in another order are added up together, to the same attributions."""
+    node = lambda i, left, right, n, y, split=None: {"id": i, "leftChild": left, "rightChild": right, "rawCount": n, "prediction": y, "split": split}
+    split = lambda f, cut: {"featureIndex": f, "leftCategoriesOrThreshold": [cut], "numCategories": -1}
+    trees = [{0: node(0, 1, 2, 10, 0.0, split(a, 0.5)), 1: node(1, -1, -1, 4, 5.0), 2: node(2, 3, 4, 6, 0.0, split(b, 0.5)), 3: node(3, -1, -1, 2, 1.0), 4: node(4, -1, -1, 4, 2.0)} for a, b in ((0, 1), (1, 0))]
+    leaves = [leaf for nodes in trees for leaf in attribution.leaves_of(nodes, 1.0)]
+    assert sorted(leaf.features for leaf in leaves) == [[0], [0, 1], [0, 1], [0, 1], [0, 1], [1]]
+    for leaf in leaves:
+        leaf.table = attribution.pattern_table(leaf)
+    base = sum(leaf.value * float(np.prod(leaf.shares)) for leaf in leaves)
+    own = attribution.Attributor(leaves, base, 2)
+    for x, y in (((0.1, 0.1), 10.0), ((0.9, 0.9), 4.0), ((0.9, 0.1), 6.0), ((0.1, 0.9), 6.0)):
+        phi = own.attribute(np.array([x]))[0]
+        assert abs(base + phi.sum() - y) < 1e-12
+        for f in range(2):
+            alone = worth(own, {f}, x) - worth(own, set(), x)
+            beside = worth(own, {0, 1}, x) - worth(own, {1 - f}, x)
+            assert abs(phi[f] - (alone + beside) / 2) < 1e-12
